@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from annoweave.functions.text import accession
-from annoweave.llm import boundaries, packing, topn
-from annoweave.runtime import table
+from annoweave.functions.text import accession, letters, source_name, split_name
+from annoweave.llm import boundaries, near_duplicates, packing, split_overlap, topn
+from annoweave.runtime import materialise, table
 
 PAIR = ["accession", "embedding_type_id"]
 
@@ -36,6 +36,62 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return topn.top_n(r, "accession", "reliability_index", "distance", "result_id", 5).select("accession", "result_id")
 
 
+def _references(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct (ref_idx, text); the rows are made distinct before any text is rewritten."""
+    r = table(spark, d, "raw_results").where(F.col("ref_idx").isNotNull() & F.col("sequence_reference").isNotNull())
+    return r.select("ref_idx", F.col("sequence_reference").alias("text")).distinct().select("ref_idx", letters("text").alias("text")).distinct()
+
+
+def _similar_references(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    refs = materialise(_references(spark, d).where(F.length("text") >= 8).withColumn("text_id", F.xxhash64("text")), "refs")
+    texts = materialise(near_duplicates.distinct_texts(refs, "text"), "texts")
+    return refs, materialise(near_duplicates.similar_texts(texts, "text"), "links")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.record_pairs(*_similar_references(spark, d), "ref_idx")
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates.groups(*_similar_references(spark, d), "ref_idx")
+
+
+def _held_out(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct (accession, split, source) of evaluation splits."""
+    s = table(spark, d, "query_split").select(accession("accession").alias("accession"), split_name("split").alias("split"), source_name("source").alias("source"))
+    return s.where(F.col("split").isin("test", "validation") & F.col("accession").isNotNull()).distinct()
+
+
+def _overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct (accession, ref_idx, exact)."""
+    wanted = _held_out(spark, d).select("accession").distinct()
+    q = table(spark, d, "raw_results").where(F.col("sequence_query").isNotNull()).select(accession("accession").alias("accession"), F.col("sequence_query").alias("text")).distinct()
+    q = q.join(wanted, "accession", "left_semi").select("accession", letters("text").alias("text"))
+    sides = q.select("accession", F.lit(None).cast("long").alias("ref_idx"), "text").union(_references(spark, d).select(F.lit(None).cast("string"), "ref_idx", "text"))
+    members = materialise(sides.where(F.length("text") >= 8).distinct().withColumn("text_id", F.xxhash64("text")), "members")
+    texts = materialise(members.groupBy("text_id", "text").agg(F.max(F.col("accession").isNotNull()).alias("evaluation"), F.max(F.col("ref_idx").isNotNull()).alias("training")), "texts")
+    links = split_overlap.text_overlaps(texts, "text", "evaluation", "training")
+    left = members.where(F.col("accession").isNotNull()).select("accession", F.col("text_id").alias("a"))
+    right = members.where(F.col("ref_idx").isNotNull()).select("ref_idx", F.col("text_id").alias("b"))
+    return links.join(left, "a").join(right, "b").groupBy("accession", "ref_idx").agg(F.max("exact").alias("exact"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _overlaps(spark, d).select("accession", "ref_idx")
+
+
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    """Per split and source: held-out accessions, those found in training exactly, and exactly or almost."""
+    leaks = _overlaps(spark, d).groupBy("accession").agg(F.max("exact").alias("exact"), F.count(F.lit(1)).alias("references"))
+    out = _held_out(spark, d).join(leaks, "accession", "left")
+    return out.groupBy("split", "source").agg(
+        F.countDistinct("accession").alias("accessions"),
+        F.countDistinct(F.when(F.col("exact"), F.col("accession"))).alias("exact_accessions"),
+        F.countDistinct(F.when(F.col("references") > 0, F.col("accession"))).alias("overlapping_accessions"),
+        F.coalesce(F.sum("references"), F.lit(0)).alias("overlaps"),
+    )
+
+
 def p4_batches(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_batches(packing.cut_items(_with_limits(spark, d), PAIR, "sequence", "batch_capacity"), "embedding_type_id")
 
@@ -45,4 +101,4 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p4_batches, p4_report)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p6_found, p6_report)}
