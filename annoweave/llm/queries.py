@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from annoweave.functions.text import accession, letters, source_name, split_name
-from annoweave.llm import boundaries, near_duplicates, packing, split_overlap, topn
+from annoweave.llm import boundaries, forest, near_duplicates, packing, split_overlap, topn, winnowing
 from annoweave.runtime import materialise, table
 
 PAIR = ["accession", "embedding_type_id"]
@@ -100,5 +100,38 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p4_batches(spark, d), "embedding_type_id")
 
 
+def _neighbours(spark: SparkSession, d: str) -> DataFrame:
+    q = table(spark, d, "query_embedding").where(F.col("vec_id").isNotNull() & F.col("embedding_type_id").isNotNull())
+    q = forest.usable(q.select("vec_id", "embedding_type_id", "layer_index", "embedding", "created_at"), "embedding_type_id", "embedding")
+    # of several deliveries of a vec_id the latest counts
+    latest = F.max_by(F.struct("embedding_type_id", "layer_index", "embedding"), F.coalesce("created_at", F.lit("1970-01-01").cast("timestamp_ntz").cast(q.schema["created_at"].dataType)))
+    q = q.groupBy("vec_id").agg(latest.alias("v")).select("vec_id", "v.*")
+    return forest.nearest(q, "vec_id", ["embedding_type_id", "layer_index"], "embedding", 5)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    near = _neighbours(spark, d).where("similarity >= 0.9")
+    return near.select(F.least("vec_id", "neighbour").alias("vec_id_a"), F.greatest("vec_id", "neighbour").alias("vec_id_b")).distinct()
+
+
+def p5_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return _neighbours(spark, d)
+
+
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return winnowing.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_passages"), "item_id", "passage")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", "item_id")
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    """Per evaluation item: the documents that give it away and the longest span."""
+    hit = _leaks(spark, d).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.max("span").alias("longest_span"))
+    items = table(spark, d, "eval_passages").select("item_id", "suite", "split")
+    return items.join(hit, "item_id", "left").select("item_id", "suite", "split", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("longest_span", F.lit(0)).alias("longest_span"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p6_found, p6_report)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p5_found, p5_neighbours, p6_found, p6_report, p7_found, p7_report)}
