@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from annoweave.functions.text import accession, letters, source_name, split_name
-from annoweave.llm import boundaries, forest, near_duplicates, packing, split_overlap, topn, winnowing
+from annoweave.llm import boundaries, forest, mixture, near_duplicates, packing, quality, split_overlap, topn, winnowing
 from annoweave.runtime import materialise, table
 
 PAIR = ["accession", "embedding_type_id"]
@@ -133,5 +133,27 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return items.join(hit, "item_id", "left").select("item_id", "suite", "split", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("longest_span", F.lit(0)).alias("longest_span"))
 
 
+def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, d, "documents").select("doc_id", "text", source_name("source").alias("source"))
+    targets = table(spark, d, "mix_targets").select(source_name("source").alias("source"), "target_share", "max_repeats")
+    return mixture.mixture(docs, "doc_id", "text", "source", targets)
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d)[0]
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d)[1]
+
+
+def p9_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.quality(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "common_words"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_quality(spark, d).where(~F.col("is_prose")).select("doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p5_found, p5_neighbours, p6_found, p6_report, p7_found, p7_report)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p5_found, p5_neighbours, p6_found, p6_report, p7_found, p7_report, p8_mixture, p8_report, p9_found, p9_quality)}
