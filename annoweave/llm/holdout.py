@@ -31,6 +31,7 @@ HOLDOUT: list[tuple[str, bool]] = [
     ("geneA=0.773, geneB=0.782, geneC=0.923, geneD=0.503, geneE=0.924, geneF=0.165, geneG=0.476", False),
     ("(((a:0.694,b:0.676):0.939,c:0.831):0.366,d:0.111):0.243,e:0.514);", False),
     ("The plot shows it.\n\n| FX00001 | GO:9000001 | IDA | membrane |\n| FX00002 | GO:9000002 | IEA | storage |\n| FX00003 | GO:9000003 | ISS | lumen |\n| FX00004 | GO:9000004 | ISS | body |", False),
+    ("Home | About | Help for users | Contact | Log in | Back to the top | About | Terms of use | Help for users | Log in | Back to the top | Home", False),
     ("... --- *** ___ !!! ###", False),
     (">seq1\nMKTAYIAKQRQISFVKSHFSRQLEERLGLIEVQ\nAPILSRVGDGTQDNLSGAEKAVQVKVKALPDAQ", False),
 ]

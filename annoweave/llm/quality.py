@@ -30,7 +30,7 @@ TRAIN_DOCS, TRAIN_CHARS, VOCABULARY, LEAST_DF = 4000, 20_000, 1500, 6
 #: Words to either side that decide whether a word stands in prose, and the
 #: levels of mean log odds (in sixteenths) from which they do.
 REACH, LEVELS = 6, (4, 10, 16)
-STATS = ["word_count", "mean_word_length", "symbol_ratio", "digit_ratio", "upper_ratio", "space_ratio", "line_count", "words_per_line", "punctuated_lines", "bulleted_lines", "common_share", "number_share", "mixed_share", "distinct_share", "other_letters", "bracket_ratio"]
+STATS = ["word_count", "mean_word_length", "symbol_ratio", "digit_ratio", "upper_ratio", "space_ratio", "line_count", "words_per_line", "punctuated_lines", "bulleted_lines", "common_share", "number_share", "mixed_share", "distinct_share", "other_letters", "bracket_ratio", "word_variety"]
 _ORDER = ["order_mean", "order_positive", *[f"order_zone_{i}" for i in range(len(LEVELS))], "common_zone"]
 _ENDS = tuple(".!?…。\"'”»")
 _BULLET = re.compile(r"\s*(?:[-*•·+>|#]|\(?\d{1,3}[.)]\s|\(?[a-z][.)]\s|\[\d)")
@@ -123,6 +123,7 @@ def statistics(texts: list[str], w: Words) -> np.ndarray:
             distinct / n,
             share[5],
             share[6],
+            np.where(w.count > 1, np.log(np.maximum(distinct, 1)) / np.log(np.maximum(w.count, 2)), 1.0),
         ],
         1,
     ).astype(np.float64)
@@ -136,9 +137,9 @@ class Prose:
         rng = np.random.default_rng(seed)
         w = Words(texts, common)
         stats = statistics(texts, w) if texts else np.zeros((0, len(STATS)))
-        share, ends, number, bracket, n, distinct = (stats[:, STATS.index(c)] for c in ("common_share", "punctuated_lines", "number_share", "bracket_ratio", "word_count", "distinct_share"))
+        share, ends, number, bracket, n, variety = (stats[:, STATS.index(c)] for c in ("common_share", "punctuated_lines", "number_share", "bracket_ratio", "word_count", "word_variety"))
         code = (bracket > 0.02) & (ends < 0.05)
-        repeated = (n >= 30) & (n < 1000) & (distinct < 0.2)
+        repeated = (n >= 30) & (variety < 0.8)
         prose = np.flatnonzero((share >= 0.24) & (n >= 8) & (number < 0.3) & ~code & ~repeated)
         junk = np.flatnonzero((n > 0) & ((share < 0.07) | (number > 0.6) | code | repeated))
         if min(len(prose), len(junk)) < 5:
