@@ -45,7 +45,7 @@ SCORES = """
 AMBIGUOUS, OTHER = {"B": "ND", "Z": "QE"}, -1
 OPEN, EXTEND = 10, 1
 #: Cells (pairs x query x reference) of a batch, which bounds its memory.
-CELLS = 40_000_000
+CELLS = 12_000_000
 
 
 def matrix() -> np.ndarray:
@@ -85,44 +85,55 @@ def align(queries: list[str], references: list[str], local: bool, gap_open: int
         out[empty, 0], out[empty, 1], out[empty, 4] = edge[empty], (lq + lr)[empty], (lq + lr)[empty]
     if not n or not m or not size:
         return out
-    score_of, low = matrix(), np.int32(-(1 << 28))
+    # scores of short sequences fit 16 bits, which halves the traffic
+    kind = np.int16 if (n + m) * 12 < 30_000 and gap_open < 1000 else np.int32
+    score_of, low = matrix().astype(kind), kind(-30_000 if kind is np.int16 else -(1 << 28))
+    go, ge = kind(gap_open), kind(gap_extend)
     a, b = _letters(queries, n), _letters(references, m)
-    columns = np.arange(m + 1, dtype=np.int32)
-    border = lambda k: 0 if local else (0 if k == 0 else -(gap_open + (k - 1) * gap_extend))
-    h = np.tile(np.array([border(k) for k in range(m + 1)], dtype=np.int32), (size, 1))
-    e = np.full((size, m + 1), low, dtype=np.int32)
-    # bits: 1 from the diagonal, 2 vertical gap is best, 4 horizontal gap is best, 8 vertical gap goes on, 16 horizontal gap goes on, 32 stop
-    trace = np.zeros((n + 1, size, m + 1), dtype=np.uint8)
-    best, end_i, end_j = np.zeros(size, np.int32), np.zeros(size, np.int64), np.zeros(size, np.int64)
-    final = np.zeros(size, np.int32)
     rows = np.arange(size)
+    profile = score_of.astype(np.int8)[:, b]  # letter of the query, pair, place in the reference
+    slope = (np.arange(m + 1) * gap_extend).astype(kind)
+    border = lambda k: kind(0 if local or k == 0 else -(gap_open + (k - 1) * gap_extend))
+    h = np.tile(np.array([border(k) for k in range(m + 1)], dtype=kind), (size, 1))
+    e = np.full((size, m + 1), low // 2, dtype=kind)
+    f, base, diagonal, opened = (np.full((size, m + 1), low // 2, dtype=kind) for _ in range(4))
+    # bits: 1 from the diagonal, 2 from the vertical gap, 4 vertical gap goes on, 8 horizontal gap goes on, 16 local stop
+    trace = np.zeros((n + 1, size, m + 1), dtype=np.uint8)
+    bit = np.empty((size, m + 1), dtype=bool)
+    best, end_i, end_j = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int64)
+    final = np.zeros(size, np.int64)
+    inside = np.arange(m + 1)[None, :] <= lr[:, None]
     for i in range(1, n + 1):
-        goes_on = e - gap_extend > h - gap_open
-        e = np.maximum(e - gap_extend, h - gap_open)
-        diagonal = np.empty_like(h)
-        diagonal[:, 0] = low
-        diagonal[:, 1:] = h[:, :-1] + score_of[a[:, i - 1][:, None], b]
+        code = trace[i]
+        np.subtract(e, ge, out=e)
+        np.subtract(h, go, out=opened)
+        np.greater(e, opened, out=bit)
+        np.left_shift(bit.view(np.uint8), 2, out=code)
+        np.maximum(e, opened, out=e)
         e[:, 0] = border(i)
-        base = np.maximum(diagonal, e)
-        base[:, 0] = border(i)
+        np.add(h[:, :-1], profile[a[:, i - 1], rows], out=diagonal[:, 1:])
+        np.maximum(diagonal, e, out=base)
         if local:
-            base = np.maximum(base, 0)
-        run = np.maximum.accumulate(base + columns * gap_extend, axis=1)
-        f = np.full_like(h, low)
-        f[:, 1:] = run[:, :-1] - gap_open - (columns[1:] - 1) * gap_extend
-        h = np.maximum(base, f)
-        code = np.where(h == diagonal, 1, np.where(h == e, 2, 4)).astype(np.uint8)
-        code |= goes_on.astype(np.uint8) << 3
-        longer = np.zeros_like(goes_on)
-        longer[:, 1:] = f[:, 1:] == f[:, :-1] - gap_extend
-        code |= longer.astype(np.uint8) << 4
+            np.maximum(base, 0, out=base)
+        np.add(base, slope, out=opened)
+        np.maximum.accumulate(opened, axis=1, out=opened)
+        np.subtract(opened[:, :-1], slope[1:] + (go - ge), out=f[:, 1:])
+        np.maximum(base, f, out=h)
+        np.equal(h, diagonal, out=bit)
+        np.bitwise_or(code, bit.view(np.uint8), out=code)
+        np.equal(h, e, out=bit)
+        np.bitwise_or(code, np.left_shift(bit.view(np.uint8), 1), out=code)
+        np.equal(f[:, 1:], f[:, :-1] - ge, out=bit[:, 1:])
+        bit[:, 0] = False
+        np.bitwise_or(code, np.left_shift(bit.view(np.uint8), 3), out=code)
         if local:
-            code |= (h <= 0).astype(np.uint8) << 5
-            valid = np.where((columns[None, :] <= lr[:, None]) & (i <= lq)[:, None], h, -1)
-            j = valid.argmax(1)
-            better = valid[rows, j] > best
-            best[better], end_i[better], end_j[better] = valid[rows, j][better], i, j[better]
-        trace[i] = code
+            np.less_equal(h, 0, out=bit)
+            np.bitwise_or(code, np.left_shift(bit.view(np.uint8), 4), out=code)
+            here = np.where(inside, h, kind(-1))
+            j = here.argmax(1)
+            top = here[rows, j]
+            better = (top > best) & (i <= lq)
+            best[better], end_i[better], end_j[better] = top[better], i, j[better]
         done = lq == i
         final[done] = h[rows, lr][done]
     if local:
@@ -135,13 +146,13 @@ def align(queries: list[str], references: list[str], local: bool, gap_open: int
     state = np.zeros(size, np.int8)  # 0 match, 1 in a vertical gap, 2 in a horizontal gap
     while True:
         code = trace[i, rows, j]
-        live = ((i > 0) | (j > 0)) if not local else ((i > 0) & (j > 0) & ~((code & 32).astype(bool) & (state == 0)))
+        live = ((i > 0) | (j > 0)) if not local else ((i > 0) & (j > 0) & ~((code & 16).astype(bool) & (state == 0)))
         if not live.any():
             return out
         forced_up, forced_left = live & (j == 0), live & (i == 0)
         at = state.copy()
         at[(state == 0) & ((code & 3) == 2)] = 1
-        at[(state == 0) & ((code & 7) == 4)] = 2
+        at[(state == 0) & ((code & 3) == 0)] = 2
         at[forced_up], at[forced_left] = 1, 2
         up, left = live & (at == 1), live & (at == 2)
         match = live & (at == 0)
@@ -150,7 +161,7 @@ def align(queries: list[str], references: list[str], local: bool, gap_open: int
         out[:, 2] += match & (x == y)
         out[:, 3] += match & ((x == y) | (score_of[x, y] > 0))
         out[:, 4] += up | left
-        state = np.where(up, np.where((code & 8) > 0, 1, 0), np.where(left, np.where((code & 16) > 0, 2, 0), 0)).astype(np.int8)
+        state = np.where(up, np.where((code & 4) > 0, 1, 0), np.where(left, np.where((code & 8) > 0, 2, 0), 0)).astype(np.int8)
         i = i - (match | up)
         j = j - (match | left)
 
@@ -162,7 +173,7 @@ def metrics(queries: pd.Series, references: pd.Series) -> pd.DataFrame:
     ok = np.flatnonzero((queries.notna() & references.notna()).to_numpy())
     q, r = queries.to_numpy(dtype=object), references.to_numpy(dtype=object)
     # pairs of like size share a batch, so little is spent on padding
-    ok = ok[np.argsort([max(len(q[i]), 1) * max(len(r[i]), 1) for i in ok], kind="stable")] if len(ok) else ok
+    ok = np.array(sorted(ok, key=lambda i: (int(np.log2(len(q[i]) + 1) * 3), len(r[i]))), dtype=np.int64)
     lo = 0
     while lo < len(ok):
         hi, wide, high = lo, 1, 1

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from annoweave.functions.align import alignment
 from annoweave.functions.vectors import reliability
-from annoweave.runtime import materialise
+from annoweave.runtime import materialise, spread
 
 
 def expand(hits: DataFrame, annotations: DataFrame) -> DataFrame:
@@ -79,7 +79,7 @@ def aligned(df: DataFrame) -> DataFrame:
     Each distinct pair is aligned once; the join back is keyed by a hash of the
     pair and checked by the texts, so long strings are not the join key.
     """
-    pairs = distinct_pairs(df).repartition(F.xxhash64("sequence_query", "sequence_reference")).withColumn("_m", alignment("sequence_query", "sequence_reference"))
+    pairs = spread(distinct_pairs(df), F.xxhash64("sequence_query", "sequence_reference")).withColumn("_m", alignment("sequence_query", "sequence_reference"))
     pairs = pairs.select(F.xxhash64("sequence_query", "sequence_reference").alias("_h"), F.col("sequence_query").alias("_q"), F.col("sequence_reference").alias("_r"), "_m.*")
     keyed = df.withColumn("_h", F.when(F.col("sequence_query").isNotNull() & F.col("sequence_reference").isNotNull(), F.xxhash64("sequence_query", "sequence_reference")))
     same = (keyed["_h"] == pairs["_h"]) & (keyed["sequence_query"] == pairs["_q"]) & (keyed["sequence_reference"] == pairs["_r"])

@@ -79,5 +79,5 @@ def counters(raw: DataFrame, threshold: float) -> DataFrame:
         zero(F.count_if(F.col("kept") > 0)).alias("accessions_selected"),
         zero(F.count_if(F.col("kept") == 0)).alias("accessions_without_survivor"),
     )
-    chosen = best_donor_rows(raw, threshold).agg(F.count(F.lit(1)).alias("rows_selected"))
-    return first.crossJoin(chosen)  # one row each
+    chosen = best_donor_rows(raw, threshold).agg(F.lit(float(threshold)).alias("threshold"), F.count(F.lit(1)).alias("rows_selected"))
+    return first.join(chosen, "threshold")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from annoweave.functions.align import alignment
-from annoweave.runtime import materialise
+from annoweave.runtime import materialise, spread
 
 #: Residues of a k-mer, min-hashes of a band, and bands.
 K, ROWS, BANDS = 5, 2, 24
@@ -71,7 +71,7 @@ def cluster(sequences: DataFrame, identity: float, coverage: float) -> DataFrame
     longer = (F.length("sa") > F.length("sb")) | ((F.length("sa") == F.length("sb")) & (F.col("a") < F.col("b")))
     both = both.select(*[F.when(longer, x).otherwise(y).alias(n) for x, y, n in (("a", "b", "rep"), ("b", "a", "sid"), ("sa", "sb", "sr"), ("sb", "sa", "ss"))])
     both = both.where(F.length("ss") >= coverage * F.length("sr") * identity)
-    measured = both.repartition(F.xxhash64("rep", "sid")).withColumn("m", alignment("ss", "sr"))
+    measured = spread(both, F.xxhash64("rep", "sid")).withColumn("m", alignment("ss", "sr"))
     ok = measured.where((F.col("m.identity_sw") >= identity) & (F.col("m.alignment_length_sw") * (1 - F.col("m.gaps_percentage_sw")) >= coverage * F.length("ss")))
     parent = ok.groupBy("sid").agg(F.max_by("rep", F.struct(F.length("sr"), -F.col("rep"))).alias("rep"))
     # representatives that themselves joined a longer sequence lead on to it

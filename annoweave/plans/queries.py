@@ -14,7 +14,7 @@ from annoweave.functions.text import accession, letters, safe_name, split_name
 from annoweave.operators import annotate, collapse, coverage, exports, knn, leakage, prepare, redundancy, reference, summary
 from annoweave.plans import pipeline
 from annoweave.plans.sql import CUTOFFS, EXCLUDE, INCLUDE, SPACES, THRESHOLDS, oracle_sql  # noqa: F401
-from annoweave.runtime import materialise, table
+from annoweave.runtime import materialise, spread, table
 from annoweave.sources import fasta, raw as raw_source, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -404,5 +404,5 @@ def alignment_metrics(spark: SparkSession, d: str) -> DataFrame:
     """Global and local alignment of every distinct pair of sequences in the raw results."""
     r = table(spark, d, "raw_results").select("sequence_query", "sequence_reference").distinct()
     pairs = annotate.distinct_pairs(r.select(letters("sequence_query").alias("sequence_query"), letters("sequence_reference").alias("sequence_reference")))
-    measured = pairs.repartition(F.xxhash64("sequence_query", "sequence_reference")).withColumn("m", alignment("sequence_query", "sequence_reference"))
+    measured = spread(pairs, F.xxhash64("sequence_query", "sequence_reference")).withColumn("m", alignment("sequence_query", "sequence_reference"))
     return measured.select(F.md5("sequence_query").alias("query"), F.md5("sequence_reference").alias("reference"), "m.*")

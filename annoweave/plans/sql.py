@@ -207,6 +207,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT x.accession, go_id, x.model_name, x.layer_index, result_id FROM x JOIN best b ON b.accession = x.accession AND b.model_name IS NOT DISTINCT FROM x.model_name AND b.layer_index IS NOT DISTINCT FROM x.layer_index
             WHERE go_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY x.accession, go_id ORDER BY ri DESC NULLS LAST, result_id NULLS FIRST) = 1""",
         "normalize_by_accession": f"""WITH {_RAW}, x AS (SELECT result_id, accession, CASE WHEN isnan(alignment_score) THEN NULL ELSE alignment_score END AS v FROM raw WHERE accession IS NOT NULL), y AS (SELECT *, max(v) OVER (PARTITION BY accession) AS m FROM x)
-            SELECT result_id, round(CASE WHEN m > 0 THEN coalesce(v, 0) / m ELSE 0 END, 6) AS normalized FROM y""",
+            SELECT result_id, round(CASE WHEN m > 0 THEN coalesce(v, 0) / m ELSE 0 END, 6) + 0.0 AS normalized FROM y""",
         "distinct_pairs": f"""SELECT DISTINCT md5({_LETTERS.format("sequence_query")}) AS query, md5({_LETTERS.format("sequence_reference")}) AS reference FROM raw_results WHERE sequence_query IS NOT NULL AND sequence_reference IS NOT NULL""",
     }

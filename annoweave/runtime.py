@@ -63,3 +63,9 @@ def materialise(df: DataFrame, label: str = "t") -> DataFrame:
 def width(spark: SparkSession) -> int:
     """Shuffle partitions of the session, for operators that must name a number."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def spread(df: DataFrame, *cols) -> DataFrame:
+    """Hash-partitioned for costly rows: at least one partition per core, and never merged into fewer by their bytes."""
+    spark = df.sparkSession
+    return df.repartition(max(width(spark), spark.sparkContext.defaultParallelism), *cols)
