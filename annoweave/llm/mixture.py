@@ -94,8 +94,8 @@ def plan(sized: DataFrame, targets: DataFrame, source: str, total_tokens: int |
     have = sized.groupBy(source).agg(F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"))
     rows = targets.join(have, source, "left").select(source, "target_share", "max_repeats", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("tokens", F.lit(0)).alias("tokens"))
     ready = (F.col("tokens") > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
-    bound = rows.agg(F.sum(F.when(ready, F.col("target_share"))).alias("_reachable"), F.min(F.when(ready, F.col("tokens") * F.col("max_repeats") / F.col("target_share"))).alias("_most"))
-    out = rows.crossJoin(bound)  # one row
+    every = _window()  # the rows are the few sources of the targets
+    out = rows.withColumn("_reachable", F.sum(F.when(ready, F.col("target_share"))).over(every)).withColumn("_most", F.min(F.when(ready, F.col("tokens") * F.col("max_repeats") / F.col("target_share"))).over(every))
     # the bound is a total at the given shares; raised shares need the same tokens
     most = F.floor(F.col("_most") * F.col("_reachable"))
     total = F.least(most, F.lit(total_tokens)) if total_tokens is not None else most
