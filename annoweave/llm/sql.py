@@ -12,7 +12,7 @@ def _letters(col: str) -> str:
     return f"upper(regexp_replace({col}, '[^A-Za-z]', '', 'g'))"
 
 
-#: From ``texts`` (t, l, r: distinct texts and their sides): ``similar`` (a, b) of
+#: From ``texts`` (t, l, r: distinct texts and their sides): ``alike`` (a, b) of
 #: texts that share at least 80 % of the residues of both in runs of eight.
 _SIMILAR = """
             grams AS (SELECT t, l, r, i AS pos, substring(t, i, 8) AS g FROM texts, LATERAL (SELECT unnest(range(1, length(t) - 6)) AS i)),
@@ -20,7 +20,7 @@ _SIMILAR = """
             ways AS (SELECT a AS t, b AS o FROM met UNION SELECT b, a FROM met),
             hits AS (SELECT DISTINCT w.t, w.o, x.pos FROM ways w JOIN grams x ON x.t = w.t JOIN grams y ON y.t = w.o AND y.g = x.g),
             cover AS (SELECT t, o, count(DISTINCT pos + k) / length(t) AS share FROM hits, LATERAL (SELECT unnest(range(8)) AS k) GROUP BY t, o),
-            similar AS (SELECT m.a, m.b FROM met m JOIN cover c ON c.t = m.a AND c.o = m.b JOIN cover e ON e.t = m.b AND e.o = m.a WHERE c.share >= 0.8 AND e.share >= 0.8
+            alike AS (SELECT m.a, m.b FROM met m JOIN cover c ON c.t = m.a AND c.o = m.b JOIN cover e ON e.t = m.b AND e.o = m.a WHERE c.share >= 0.8 AND e.share >= 0.8
               UNION SELECT t, t FROM texts WHERE l AND r)"""
 _REFS = f"refs AS (SELECT DISTINCT ref_idx, {_letters('sequence_reference')} AS t FROM raw_results WHERE ref_idx IS NOT NULL AND sequence_reference IS NOT NULL)"
 
@@ -50,13 +50,13 @@ def oracle_sql() -> dict[str, str]:
         "p3_found": f"""
             WITH {_REFS}, texts AS (SELECT DISTINCT t, TRUE AS l, TRUE AS r FROM refs WHERE length(t) >= 8), {_SIMILAR}
             SELECT DISTINCT least(x.ref_idx, y.ref_idx) AS ref_idx_a, greatest(x.ref_idx, y.ref_idx) AS ref_idx_b
-            FROM similar s JOIN refs x ON x.t = s.a JOIN refs y ON y.t = s.b WHERE x.ref_idx <> y.ref_idx""",
+            FROM alike s JOIN refs x ON x.t = s.a JOIN refs y ON y.t = s.b WHERE x.ref_idx <> y.ref_idx""",
         "p6_found": f"""
             WITH {_REFS},
             held AS (SELECT DISTINCT {_ACC} AS accession FROM (SELECT accession, lower(regexp_replace(split, '[^A-Za-z]', '', 'g')) AS s FROM query_split) WHERE s LIKE 'te%' OR s LIKE 'ts%' OR s LIKE 'v%' OR s LIKE 'dev%'),
             queries AS (SELECT DISTINCT accession, {_letters('sequence_query')} AS t FROM (SELECT {_ACC} AS accession, sequence_query FROM raw_results WHERE sequence_query IS NOT NULL) WHERE accession IN (SELECT accession FROM held)),
             texts AS (SELECT t, bool_or(l) AS l, bool_or(NOT l) AS r FROM (SELECT t, TRUE AS l FROM queries UNION SELECT t, FALSE FROM refs) WHERE length(t) >= 8 GROUP BY t), {_SIMILAR}
-            SELECT DISTINCT accession, ref_idx FROM similar s JOIN queries q ON q.t = s.a JOIN refs r ON r.t = s.b""",
+            SELECT DISTINCT accession, ref_idx FROM alike s JOIN queries q ON q.t = s.a JOIN refs r ON r.t = s.b""",
         "p5_found": f"""
             WITH v AS (SELECT DISTINCT vec_id, embedding_type_id, layer_index, embedding::DOUBLE[] AS e FROM query_embedding WHERE vec_id IS NOT NULL AND {_VALID}),
             length AS (SELECT embedding_type_id, len(e) AS n FROM v GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY embedding_type_id ORDER BY count(*) DESC, n DESC) = 1),
