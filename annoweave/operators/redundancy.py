@@ -69,7 +69,7 @@ def cluster(sequences: DataFrame, identity: float, coverage: float) -> DataFrame
     ta, tb = (texts.select(F.col("sid").alias(x), F.col("sequence").alias(f"s{x}")) for x in "ab")
     both = pairs.join(ta, "a").join(tb, "b")
     longer = (F.length("sa") > F.length("sb")) | ((F.length("sa") == F.length("sb")) & (F.col("a") < F.col("b")))
-    both = both.select(*[F.when(longer, x).otherwise(y).alias(n) for x, y, n in (("a", "b", "rep"), ("b", "a", "sid"), ("sa", "sb", "sr"), ("sb", "sa", "ss"))])
+    both = both.select(*[F.when(longer, F.col(x)).otherwise(F.col(y)).alias(n) for x, y, n in (("a", "b", "rep"), ("b", "a", "sid"), ("sa", "sb", "sr"), ("sb", "sa", "ss"))])
     both = both.where(F.length("ss") >= coverage * F.length("sr") * identity)
     measured = spread(both, F.xxhash64("rep", "sid")).withColumn("m", alignment("ss", "sr"))
     ok = measured.where((F.col("m.identity_sw") >= identity) & (F.col("m.alignment_length_sw") * (1 - F.col("m.gaps_percentage_sw")) >= coverage * F.length("ss")))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from annoweave.config import Summary
 from annoweave.functions import vectors as V
-from annoweave.functions.text import accession
+from annoweave.functions.text import accession, letters
 from annoweave.operators import annotate, embed, exports, knn, prepare, redundancy, reference, summary
 from annoweave.runtime import materialise, table
 from annoweave.sources import sinks
@@ -45,12 +45,13 @@ class Tables:
 
     @classmethod
     def at(cls, spark: SparkSession, d: str) -> Tables:
-        """From a data folder; query vectors are brought to one per accession, model and layer."""
+        """From a data folder; query vectors are brought to one per accession, model and layer, and sequences to their letters."""
         q = table(spark, d, "query_embedding").withColumn("accession", accession("accession")).where(F.col("accession").isNotNull() & V.is_vector("embedding"))
-        q = q.groupBy("accession", "embedding_type_id", "layer_index").agg(F.min("embedding").alias("embedding"), F.min("sequence").alias("sequence"))
+        q = q.groupBy("accession", "embedding_type_id", "layer_index").agg(F.min("embedding").alias("embedding"), F.min(letters("sequence")).alias("sequence"))
         names = {"references": "reference_embedding", "sequences": "ref_sequences", "proteins": "protein", "links": "protein_go_term_annotation", "terms": "go_terms", "models": "embedding_type"}
         t = {k: table(spark, d, n) for k, n in names.items()}
         t["references"] = t["references"].where(V.is_vector("embedding"))
+        t["sequences"] = t["sequences"].withColumn("sequence", letters("sequence"))
         return cls(queries=q, **t)
 
 
