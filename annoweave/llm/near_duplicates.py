@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from annoweave.llm import weighted_sampling as ws
+from annoweave.llm.portions import portions
 from annoweave.runtime import materialise
 
 #: Share of residues that both sequences must share, and the least weighted
@@ -49,8 +50,8 @@ def verified(pairs: DataFrame, a_texts: DataFrame, b_texts: DataFrame, key: str,
         own = ws.Idf.__new__(ws.Idf)
         own.codes, own.values, own.default = held.value
         for big in batches:
-            for lo in range(0, len(big), 2000):
-                pdf = big.iloc[lo : lo + 2000]
+            for lo, hi in portions(big["ta"].str.len() + big["tb"].str.len(), ws.LETTERS):
+                pdf = big.iloc[lo:hi]
                 j, x, y = ws.compare(pdf["ta"].tolist(), pdf["tb"].tolist(), own)
                 ok = (j >= LEAST_WEIGHTED) & (x >= shared) & (y >= shared)
                 yield pdf.loc[ok, ["a", "b"]].assign(weighted_jaccard=j[ok])

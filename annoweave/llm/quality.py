@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from annoweave.llm.boosting import BoostedTrees
 from annoweave.llm.holdout import HOLDOUT
-from annoweave.llm.winnowing import words
+from annoweave.llm.portions import portions
+from annoweave.llm.winnowing import CHARS, words
 
 TRAIN_DOCS, TRAIN_CHARS, VOCABULARY, LEAST_DF = 4000, 20_000, 1500, 6
 #: Words to either side that decide whether a word stands in prose, and the
@@ -245,8 +246,8 @@ def quality(docs: DataFrame, doc_id: str, text: str, common_words: DataFrame) ->
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for lo in range(0, len(pdf), 500):
-                part = pdf.iloc[lo : lo + 500]
+            for lo, hi in portions(pdf["t"].str.len(), CHARS):
+                part = pdf.iloc[lo:hi]
                 texts = part["t"].tolist()
                 w = Words(texts, model.common)
                 stats = statistics(texts, w)

@@ -17,12 +17,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from annoweave.llm.portions import portions
+
 #: Residues of a shingle (a fixed value of the task), samples of a band, bands,
 #: and the share of N at which df is floored.
 K, ROWS, BANDS, DF_SHARE = 8, 2, 40, 0.002
 _SEED, _TABLE = 20_240_229, 1 << 16
 #: Shingles that are sampled at a time, so that the arrays stay in cache.
 _CHUNK = 150_000
+#: Letters of the texts that are worked on at a time.
+LETTERS = 2_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -83,10 +87,12 @@ def document_frequencies(texts: DataFrame, text: str) -> Idf:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            code, own, *_ = shingles(pdf[text].tolist())
-            code, _, _ = counted(code, own)
-            code, n = np.unique(code, return_counts=True)
-            yield pd.DataFrame({"code": code, "n": n})
+            texts = pdf[text].tolist()
+            for lo, hi in portions(map(len, texts), LETTERS):
+                code, own, *_ = shingles(texts[lo:hi])
+                code, _, _ = counted(code, own)
+                code, n = np.unique(code, return_counts=True)
+                yield pd.DataFrame({"code": code, "n": n})
 
     total = texts.count()
     floor = max(2.0, DF_SHARE * total)
@@ -144,9 +150,11 @@ def sketch(texts: DataFrame, key: str, text: str, idf: Idf, keep: tuple[str, ...
         own = Idf.__new__(Idf)
         own.codes, own.values, own.default = table.value
         for pdf in batches:
-            present, sig = signatures(pdf[text].tolist(), own)
-            if len(present):
-                yield pdf[cols].iloc[np.repeat(present, BANDS)].assign(bucket=sig.ravel())
+            texts = pdf[text].tolist()
+            for lo, hi in portions(map(len, texts), LETTERS):
+                present, sig = signatures(texts[lo:hi], own)
+                if len(present):
+                    yield pdf[cols].iloc[np.repeat(present + lo, BANDS)].assign(bucket=sig.ravel())
 
     schema = texts.select(*cols).withColumn("bucket", F.lit(0).cast("long")).schema
     return texts.select(*cols, text).mapInPandas(run, schema)

@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from annoweave.llm.portions import portions
 from annoweave.llm.weighted_sampling import mix
 
 #: GRAM + WINDOW - 1 is the least span found for certain (a fixed value of the task).
@@ -25,6 +26,8 @@ WINDOW = SPAN - GRAM + 1
 #: Characters of passages up to which they are broadcast; beyond it the
 #: fingerprints are joined by shuffle.
 BROADCAST_CHARS = 16_000_000
+#: Characters of documents that are worked on at a time.
+CHARS = 500_000
 _WORD = re.compile(r"[^\W_]+")
 #: The Unicode blocks of combining marks.
 _ACCENTS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]+")
@@ -122,8 +125,8 @@ def _by_broadcast(docs: DataFrame, items: pd.DataFrame, schema: str) -> DataFram
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Passages(*held.value)
         for pdf in batches:
-            for lo in range(0, len(pdf), 500):
-                part = pdf.iloc[lo : lo + 500]
+            for lo, hi in portions(pdf["t"].str.len(), CHARS):
+                part = pdf.iloc[lo:hi]
                 doc, item, span = known.hits(part["t"].tolist())
                 yield pd.DataFrame({"d": part["d"].to_numpy()[doc] if doc else [], "i": item, "span": span})
 
@@ -134,8 +137,8 @@ def _by_shuffle(docs: DataFrame, items: DataFrame, schema: str) -> DataFrame:
     def prints(name: str):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                for lo in range(0, len(pdf), 500):
-                    part = pdf.iloc[lo : lo + 500]
+                for lo, hi in portions(pdf["t"].str.len(), CHARS):
+                    part = pdf.iloc[lo:hi]
                     own, _, g = winnow(*word_hashes(part["t"].tolist()))
                     yield pd.DataFrame({name: part[name].to_numpy()[own], "g": g.view(np.int64)}).drop_duplicates()
 
