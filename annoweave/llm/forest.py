@@ -213,14 +213,14 @@ def usable(vectors: DataFrame, model: str, vector: str) -> DataFrame:
 def nearest(vectors: DataFrame, item: str, space: list[str], vector: str, k: int) -> DataFrame:
     """The ``k`` most similar other vectors of the same space: (item, neighbour, similarity).
 
-    ``vectors`` must be usable (see :func:`usable`), one row per item; null
-    space columns are a space of their own. Equal vectors are merged before the
+    ``vectors`` must be usable (see :func:`usable`), one row per item (null
+    items are left out); null space columns are a space of their own. Equal vectors are merged before the
     search and are each other's neighbours at 1.0, least id first, so a group of
     copies of any size costs one entry. A space of one vector gives no rows;
     ``k`` is 1 at least. Similarities are rounded to six decimals.
     """
     key = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in space])
-    rows = vectors.select(F.col(item).cast("long").alias("item"), key.alias("space"), F.col(vector).alias("embedding")).withColumn("vid", F.xxhash64("space", "embedding"))
+    rows = vectors.where(F.col(item).isNotNull()).select(F.col(item).cast("long").alias("item"), key.alias("space"), F.col(vector).alias("embedding")).withColumn("vid", F.xxhash64("space", "embedding"))
     rows = materialise(rows, "vectors")
     distinct = rows.select("vid", "space", "embedding").dropDuplicates(["vid"])
     counts = {r["space"]: r["n"] for r in rows.groupBy("space").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -61,7 +61,7 @@ def verified(pairs: DataFrame, a_texts: DataFrame, b_texts: DataFrame, key: str,
 
 
 def distinct_texts(members: DataFrame, text: str) -> DataFrame:
-    """The distinct texts with a 64-bit key; texts below a shingle's length share nothing and are left out."""
+    """The distinct texts with a 64-bit key; texts below a shingle's length share nothing and are left out, null ones too."""
     return members.where(F.length(text) >= ws.K).select(text).distinct().withColumn("text_id", F.xxhash64(text))
 
 

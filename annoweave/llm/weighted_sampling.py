@@ -38,19 +38,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All shingles of A-Z texts as exact 40-bit codes.
+    """All shingles of texts as 40-bit codes, exact for A-Z.
 
-    Returns codes, the text each belongs to, its place in the joined texts, and
+    Case does not matter; signs other than letters fall together, so a caller
+    who wants them ignored removes them first. Returns codes, the text each belongs to, its place in the joined texts, and
     the texts' starts in there.
     """
-    raw = np.frombuffer("".join(texts).encode("ascii"), dtype=np.uint8)
+    raw = np.frombuffer("".join(texts).encode("ascii", "replace"), dtype=np.uint8)
     lens = np.array([len(t) for t in texts], dtype=np.int64)
     starts = np.cumsum(lens) - lens
     per = np.maximum(lens - K + 1, 0)
     own = np.repeat(np.arange(len(texts)), per)
     place = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per) + starts[own]
     code = np.zeros(len(own), dtype=np.int64)
-    letter = (raw - 65).astype(np.int64)
+    letter = (raw.astype(np.int64) - 65) & 31
     for i in range(K):
         code = (code << 5) | letter[place + i]
     return code, own, place, starts
