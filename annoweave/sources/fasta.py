@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
 import os
 import re
 from collections.abc import Iterable, Iterator
+from urllib.parse import unquote, urlparse
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -58,13 +60,21 @@ def read(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     run side by side. ``limit`` keeps the first records in order of path and
     position.
     """
-    # lines of a file reach the parser one by one, whatever the size of the file
+    out = _read_local(spark, path) if urlparse(path).scheme in ("", "file") else _read_remote(spark, path)
+    return out.orderBy("path", "position").limit(limit) if limit else out
+
+
+def _read_remote(spark: SparkSession, path: str) -> DataFrame:
+    """Through Spark's own file systems; a file must fit a row."""
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return parse(texts, "text")
+
+
+def _read_local(spark: SparkSession, path: str) -> DataFrame:
+    """Line by line from a folder that every executor sees, whatever the size of a file."""
     files = spark.read.format("binaryFile").load(path).select("path")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import gzip
-        from urllib.parse import unquote, urlparse
-
         for pdf in batches:
             for p in pdf["path"]:
                 local = unquote(urlparse(p).path)
@@ -78,8 +88,7 @@ def read(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
                     if rows:
                         yield pd.DataFrame(rows, columns=["path", "position", "identifier", "sequence"])
 
-    out = files.repartition("path").mapInPandas(run, "path string, position long, identifier string, sequence string")
-    return out.orderBy("path", "position").limit(limit) if limit else out
+    return files.repartition("path").mapInPandas(run, "path string, position long, identifier string, sequence string")
 
 
 def parse(texts: DataFrame, text: str) -> DataFrame:

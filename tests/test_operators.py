@@ -261,6 +261,7 @@ def test_fasta(spark, tmp_path):
         f.write(">z\nACD")
     df = fasta.read(spark, str(tmp_path))
     assert df.count() == 7 and rows(df.where("identifier = 'three'"), "sequence") == [("ACD",)]
+    assert rows(fasta._read_remote(spark, str(tmp_path)), "identifier", "sequence") == rows(df, "identifier", "sequence")
     assert rows(fasta.read(spark, str(tmp_path), 2), "identifier") == [("one",), ("z",)]
     assert rows(fasta.header_ids(spark, str(tmp_path / "b.fa")), "accession") == [("empty",), ("one",), ("sp_two_X",), ("three",)]
 
