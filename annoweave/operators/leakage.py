@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: The fields that make a donor.
-DONOR = ["model_name", "embedding_type_id", "layer_index", "distance", "protein_id", "ref_idx", "sequence_reference", "identity"]
+DONOR = ["protein_id", "organism", "gene_name", "distance", "reliability_index", "identity", "query_len", "ref_len"]
 
 
 def label(threshold: float) -> str:
@@ -27,21 +27,17 @@ def donors(raw: DataFrame) -> DataFrame:
 def best_donor_rows(raw: DataFrame, threshold: float) -> DataFrame:
     """All rows of each accession's best donor at or under the cutoff.
 
-    A missing identity passes. Best: highest reliability, then least distance,
-    then protein, then reference and donor key. One window over the accession;
-    rows of other donors never reach the result's shuffle.
+    A missing identity passes. Best: highest reliability (missing: -1), then least
+    distance, then protein and the other donor fields, missing ones first.
     """
     ok = donors(raw).where(number("identity", -1.0) <= threshold)
     w = Window.partitionBy("accession").orderBy(
-        number("reliability_index", float("-inf")).desc(),
+        number("reliability_index", -1.0).desc(),
         number("distance", float("inf")),
-        F.coalesce("protein_id", F.lit("")),
-        F.coalesce("model_name", F.lit("")),
-        F.coalesce("embedding_type_id", F.lit(-1)),
-        F.coalesce("layer_index", F.lit(-1)),
-        F.coalesce("ref_idx", F.lit(-1)),
+        *[F.coalesce(c, F.lit("")) for c in ("protein_id", "organism", "gene_name")],
         number("identity", -1.0),
-        F.coalesce("sequence_reference", F.lit("")),
+        *[F.coalesce(c, F.lit(-1)) for c in ("query_len", "ref_len")],
+        "donor",
     )
     # the best donor by a limited window, then its rows: partial limits keep the shuffle small
     best = ok.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("accession", "donor")
@@ -60,24 +56,23 @@ def no_survivor(raw: DataFrame, threshold: float) -> DataFrame:
 
 def selected_donors(selected: DataFrame) -> DataFrame:
     """One row per accession: its donor and how many rows it brought."""
-    return selected.groupBy("accession", *DONOR).agg(F.count(F.lit(1)).alias("rows"))
+    return selected.groupBy("accession", *DONOR).agg(F.count(F.lit(1)).alias("rows_kept_for_selected_donor"))
 
 
 def counters(raw: DataFrame, threshold: float) -> DataFrame:
     """The eight counters of a cutoff, in one row."""
     d = donors(raw).select("accession", "donor", (number("identity", -1.0) <= threshold).alias("ok"))
     per = d.groupBy("accession", "donor").agg(F.count(F.lit(1)).alias("n"), F.max("ok").alias("ok"))
-    of = per.groupBy("accession").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("donors"), F.count_if("ok").alias("kept"), F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0)).alias("kept_rows"))
+    of = per.groupBy("accession").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("donors"), F.count_if("ok").alias("kept"), F.sum(F.when(F.col("ok"), 0).otherwise(F.col("n"))).alias("over"))
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     first = of.agg(
-        F.lit(float(threshold)).alias("threshold"),
-        zero(F.sum("n")).alias("rows"),
-        zero(F.count(F.lit(1))).alias("accessions"),
-        zero(F.sum("donors")).alias("donors"),
-        zero(F.sum("kept_rows")).alias("rows_under"),
-        zero(F.sum("kept")).alias("donors_under"),
-        zero(F.count_if(F.col("kept") > 0)).alias("accessions_selected"),
-        zero(F.count_if(F.col("kept") == 0)).alias("accessions_without_survivor"),
+        F.lit(float(threshold)).alias("identity_threshold"),
+        zero(F.sum("n")).alias("input_rows"),
+        zero(F.sum("over")).alias("filtered_out_rows"),
+        zero(F.count_if(F.col("kept") > 0)).alias("selected_donors"),
+        zero(F.count_if(F.col("kept") == 0)).alias("accessions_with_no_surviving_donor"),
+        zero(F.sum("donors")).alias("input_donors"),
+        zero(F.sum(F.col("donors") - F.col("kept"))).alias("filtered_out_donors"),
     )
-    chosen = best_donor_rows(raw, threshold).agg(F.lit(float(threshold)).alias("threshold"), F.count(F.lit(1)).alias("rows_selected"))
-    return first.join(chosen, "threshold")
+    chosen = best_donor_rows(raw, threshold).agg(F.lit(float(threshold)).alias("identity_threshold"), F.count(F.lit(1)).alias("kept_rows"))
+    return first.join(chosen, "identity_threshold")

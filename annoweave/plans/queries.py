@@ -229,7 +229,7 @@ def topgo_ensemble(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _donor_rows(spark: SparkSession, d: str) -> DataFrame:
-    return _latest(spark, d, "accession", "reliability_index", *leakage.DONOR)
+    return _latest(spark, d, "accession", *leakage.DONOR)
 
 
 @_query
@@ -250,7 +250,7 @@ def leakage_no_survivor(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def leakage_donors(spark: SparkSession, d: str) -> DataFrame:
     out = leakage.selected_donors(leakage.best_donor_rows(_donor_rows(spark, d), 0.5))
-    return out.select("accession", "model_name", "layer_index", "protein_id", "ref_idx", "rows")
+    return out.select("accession", "protein_id", "organism", "gene_name", "query_len", "ref_len", "rows_kept_for_selected_donor")
 
 
 @_query

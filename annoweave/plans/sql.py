@@ -110,22 +110,23 @@ _TOPGO = f"""topgo AS (SELECT model_name, coalesce(CAST(layer_index AS VARCHAR),
 
 _NUM = "coalesce(CASE WHEN isnan({0}) THEN NULL ELSE {0} END, {1})"
 _IDENTITY = _NUM.format("identity", "-1.0")
-_DONOR_COLS = ["model_name", "embedding_type_id", "layer_index", "distance", "protein_id", "ref_idx", "sequence_reference", "identity"]
+_DONOR_COLS = ["protein_id", "organism", "gene_name", "distance", "reliability_index", "identity", "query_len", "ref_len"]
 
 
 def _donors(threshold: float) -> str:
     same = " AND ".join(f"r.{c} IS NOT DISTINCT FROM b.{c}" for c in ["accession", *_DONOR_COLS])
     return f"""{_RAW}, best AS (SELECT * FROM raw WHERE accession IS NOT NULL AND {_IDENTITY} <= {threshold}
-          QUALIFY row_number() OVER (PARTITION BY accession ORDER BY {_NUM.format("reliability_index", "'-inf'::DOUBLE")} DESC, {_NUM.format("distance", "'inf'::DOUBLE")},
-            coalesce(protein_id, ''), coalesce(model_name, ''), coalesce(embedding_type_id, -1), coalesce(layer_index, -1), coalesce(ref_idx, -1), {_IDENTITY}, coalesce(sequence_reference, '')) = 1),
+          QUALIFY row_number() OVER (PARTITION BY accession ORDER BY {_NUM.format("reliability_index", "-1.0")} DESC, {_NUM.format("distance", "'inf'::DOUBLE")},
+            coalesce(protein_id, ''), coalesce(organism, ''), coalesce(gene_name, ''), {_IDENTITY}, coalesce(query_len, -1), coalesce(ref_len, -1)) = 1),
         selected AS (SELECT r.* FROM raw r JOIN best b ON {same} WHERE {_IDENTITY.replace("identity", "r.identity")} <= {threshold})"""
 
 
 def _counters(t: float) -> str:
     return f"""(WITH {_donors(t)}, per AS (SELECT accession, {", ".join(_DONOR_COLS)}, count(*) AS n, max({_IDENTITY}) <= {t} AS ok FROM raw WHERE accession IS NOT NULL GROUP BY ALL),
-        of_acc AS (SELECT accession, sum(n) AS n, count(*) AS donors, count(*) FILTER (ok) AS kept, coalesce(sum(n) FILTER (ok), 0) AS kept_rows FROM per GROUP BY 1)
-        SELECT {t}::DOUBLE AS threshold, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows, count(*) AS accessions, CAST(coalesce(sum(donors), 0) AS BIGINT) AS donors, CAST(coalesce(sum(kept_rows), 0) AS BIGINT) AS rows_under,
-          CAST(coalesce(sum(kept), 0) AS BIGINT) AS donors_under, count(*) FILTER (kept > 0) AS accessions_selected, count(*) FILTER (kept = 0) AS accessions_without_survivor, (SELECT count(*) FROM selected) AS rows_selected FROM of_acc)"""
+        of_acc AS (SELECT accession, sum(n) AS n, count(*) AS donors, count(*) FILTER (ok) AS kept, coalesce(sum(n) FILTER (NOT ok), 0) AS over_rows FROM per GROUP BY 1)
+        SELECT {t}::DOUBLE AS identity_threshold, CAST(coalesce(sum(n), 0) AS BIGINT) AS input_rows, (SELECT count(*) FROM selected) AS kept_rows, CAST(coalesce(sum(over_rows), 0) AS BIGINT) AS filtered_out_rows,
+          count(*) FILTER (kept > 0) AS selected_donors, count(*) FILTER (kept = 0) AS accessions_with_no_surviving_donor, CAST(coalesce(sum(donors), 0) AS BIGINT) AS input_donors,
+          CAST(coalesce(sum(donors - kept), 0) AS BIGINT) AS filtered_out_donors FROM of_acc)"""
 
 
 _SPLIT_IDS = f"ids AS (SELECT DISTINCT {_ACC} AS accession FROM query_split WHERE accession IS NOT NULL)"
@@ -174,7 +175,7 @@ def oracle_sql() -> dict[str, str]:
         "leakage_select": f"WITH {_donors(0.5)} SELECT accession, result_id FROM selected",
         "leakage_filtered": f"WITH {_RAW} SELECT accession, result_id FROM raw WHERE accession IS NOT NULL AND {_IDENTITY} > 0.5",
         "leakage_no_survivor": f"WITH {_RAW} SELECT accession FROM raw WHERE accession IS NOT NULL GROUP BY 1 HAVING min({_IDENTITY}) > 0.3",
-        "leakage_donors": f"WITH {_donors(0.5)} SELECT accession, model_name, layer_index, protein_id, ref_idx, count(*) AS rows FROM selected GROUP BY 1, 2, 3, 4, 5",
+        "leakage_donors": f"WITH {_donors(0.5)} SELECT accession, protein_id, organism, gene_name, query_len, ref_len, count(*) AS rows_kept_for_selected_donor FROM selected GROUP BY 1, 2, 3, 4, 5, 6",
         "leakage_summary": " UNION ALL ".join(_counters(t) for t in CUTOFFS),
         "coverage_report": f"WITH {_vectors()}, {_SPLIT_IDS} SELECT accession, CASE WHEN accession IN (SELECT accession FROM qv) THEN 'yes' ELSE 'no' END AS embedded FROM ids",
         "coverage_missing": f"WITH {_vectors()}, {_SPLIT_IDS} SELECT accession FROM ids WHERE accession NOT IN (SELECT accession FROM qv)",

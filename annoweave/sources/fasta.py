@@ -26,24 +26,24 @@ def records(lines: Iterable[str]) -> Iterator[tuple[str, str]]:
     The identifier is the first word of the header, ``unknown`` if there is none.
     Until a line holds nothing but residue letters it continues the header;
     afterwards every line is sequence, blanks removed, upper case. Text before
-    the first header belongs to nothing. A record may have an empty sequence.
+    the first ``>`` opens a record of its own; residues there belong to none. A
+    record may have an empty sequence.
     """
     header: list[str] | None = None
     body: list[str] = []
     for line in lines:
-        line = line.strip()
-        if not line:
-            continue
         if line.startswith(">"):
             if header is not None:
                 yield _identifier(header), "".join(body)
             header, body = [line[1:]], []
-        elif header is None:
             continue
-        elif body or _RESIDUES.fullmatch(line):
+        line = line.strip()
+        if not line:
+            continue
+        if body or _RESIDUES.fullmatch(line):
             body.append(re.sub(r"\s+", "", line).upper())
         else:
-            header.append(line)
+            header = [*(header or []), line]
     if header is not None:
         yield _identifier(header), "".join(body)
 
@@ -113,17 +113,20 @@ def header_ids(spark: SparkSession, path: str) -> DataFrame:
 
 def priority(name: Column) -> Column:
     """Rank of a file name by its ending, compressed ones after all plain ones; null for other files."""
-    low = F.lower(name)
     out = F.when(F.lit(False), 0)
     for i, e in enumerate(ENDINGS + tuple(f"{e}.gz" for e in ENDINGS)):
-        out = out.when(low.endswith("." + e), i)
+        out = out.when(name.endswith("." + e), i)
     return out
 
 
+def base_name(name: Column) -> Column:
+    return F.regexp_replace(name, r"\.(pep|faa|fa|fasta)(\.gz)?$", "")
+
+
 def chosen_files(files: DataFrame) -> DataFrame:
-    """Of (folder, name): the file with the best ending of each folder, ties by name."""
+    """Of (folder, name): per folder and base name the file with the best ending."""
     ranked = files.withColumn("_p", priority(F.col("name"))).where("_p is not null")
-    return ranked.groupBy("folder").agg(F.min_by("name", F.struct("_p", "name")).alias("name"))
+    return ranked.groupBy("folder", base_name(F.col("name")).alias("base")).agg(F.min_by("name", F.struct("_p", "name")).alias("name"))
 
 
 def folder_batches(files: DataFrame) -> DataFrame:
@@ -132,8 +135,7 @@ def folder_batches(files: DataFrame) -> DataFrame:
     Fewer than 10, more than 10 and fewer than 20, or the rest, which holds
     exactly 10 as well as 20 and more.
     """
-    base = F.regexp_replace("name", r"(?i)\.(pep|faa|fa|fasta)(\.gz)?$", "")
-    n = files.where(priority(F.col("name")).isNotNull()).groupBy("folder").agg(F.countDistinct(base).alias("proteomes"))
+    n = files.where(priority(F.col("name")).isNotNull()).groupBy("folder").agg(F.countDistinct(base_name(F.col("name"))).alias("proteomes"))
     return n.withColumn("batch", F.when(F.col("proteomes") < 10, "lt10").when((F.col("proteomes") > 10) & (F.col("proteomes") < 20), "gt10lt20").otherwise("rest"))
 
 

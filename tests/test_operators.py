@@ -161,16 +161,16 @@ def test_exports(spark):
 
 
 def test_leakage(spark, tmp_path):
-    cols = "accession string, reliability_index double, model_name string, embedding_type_id long, layer_index long, distance double, protein_id string, ref_idx long, sequence_reference string, identity double, go_id string"
-    base = lambda acc, ri, d, p, ident, go: (acc, ri, "M", 1, None, d, p, 1, None, ident, go)
+    cols = "accession string, reliability_index double, distance double, protein_id string, organism string, gene_name string, query_len long, ref_len long, identity double, go_id string"
+    base = lambda acc, ri, d, p, ident, go: (acc, ri, d, p, None, None, 1, None, ident, go)
     raw = spark.createDataFrame([base("a", 0.9, 0.1, "p1", 0.5, "t1"), base("a", 0.9, 0.1, "p1", 0.5, "t2"), base("a", 0.95, 0.05, "p0", 0.51, "t1"), base("a", 0.9, 0.1, "p2", None, "t9"), base("b", 0.4, 0.6, "p", 0.9, "t"), base("c", None, None, None, None, "t")], cols)
     assert rows(leakage.best_donor_rows(raw, 0.5), "accession", "go_id") == [("a", "t1"), ("a", "t2"), ("c", "t")]
     assert rows(leakage.no_survivor(raw, 0.5), "accession") == [("b",)]
     assert leakage.filtered_out(raw, 0.5).count() == 2
     c = leakage.counters(raw, 0.5).first()
-    assert (c["rows"], c["accessions"], c["donors"], c["rows_under"], c["donors_under"], c["accessions_selected"], c["accessions_without_survivor"], c["rows_selected"]) == (6, 3, 5, 4, 3, 2, 1, 3)
+    assert c.asDict() == {"identity_threshold": 0.5, "input_rows": 6, "kept_rows": 3, "filtered_out_rows": 2, "selected_donors": 2, "accessions_with_no_surviving_donor": 1, "input_donors": 5, "filtered_out_donors": 2}
     assert leakage.label(0.5) == "0p50"
-    assert leakage.counters(raw.limit(0), 0.5).first()["rows"] == 0
+    assert leakage.counters(raw.limit(0), 0.5).first()["input_rows"] == 0
     sinks.write_leakage(raw, str(tmp_path), 0.5)
     assert spark.read.text(f"{tmp_path}/global_identity_le_0p50/no_survivor").count() == 1
 
@@ -252,23 +252,24 @@ GGG
 
 def test_fasta(spark, tmp_path):
     got = list(fasta.records(FASTA.splitlines()))
-    assert got == [("one", "ACDEFG"), ("sp|two|X", "ACDXACD*"), ("three", "ACD"), ("unknown", "AAAA"), ("one", "GGG"), ("empty", "")]
+    assert got == [("junk", ""), ("one", "ACDEFG"), ("sp|two|X", "ACDXACD*"), ("three", "ACD"), ("unknown", "AAAA"), ("one", "GGG"), ("empty", "")]
     assert list(fasta.records([])) == []
+    assert list(fasta.records(["ACD", "lost too", ">a", "ACD"])) == [("a", "ACD")]
     import gzip
 
     (tmp_path / "b.fa").write_text(FASTA)
     with gzip.open(tmp_path / "a.fa.gz", "wt") as f:
         f.write(">z\nACD")
     df = fasta.read(spark, str(tmp_path))
-    assert df.count() == 7 and rows(df.where("identifier = 'three'"), "sequence") == [("ACD",)]
+    assert df.count() == 8 and rows(df.where("identifier = 'three'"), "sequence") == [("ACD",)]
     assert rows(fasta._read_remote(spark, str(tmp_path)), "identifier", "sequence") == rows(df, "identifier", "sequence")
-    assert rows(fasta.read(spark, str(tmp_path), 2), "identifier") == [("one",), ("z",)]
+    assert rows(fasta.read(spark, str(tmp_path), 2), "identifier") == [("junk",), ("z",)]
     assert rows(fasta.header_ids(spark, str(tmp_path / "b.fa")), "accession") == [("empty",), ("one",), ("sp_two_X",), ("three",)]
 
 
 def test_folders(spark, tmp_path):
-    files = spark.createDataFrame([("f", "x.fasta"), ("f", "x.pep.gz"), ("f", "y.PEP"), ("f", "z.txt")] + [("g", f"p{i}.faa") for i in range(10)] + [("h", f"p{i}.fa") for i in range(15)] + [("i", f"p{i}.fa") for i in range(20)], "folder string, name string")
-    assert rows(fasta.chosen_files(files).where("folder = 'f'"), "name") == [("y.PEP",)]
+    files = spark.createDataFrame([("f", "x.fasta"), ("f", "x.pep.gz"), ("f", "y.fa.gz"), ("f", "z.txt")] + [("g", f"p{i}.faa") for i in range(10)] + [("h", f"p{i}.fa") for i in range(15)] + [("i", f"p{i}.fa") for i in range(20)], "folder string, name string")
+    assert rows(fasta.chosen_files(files).where("folder = 'f'"), "base", "name") == [("x", "x.fasta"), ("y", "y.fa.gz")]
     assert rows(fasta.folder_batches(files), "folder", "proteomes", "batch") == [("f", 2, "lt10"), ("g", 10, "rest"), ("h", 15, "gt10lt20"), ("i", 20, "rest")]
     done = spark.createDataFrame([("a_20240101000000",)], "name string")
     assert rows(fasta.not_yet_run(spark.createDataFrame([("a",), ("b",)], "p string"), done, "p"), "p") == [("b",)]
