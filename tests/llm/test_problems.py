@@ -415,3 +415,19 @@ def test_quality_on_the_tables(spark):
     assert (model.probability(model.features(mixed)) < 0.5).mean() >= 0.9
     tables = ["\n".join(f"FX{rng.randrange(10**6)}\tGO:{rng.randrange(10**6)}\t0.{rng.randrange(999)}" for _ in range(30)) for _ in range(20)]
     assert (model.probability(model.features(tables)) < 0.5).all()
+
+
+@given(st.lists(st.integers(0, 50), max_size=30), st.integers(1, 60))
+def test_portions_cover_all_rows(sizes, most):
+    from annoweave.llm.portions import portions
+
+    got = list(portions(sizes, most))
+    assert [i for lo, hi in got for i in range(lo, hi)] == list(range(len(sizes)))
+    assert all(sum(sizes[lo:hi]) <= most or hi == lo + 1 for lo, hi in got)
+
+
+def test_texts_of_any_signs(spark):
+    rows = [(0, "acdefghiklmn é中 pq"), (1, ""), (2, None), (3, "ACDEFGHIKLMN é中 PQ"), (4, "12345678901")]
+    distinct = near_duplicates.distinct_texts(spark.createDataFrame(rows, "id long, t string"), "t")
+    links = near_duplicates.similar_texts(distinct, "t").collect()
+    assert len(links) == 1
