@@ -1,20 +1,23 @@
 """Redundancy: cluster tables, the mask they give, and a native clustering.
 
 An external cluster table (cluster, identifier, side) is the contract. The
-native clustering is an approximation of what a dedicated tool would give:
-sequences that share min-hash bands of k-mers are aligned, and each joins the
-longest sequence that it matches at the given identity and coverage.
+native clustering aligns sequences that share as many k-mers as identity and
+coverage imply, and each joins the longest sequence that it matches at both.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 
 from annoweave.functions.align import alignment
 from annoweave.runtime import materialise, spread
 
-#: Residues of a k-mer, min-hashes of a band, and bands.
-K, ROWS, BANDS = 5, 2, 24
+#: Most residues of a seed, and the chance that a pair at the threshold shares one where that is not certain.
+SEED, CHANCE = 6, 0.99
 #: Sequences of a band's bucket that meet in one task; larger buckets are split.
 BUCKET_BLOCK = 256
 
@@ -42,10 +45,74 @@ def sizes(clusters: DataFrame) -> DataFrame:
     return clusters.groupBy("cluster").agg(F.count_if(F.col("side") == "q").alias("queries"), F.count_if(F.col("side") == "r").alias("references"))
 
 
-def _bands(sequence: Column) -> Column:
-    kmers = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(sequence) - K + 1), lambda i: F.xxhash64(F.substring(sequence, i, F.lit(K)))))
-    low = lambda n: F.array_min(F.transform(kmers, lambda h: F.xxhash64(h, F.lit(n))))
-    return F.array(*[F.xxhash64(F.lit(b), *[low(b * ROWS + j) for j in range(ROWS)]) for b in range(BANDS)])
+def _differences(columns: np.ndarray, identity: float) -> np.ndarray:
+    """Most columns without a match in accepted alignments of so many columns."""
+    return np.floor((1 - identity) * columns + 1e-9).astype(np.int64)
+
+
+def _columns(n: int, identity: float, coverage: float) -> np.ndarray:
+    """Columns that an accepted alignment of a joining sequence of ``n`` residues can have."""
+    least = max(1, int(np.ceil(coverage * n - 1e-9)))
+    return np.arange(least, max(least, int(n / identity)) + 1)
+
+
+def seed_length(n: int, identity: float, coverage: float) -> int:
+    """Residues of a run that a joining sequence of ``n`` residues shares with its representative.
+
+    The larger of two: the run that every accepted pair has, since d differences
+    leave d + 1 runs at most; and the longest run (up to SEED) that a pair at the
+    threshold has with CHANCE, if its differences fall independently.
+    """
+    columns = _columns(n, identity, coverage)
+    d = _differences(columns, identity)
+    sure = int((-(-(columns - d) // (d + 1))).min())
+    for k in range(SEED, sure, -1):
+        none = [1.0] * k  # chance of no run of k in so many columns; more columns only help
+        for j in range(k, min(int(columns[0]), 500) + 1):
+            none.append(1 - identity**k if j == k else none[-1] - (1 - identity) * identity**k * none[j - k - 1])
+        if 1 - none[-1] >= CHANCE:
+            return k
+    return min(SEED, sure)
+
+
+def least_shared(n: int, k: int, identity: float, coverage: float) -> int:
+    """Places of a joining sequence whose k-mer every accepted representative has: a difference spoils k at most."""
+    columns = _columns(n, identity, coverage)
+    return max(1, int((columns - k + 1 - k * _differences(columns, identity)).min()))
+
+
+def _seeds(texts: DataFrame, identity: float, coverage: float) -> DataFrame:
+    """(sid, n, seed, places, least) of every k-mer of every text, for the seed lengths k that occur.
+
+    ``least`` is the number of places to share where k is the text's own seed
+    length, so that it can join; else null, and it can only be joined.
+    """
+
+    @F.pandas_udf("int")
+    def own(lengths: pd.Series) -> pd.Series:
+        return lengths.map({n: seed_length(n, identity, coverage) for n in lengths.unique()})
+
+    texts = materialise(texts.withColumn("n", F.length("sequence")).withColumn("k", own("n")), "texts")
+    classes = [(r["k"], r["n"]) for r in texts.groupBy("k").agg(F.min("n").alias("n")).collect()]  # SEED rows at most
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for lo in range(0, len(whole), 256):
+                parts = []
+                for sid, text, n, mine in whole.iloc[lo : lo + 256][["sid", "sequence", "n", "k"]].itertuples(index=False):
+                    raw = np.frombuffer(text.encode(), dtype=np.uint8).astype(np.int64) - 65
+                    for k, shortest in classes:
+                        if n >= max(k, shortest):
+                            code = np.zeros(n - k + 1, dtype=np.int64)
+                            for i in range(k):
+                                code = code * 26 + raw[i : n - k + 1 + i]
+                            seed, places = np.unique(code, return_counts=True)
+                            least = least_shared(n, k, identity, coverage) if k == mine else None
+                            parts.append(pd.DataFrame({"sid": sid, "n": n, "seed": seed * 16 + k, "places": places, "least": pd.Series(least, index=range(len(seed)), dtype="Int32")}))
+                if parts:
+                    yield pd.concat(parts, ignore_index=True)
+
+    return spread(texts, "sid").mapInPandas(run, "sid long, n int, seed long, places int, least int")
 
 
 def cluster(sequences: DataFrame, identity: float, coverage: float) -> DataFrame:
@@ -60,17 +127,14 @@ def cluster(sequences: DataFrame, identity: float, coverage: float) -> DataFrame
     rows = sequences.where("identifier is not null and sequence is not null").select("identifier", "side", F.upper(F.regexp_replace("sequence", "[^A-Za-z]", "")).alias("sequence"))
     rows = materialise(rows.where("sequence != ''").distinct().withColumn("sid", F.xxhash64("sequence")), "sequences")
     texts = rows.select("sid", "sequence").dropDuplicates(["sid"])
-    banded = materialise(texts.where(F.length("sequence") >= K).select("sid", F.explode(_bands(F.col("sequence"))).alias("bucket")), "bands")
-    many = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", F.ceil(F.col("n") / BUCKET_BLOCK).cast("int").alias("nb"))
-    placed = banded.join(many, "bucket").withColumn("i", F.pmod(F.xxhash64("sid"), F.col("nb")).cast("int"))
-    a = placed.select(F.col("sid").alias("a"), "bucket", "i", F.explode(F.expr("sequence(0, nb - 1)")).alias("j"))
-    b = placed.select(F.col("sid").alias("b"), "bucket", F.explode(F.expr("sequence(0, nb - 1)")).alias("i"), F.col("i").alias("j"))
-    pairs = a.join(b, ["bucket", "i", "j"]).where("a < b").select("a", "b").distinct()
-    ta, tb = (texts.select(F.col("sid").alias(x), F.col("sequence").alias(f"s{x}")) for x in "ab")
-    both = pairs.join(ta, "a").join(tb, "b")
-    longer = (F.length("sa") > F.length("sb")) | ((F.length("sa") == F.length("sb")) & (F.col("a") < F.col("b")))
-    both = both.select(*[F.when(longer, F.col(x)).otherwise(F.col(y)).alias(n) for x, y, n in (("a", "b", "rep"), ("b", "a", "sid"), ("sa", "sb", "sr"), ("sb", "sa", "ss"))])
-    both = both.where(F.length("ss") >= coverage * F.length("sr") * identity)
+    seeds = materialise(_seeds(texts, identity, coverage), "seeds")
+    many = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("c"), F.count("least").alias("joining")).where("c > 1 and joining > 0").select("seed", F.ceil(F.col("c") / BUCKET_BLOCK).cast("int").alias("nb"))
+    placed = seeds.join(many, "seed").withColumn("i", F.pmod(F.xxhash64("sid"), F.col("nb")).cast("int"))
+    a = placed.where("least is not null").select("sid", "n", "places", "least", "seed", "i", F.explode(F.expr("sequence(0, nb - 1)")).alias("j"))
+    b = placed.select(F.col("sid").alias("rep"), F.col("n").alias("nr"), "seed", F.explode(F.expr("sequence(0, nb - 1)")).alias("i"), F.col("i").alias("j"))
+    pairs = a.join(b, ["seed", "i", "j"]).where("nr > n or (nr = n and rep < sid)").groupBy("rep", "sid").agg(F.sum("places").alias("shared"), F.first("least").alias("least"))
+    tr, ts = (texts.select(F.col("sid").alias(x), F.col("sequence").alias(y)) for x, y in (("rep", "sr"), ("sid", "ss")))
+    both = pairs.where("shared >= least").select("rep", "sid").join(tr, "rep").join(ts, "sid")
     measured = spread(both, F.xxhash64("rep", "sid")).withColumn("m", alignment("ss", "sr"))
     ok = measured.where((F.col("m.identity_sw") >= identity) & (F.col("m.alignment_length_sw") * (1 - F.col("m.gaps_percentage_sw")) >= coverage * F.length("ss")))
     parent = ok.groupBy("sid").agg(F.max_by("rep", F.struct(F.length("sr"), -F.col("rep"))).alias("rep"))

@@ -195,6 +195,15 @@ def test_native_clusters(spark):
     assert redundancy.cluster(df, 0, 0.7).count() == 0 and redundancy.cluster(df.limit(0), 0.9, 0.7).count() == 0
 
 
+def test_native_clusters_of_fragments(spark):
+    rng = random.Random(5)
+    longer = "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(400))
+    parts = {"30": longer[40:160], "45": longer[200:380], "60": longer[:240], "4": longer[9:25]}
+    df = spark.createDataFrame([("long", "r", longer), *[(k, "q", v) for k, v in parts.items()]], "identifier string, side string, sequence string")
+    got = {r["identifier"]: r["cluster"] for r in redundancy.cluster(df, 0.9, 0.7).collect()}
+    assert len(got) == 5 and len(set(got.values())) == 1
+
+
 def test_collapse(spark):
     data = [("a", "t", "M", 0, 0.5, 1), ("a", "t", "N", None, 0.9, 2), ("a", "u", "N", None, 0.1, 3), ("a", "t", "N", None, 0.9, 1), ("b", "t", "M", 0, None, 1), ("c", "t", "M", 0, -1.0, 1)]
     df = spark.createDataFrame(data, "accession string, go_id string, model_name string, layer_index long, s double, i long")
