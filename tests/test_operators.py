@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +205,28 @@ def test_native_clusters_of_fragments(spark):
     assert len(got) == 5 and len(set(got.values())) == 1
 
 
+@pytest.mark.parametrize("identity", [0.5, 0.6, 0.7, 0.8, 0.9])
+def test_native_clusters_against_brute_force(spark, identity):
+    rng = random.Random(int(identity * 10))
+    letter = lambda: rng.choice("ACDEFGHIKLMNPQRSTVWY")
+    seqs = {}
+    for i in range(60):
+        base = "".join(letter() for _ in range(rng.randint(60, 240)))
+        lo = rng.randint(0, len(base) // 2)
+        seqs[f"{i}a"] = base
+        seqs[f"{i}b"] = "".join(letter() if rng.random() > identity + 0.03 else c for c in base[lo : lo + rng.randint(50, 200)])
+    names = list(seqs)
+    pairs = [(s, r) for s in names for r in names if len(seqs[r]) > len(seqs[s]) and s[:-1] == r[:-1]]
+    m = A.metrics(pd.Series([seqs[s] for s, _ in pairs]), pd.Series([seqs[r] for _, r in pairs]))
+    ok = (m.identity_sw >= identity) & (m.alignment_length_sw * (1 - m.gaps_percentage_sw) >= 0.7 * m.length_query)
+    want = [p for p, x in zip(pairs, ok) if x]
+    df = spark.createDataFrame([(k, "r", v) for k, v in seqs.items()], "identifier string, side string, sequence string")
+    got = {r["identifier"]: r["cluster"] for r in redundancy.cluster(df, identity, 0.7).collect()}
+    found = sum(got[s] == got[r] for s, r in want)
+    print(f"identity {identity}: {found} of {len(want)}")
+    assert len(want) > 5 and found >= 0.95 * len(want)
+
+
 def test_collapse(spark):
     data = [("a", "t", "M", 0, 0.5, 1), ("a", "t", "N", None, 0.9, 2), ("a", "u", "N", None, 0.1, 3), ("a", "t", "N", None, 0.9, 1), ("b", "t", "M", 0, None, 1), ("c", "t", "M", 0, -1.0, 1)]
     df = spark.createDataFrame(data, "accession string, go_id string, model_name string, layer_index long, s double, i long")
