@@ -78,7 +78,7 @@ def fill_batches(sized: DataFrame, group: str, max_segments: int = 256, loss_sha
     of about 8192 items by a hash, so a group with a third of all rows is packed
     by many tasks; no batch mixes groups. ``max_segments`` and ``loss_share``
     (of the capacity) are the other two limits; a chunk with more loss-bearing
-    tokens than the limit still gets a batch of its own. An empty table gives
+    tokens than the limit gets a batch of its own, and the others keep it. An empty table gives
     no rows.
     """
     sized = materialise(sized, "items")
@@ -89,8 +89,13 @@ def fill_batches(sized: DataFrame, group: str, max_segments: int = 256, loss_sha
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(rest, ignore_index=True)
         cap = int(pdf["capacity"].iloc[0])
-        most = max(int(cap * loss_share), int(pdf["loss_tokens"].max()), 1)
-        pdf["batch_no"] = pack(pdf["tokens"].to_numpy(), pdf["loss_tokens"].to_numpy(), cap, max(1, max_segments), most)
+        most = max(int(cap * loss_share), 1)
+        tokens, loss = pdf["tokens"].to_numpy(), pdf["loss_tokens"].to_numpy()
+        alone = loss > most
+        batch = np.empty(len(pdf), dtype=np.int64)
+        batch[~alone] = pack(tokens[~alone], loss[~alone], cap, max(1, max_segments), most)
+        batch[alone] = np.arange(alone.sum()) + (batch[~alone].max() + 1 if not alone.all() else 0)
+        pdf["batch_no"] = batch
         return pdf
 
     schema = spread.withColumn("batch_no", F.lit(0).cast("long")).schema

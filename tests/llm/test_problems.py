@@ -265,6 +265,14 @@ def test_batches(spark):
     assert packing.fill_batches(sized.limit(0), "embedding_type_id").count() == 0
 
 
+def test_loss_limit_holds_beside_an_item_over_it(spark):
+    items = [(1, i, 0, 10, 10, 100) for i in range(30)] + [(1, 99, 0, 100, 100, 100), (2, 1, 0, 90, 90, 100)]
+    sized = spark.createDataFrame(items, "g int, content_id long, chunk_no long, tokens long, loss_tokens long, capacity long")
+    out = packing.fill_batches(sized, "g", loss_share=0.5).toPandas()
+    sums = out.groupby(["g", "batch_block", "batch_no"]).agg(loss=("loss_tokens", "sum"), items=("tokens", "size"))
+    assert len(out) == 32 and ((sums.loss <= 50) | (sums["items"] == 1)).all() and (sums.loss > 50).sum() == 2
+
+
 def test_batches_are_full(spark):
     report = queries.p4_report(spark, DATA).toPandas()
     assert (report.batches <= report.least_batches + 2).all()
