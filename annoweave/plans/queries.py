@@ -119,6 +119,12 @@ def sequence_clusters(spark: SparkSession, d: str) -> DataFrame:
     return redundancy.cluster(prepare.all_sequences(t.sequences, t.queries), identity=0.9, coverage=0.7)
 
 
+@_query
+def knn_cluster_mask(spark: SparkSession, d: str) -> DataFrame:
+    """Search without neighbours of the query's own cluster at identity 0.9 and coverage 0.7."""
+    return _search(spark, d, k=3, masked=redundancy.mask(sequence_clusters(spark, d)))
+
+
 @_query
 def sequence_union(spark: SparkSession, d: str) -> DataFrame:
     t = pipeline.Tables.at(spark, d)

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from annoweave.config import Summary
 from annoweave.functions import align as A
 from annoweave.operators import annotate, collapse, coverage, embed, exports, knn, leakage, prepare, redundancy, reference, summary, taxonomy
+from annoweave.plans import pipeline, queries
 from annoweave.sources import fasta, raw as raw_source, sinks
 
+from .conftest import DATA
+
 Q = "accession string, embedding_type_id int, layer_index int, embedding array<float>"
 R = "sequence_id long, embedding_type_id int, layer_index int, embedding array<float>"
 
@@ -227,6 +230,30 @@ def test_native_clusters_against_brute_force(spark, identity):
     assert len(want) > 5 and found >= 0.95 * len(want)
 
 
+def test_search_masked_by_clusters(spark):
+    t = pipeline.Tables.at(spark, DATA)
+    both = [(r["identifier"], r["side"], r["sequence"]) for r in prepare.all_sequences(t.sequences, t.queries).collect() if r["sequence"]]
+    sid = {r["s"]: r["h"] for r in spark.createDataFrame([(x[2],) for x in both], "s string").distinct().select("s", F.xxhash64("s").alias("h")).collect()}
+    order = lambda x: (len(x), -sid[x])
+    texts = sorted(sid, key=order)
+    pairs = [(s, r) for i, s in enumerate(texts) for r in texts[i + 1 :]]
+    m = A.metrics(pd.Series([s for s, _ in pairs]), pd.Series([r for _, r in pairs]))
+    near = {p for p, x in zip(pairs, (m.identity_sw >= 0.9) & (m.alignment_length_sw * (1 - m.gaps_percentage_sw) >= 0.7 * m.length_query)) if x}
+    assert near
+    top = {}
+    for s in reversed(texts):
+        rep = max((r for x, r in near if x == s), key=order, default=None)
+        top[s] = top[rep] if rep else s
+    masked = {(a, int(b)) for a, x, u in both if x == "q" for b, y, v in both if y == "r" and top[u] == top[v]}
+    refs = reference.reference_vectors(t.references, t.sequences, t.proteins)
+    want = knn.declarative(t.queries, refs, k=1000).toPandas()
+    want = want[[(a, b) not in masked for a, b in zip(want.accession, want.ref_sequence_id)]]
+    want = want.assign(d=want.distance.round(10)).sort_values(["d", "ref_sequence_id"]).groupby(["accession", "embedding_type_id", "layer_index"], dropna=False).head(3)
+    got = queries.knn_cluster_mask(spark, DATA).toPandas()
+    key = lambda f: sorted(map(repr, zip(f.accession, f.ref_sequence_id.astype(int), f.embedding_type_id.astype(int), f.layer_index.fillna(-1).astype(int))))
+    assert key(got) == key(want)
+
+
 def test_collapse(spark):
     data = [("a", "t", "M", 0, 0.5, 1), ("a", "t", "N", None, 0.9, 2), ("a", "u", "N", None, 0.1, 3), ("a", "t", "N", None, 0.9, 1), ("b", "t", "M", 0, None, 1), ("c", "t", "M", 0, -1.0, 1)]
     df = spark.createDataFrame(data, "accession string, go_id string, model_name string, layer_index long, s double, i long")
