@@ -28,6 +28,8 @@ from annoweave.llm.portions import portions
 from annoweave.llm.winnowing import CHARS, words
 
 TRAIN_DOCS, TRAIN_CHARS, VOCABULARY, LEAST_DF = 4000, 20_000, 1500, 6
+#: Most rows of the table of common words; a larger one is refused, never cut.
+MOST_WORDS = 1_000_000
 #: Words to either side that decide whether a word stands in prose, and the
 #: levels of mean log odds (in sixteenths) from which they do.
 REACH, LEVELS = 6, (4, 10, 16)
@@ -225,7 +227,10 @@ class Prose:
 
 def fit(docs: DataFrame, doc_id: str, text: str, common_words: DataFrame) -> Prose:
     """The model of a table; at most about TRAIN_DOCS documents reach the driver."""
-    common = Common([(r["lang"], r["word"]) for r in common_words.select("lang", "word").distinct().orderBy("lang", "word").limit(10_000).collect()])
+    listed = common_words.select("lang", "word").distinct().limit(MOST_WORDS + 1).collect()
+    if len(listed) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} common words: they must fit the driver and every task")
+    common = Common(sorted(((r["lang"], r["word"]) for r in listed), key=lambda x: (x[0] or "", x[1] or "")))
     total = docs.count()
     share = min(1.0, TRAIN_DOCS / max(total, 1))
     chosen = docs.where((F.pmod(F.xxhash64(F.col(doc_id), F.lit(3)), F.lit(1_000_000)) < int(share * 1_000_000)) & F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS))

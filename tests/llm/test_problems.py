@@ -439,3 +439,16 @@ def test_texts_of_any_signs(spark):
     distinct = near_duplicates.distinct_texts(spark.createDataFrame(rows, "id long, t string"), "t")
     links = near_duplicates.similar_texts(distinct, "t").collect()
     assert len(links) == 1
+
+
+def test_common_words_are_never_cut(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    words = spark.range(10_001).select(F.lit("aa").alias("lang"), F.col("id").cast("string").alias("word")).union(spark.createDataFrame([("zz", "last")], "lang string, word string"))
+    seen = []
+    monkeypatch.setattr(quality, "Common", lambda x: seen.extend(x))
+    monkeypatch.setattr(quality, "Prose", lambda common, texts: None)
+    quality.fit(docs, "doc_id", "text", words)
+    assert len(seen) == 10_002 and seen[-1] == ("zz", "last")
+    monkeypatch.setattr(quality, "MOST_WORDS", 10_000)
+    with pytest.raises(ValueError, match="common words"):
+        quality.fit(docs, "doc_id", "text", words)
