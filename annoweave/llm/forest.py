@@ -2,18 +2,23 @@
 
 Method: a hash-prefix forest. Per tree every vector gets a long string of bits;
 the strings of a tree, sorted, are its array. A query descends to its longest
-prefix match and ascends, prefix by prefix, until enough candidates share the
-prefix; candidates of all trees are merged. The sorted arrays are built by a
-range partitioning and a sort, so an array of any size is a row of partitions,
-and because every vector is also a query each partition answers its own rows.
-Two rows on either side of a partition or chunk border miss each other in that
-tree only.
+prefix match and ascends, prefix by prefix, until enough rows share the prefix;
+the rows of a prefix that are farther off in the sorted array than ``SPAN`` times
+as many are not looked at. Every tree is ascended by the same rule, and the
+candidates of all trees are merged.
+
+What is shuffled once per tree is the string, an id and an eight-bit code of the
+vector, never the vector: codes rank the candidates (their cosine is off by about
+0.001), and the best of them are verified with the vectors themselves. The sorted
+arrays are built by a range partitioning, so an array of any size is a row of
+partitions. A row near a partition's border meets the neighbouring partition's
+rows in a second, small pass over the borders, so no border hides a candidate.
 
 The first ``FITTED`` bits of a string are the path through a tree of halvings
 (two means each) that is fitted on a sample of at most about ``SAMPLE`` vectors
 of the space, another one per tree; the others are signs of random projections.
-Every vector is indexed. The candidates that a query wants grow as N ** 0.6, which
-keeps the recall where neighbours are weak (README has the figures measured).
+Every vector is indexed. The candidates of a query grow as the square root of the
+vectors of its space (README has the recall measured), a partition with them.
 """
 
 from __future__ import annotations
@@ -22,22 +27,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from annoweave.llm.topn import top_n
 from annoweave.runtime import materialise
 
 TREES, BITS, FITTED, SAMPLE = 10, 62, 7, 1024
-#: Candidates of a query: at least the first, else the factor times N ** power.
-CANDIDATES, FACTOR, POWER = 384, 3.0, 0.6
-#: Rows of a range partition, and rows of a sorted array searched at a time.
-RANGE_ROWS, CHUNK_ROWS = 40_000, 65_536
+#: Candidates of a query and tree: at least the first, else a factor times the root of the vectors of its space.
+CANDIDATES, FACTOR, NEAR_FACTOR = 256, 8.0, 3.0
+#: A prefix that more rows share is looked at within so many times the candidates wanted.
+SPAN = 4
+#: Rows of a range partition: so many at least, else a multiple of the longest span.
+RANGE_ROWS, RANGE_SPANS = 40_000, 8
+#: Candidates beyond k that are verified, and what a code's cosine may be off.
+SLACK, MARGIN = 8, 0.02
 _SEED = 7
 
 
-def wanted(n: int) -> int:
-    """Candidates of a query among ``n`` vectors."""
-    return max(CANDIDATES, int(FACTOR * n**POWER))
+def wanted(n: int, factor: float = FACTOR) -> int:
+    """Candidates that a query wants of a tree, among ``n`` vectors."""
+    return max(CANDIDATES, int(factor * n**0.5))
 
 
 def planes(dim: int, tree: int) -> np.ndarray:
@@ -82,6 +91,11 @@ def hash_strings(unit: np.ndarray, tree: int, normals: np.ndarray) -> np.ndarray
     return (path << rest) + bits @ (np.int64(1) << np.arange(rest - 1, -1, -1, dtype=np.int64))
 
 
+def codes(unit: np.ndarray) -> np.ndarray:
+    """Vectors as signed bytes, each scaled by its largest component."""
+    return np.rint(unit * (127 / np.abs(unit).max(1, keepdims=True))).astype(np.int8)
+
+
 def prefix_intervals(h: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
     """For each row of a sorted array, the rows that share its longest prefix held by at least ``want``."""
     want = min(want, len(h))
@@ -100,32 +114,58 @@ def prefix_intervals(h: np.ndarray, want: int) -> tuple[np.ndarray, np.ndarray]:
     return at(good)
 
 
-def search_array(h: np.ndarray, unit: np.ndarray, ids: np.ndarray, k: int, want: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, neighbour id, cosine) of the ``k`` best candidates of every row of one sorted array."""
+def search_array(h: np.ndarray, code: np.ndarray, ask: np.ndarray, k: int, want: int, least: float = -1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query row, neighbour row, cosine of the codes) of the ``k`` best candidates of every asked row of a sorted array.
+
+    Only candidates with a cosine of ``least`` or more count.
+    """
     lo, hi = prefix_intervals(h, want)
-    order = np.lexsort((hi, lo))
-    cut = np.flatnonzero(np.append(True, (lo[order][1:] != lo[order][:-1]) | (hi[order][1:] != hi[order][:-1])))
-    qs, ns, ss = [], [], []
+    at = np.arange(len(h))
+    half = SPAN * want // 2
+    # rows of one interval are looked at together, in stretches of neighbours
+    stretch = np.where(hi - lo > 2 * half, at // 256, -1)
+    order = np.lexsort((stretch, hi, lo))
+    order = order[ask[order]]
+    same = (lo[order][1:] == lo[order][:-1]) & (hi[order][1:] == hi[order][:-1]) & (stretch[order][1:] == stretch[order][:-1])
+    cut = np.flatnonzero(np.append(True, ~same)) if len(order) else np.empty(0, np.int64)
+    qs, ns, ss = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.float32)]
     for block in np.split(order, cut[1:]):
+        if not len(block):
+            continue
         a, z = lo[block[0]], hi[block[0]]
+        if stretch[block[0]] >= 0:
+            a, z = max(a, block.min() - half), min(z, block.max() + half + 1)
+        x = code[a:z].astype(np.float32)
+        x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
         for part in np.array_split(block, -(-len(block) // 256)):
-            sim = unit[part] @ unit[a:z].T
+            sim = x[part - a] @ x.T
             sim[np.arange(len(part)), part - a] = -2
-            take = min(k, z - a - 1)
-            if take < 1:
-                continue
-            best = np.argpartition(-sim, take - 1, axis=1)[:, :take]
-            qs.append(np.repeat(ids[part], take))
-            ns.append(ids[a:z][best].ravel())
-            ss.append(np.take_along_axis(sim, best, 1).ravel())
-    if not qs:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.float32)
+            if least > -1:
+                row, col = np.nonzero(sim >= least)
+                # of many near ones the best k
+                s = sim[row, col]
+                by = np.lexsort((-s, row))
+                row, col, s = row[by], col[by], s[by]
+                keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+                row, col, s = row[keep], col[keep], s[keep]
+            else:
+                take = min(k, z - a - 1)
+                if take < 1:
+                    continue
+                best = np.argpartition(-sim, take - 1, axis=1)[:, :take]
+                row, col, s = np.repeat(np.arange(len(part)), take), best.ravel(), np.take_along_axis(sim, best, 1).ravel()
+            qs.append(part[row])
+            ns.append(a + col)
+            ss.append(s)
     return np.concatenate(qs), np.concatenate(ns), np.concatenate(ss)
 
 
-_HASHED = "space string, tree int, h long, vid long, unit binary"
-_FOUND = "a long, b long, similarity double"
-_ARROW = pa.schema([("space", pa.string()), ("tree", pa.int32()), ("h", pa.int64()), ("vid", pa.int64()), ("unit", pa.binary())])
+#: Rows of the sorted arrays: ``st`` numbers space and tree; and what a search
+#: gives, which is hits (a, b, similarity) and border rows (border and the rest).
+_HASHED = "st int, h long, vid long, ask boolean, code binary"
+_FOUND = f"a long, b long, similarity double, border int, {_HASHED}"
+_ROW = pa.schema([("st", pa.int32()), ("h", pa.int64()), ("vid", pa.int64()), ("ask", pa.bool_()), ("code", pa.binary())])
+_OUT = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64()), ("border", pa.int32()), *_ROW])
 
 
 def _unit(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
@@ -135,68 +175,79 @@ def _unit(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True).astype(np.float32)
 
 
-def _hash_rows(fitted: dict[str, np.ndarray]):
+def _hash_rows(fitted: dict[int, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            space = b["space"].dictionary_encode()
-            for i, name in enumerate(space.dictionary.to_pylist()):
-                rows = np.flatnonzero(space.indices.to_numpy() == i)
+            space = b["space"].to_numpy()
+            for s in np.unique(space):
+                rows = np.flatnonzero(space == s)
                 x = _unit(b, rows)
                 head = b.take(pa.array(rows))
-                packed = pa.array([r.tobytes() for r in np.ascontiguousarray(x)], pa.binary())
+                packed = pa.array([r.tobytes() for r in codes(x)], pa.binary())
                 for tree in range(TREES):
-                    h = hash_strings(x, tree, fitted[name][tree])
-                    yield pa.RecordBatch.from_arrays([head["space"], pa.array(np.full(len(rows), tree, np.int32)), pa.array(h), head["vid"], packed], schema=_ARROW)
+                    h = hash_strings(x, tree, fitted[int(s)][tree])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), s * TREES + tree, np.int32)), pa.array(h), head["vid"], head["ask"], packed], schema=_ROW)
 
     return run
 
 
-def _fitted(distinct: DataFrame, counts: dict[str, int]) -> dict[str, np.ndarray]:
+def sampled(share: Column, *cols: str) -> Column:
+    """Whether a row falls into a share (0 to 1) of all, by 64 bits of a hash: no share is too small for it."""
+    return (F.xxhash64(*cols, F.lit(_SEED)).cast("double") / F.lit(2.0**64) + 0.5) < share
+
+
+def _fitted(vectors: DataFrame, counts: dict[int, int]) -> dict[int, np.ndarray]:
     """Per space the halvings of all trees. Spaces are models and layers, a short list."""
     if not counts:
         return {}
-    share = F.create_map(*[F.lit(x) for s, n in counts.items() for x in (s, min(1_000_000, int(1_300_000 * SAMPLE / n)))])
-    chosen = distinct.where(F.pmod(F.xxhash64("vid", F.lit(_SEED)), F.lit(1_000_000)) < F.element_at(share, F.col("space")))
-    sample = chosen.select("space", "vid", "embedding").limit(2 * SAMPLE * len(counts)).toPandas().sort_values(["space", "vid"])
+    share = F.create_map(*[x for s, n in counts.items() for x in (F.lit(s), F.lit(min(1.0, 1.3 * SAMPLE / n)))])
+    sample = vectors.where(sampled(F.element_at(share, F.col("space")), "vid")).select("space", "vid", "embedding").limit(2 * SAMPLE * len(counts)).toPandas().sort_values(["space", "vid"])
     out = {}
-    for s in counts:
+    for s, n in counts.items():
         mine = sample[sample["space"] == s]["embedding"]
-        if len(mine):
-            x = np.stack(mine.to_numpy()).astype(np.float32)
-            x /= np.linalg.norm(x, axis=1, keepdims=True)
-        else:
-            x = np.zeros((0, len(distinct.where(F.col("space") == s).select("embedding").first()[0])), np.float32)
+        if len(mine) < min(n, SAMPLE // 2):
+            raise ValueError(f"a sample of {len(mine)} of {n} vectors: too few to fit the forest on")
+        x = np.stack(mine.to_numpy()).astype(np.float32)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
         out[s] = np.stack([fit_halvings(x, tree) for tree in range(TREES)])
     return out
 
 
-def _search(k: int, counts: dict[str, int]):
-    def flush(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(rows).combine_chunks()
-        coded = t["space"].combine_chunks().dictionary_encode()
-        space, tree, names = coded.indices.to_numpy(), t["tree"].to_numpy(), coded.dictionary.to_pylist()
-        cut = np.flatnonzero((space[1:] != space[:-1]) | (tree[1:] != tree[:-1])) + 1
-        for a, z in zip([0, *cut], [*cut, len(space)]):
-            part = t.slice(a, z - a)
-            unit = np.frombuffer(b"".join(part["unit"].to_pylist()), dtype=np.float32).reshape(z - a, -1)
-            q, n, s = search_array(part["h"].to_numpy(), unit, part["vid"].to_numpy(), k, wanted(counts[names[space[a]]]))
-            for lo in range(0, len(q), 50_000):
-                cols = [q[lo : lo + 50_000], n[lo : lo + 50_000], np.round(s[lo : lo + 50_000].astype(np.float64), 6)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["a", "b", "similarity"])
+def _matrix(code: pa.Array) -> np.ndarray:
+    """The codes of rows of one length, without copying them."""
+    ends = np.frombuffer(code.buffers()[1], np.int32)[code.offset : code.offset + len(code) + 1]
+    return np.frombuffer(code.buffers()[2], np.int8)[ends[0] : ends[-1]].reshape(len(code), -1)
+
+
+def _search(k: int, want: dict[int, int], least: float, borders: bool):
+    """Searches all rows of a partition; ``borders`` says that it is one of a row of partitions, not a set of borders."""
+
+    def found(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        vid = part["vid"].to_numpy()
+        q, n, s = search_array(part["h"].to_numpy(), _matrix(part["code"].combine_chunks()), part["ask"].to_numpy(), k, want[part["st"][0].as_py() // TREES], least)
+        for lo in range(0, len(q), 50_000):
+            cols = [pa.array(vid[q[lo : lo + 50_000]]), pa.array(vid[n[lo : lo + 50_000]]), pa.array(s[lo : lo + 50_000].astype(np.float64))]
+            yield pa.RecordBatch.from_arrays([*cols, *[pa.nulls(len(cols[0]), f.type) for f in list(_OUT)[3:]]], schema=_OUT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for b in batches:
-            while b.num_rows:
-                room = CHUNK_ROWS - n
-                held.append(b.slice(0, room))
-                n += held[-1].num_rows
-                b = b.slice(held[-1].num_rows)
-                if n == CHUNK_ROWS:
-                    yield from flush(held)
-                    held, n = [], 0
-        if n:
-            yield from flush(held)
+        from pyspark import TaskContext
+
+        rows = list(batches)
+        if not sum(b.num_rows for b in rows):
+            return
+        t = pa.Table.from_batches(rows).combine_chunks()
+        key = [t["st"].to_numpy()] if borders else [t["st"].to_numpy(), t["border"].to_numpy()]
+        cut = np.flatnonzero(np.any([x[1:] != x[:-1] for x in key], axis=0)) + 1
+        for a, z in zip([0, *cut], [*cut, t.num_rows]):
+            part = t.slice(a, z - a)
+            yield from found(part)
+            if borders:
+                here, most = TaskContext.get().partitionId(), SPAN * want[int(key[0][a]) // TREES]
+                ends = ([(here - 1, part.slice(0, most))] if a == 0 else []) + ([(here, part.slice(max(0, z - a - most)))] if z == t.num_rows else [])
+                for border, edge in ends:
+                    n = edge.num_rows
+                    cols = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.array(np.full(n, border, np.int32))]
+                    yield from pa.Table.from_arrays([*cols, *[edge[f.name] for f in _ROW]], schema=_OUT).combine_chunks().to_batches(10_000)
 
     return run
 
@@ -210,32 +261,77 @@ def usable(vectors: DataFrame, model: str, vector: str) -> DataFrame:
     return sized.where("_size > 0").where(ok).join(length, model).where("_size = _length").drop("_size", "_length")
 
 
-def nearest(vectors: DataFrame, item: str, space: list[str], vector: str, k: int) -> DataFrame:
+def _candidates(vectors: DataFrame, counts: dict[int, int], k: int, least: float, factor: float) -> DataFrame:
+    """(a, b, similarity of the codes) of distinct vectors: of every asked one the best candidates of all trees."""
+    want = {s: wanted(n, factor) for s, n in counts.items()}
+    most = k + SLACK
+    rows = max(RANGE_ROWS, RANGE_SPANS * SPAN * max(want.values(), default=0))
+    parts = max(1, -(-sum(counts.values()) * TREES // rows))
+    order = ["st", "h", "vid"]
+    arrays = vectors.mapInArrow(_hash_rows(_fitted(vectors, counts)), _HASHED).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    first = materialise(arrays.mapInArrow(_search(most, want, least, True), _FOUND), "hits")
+    edges = first.where("border is not null").select("border", "st", "h", "vid", "ask", "code")
+    edges = edges.repartition("border", "st").sortWithinPartitions("st", "border", "h", "vid")
+    more = edges.mapInArrow(_search(most, want, least, False), _FOUND)
+    hits = first.where("border is null").select("a", "b", "similarity").union(more.select("a", "b", "similarity"))
+    return top_n(hits.withColumn("cost", F.lit(0.0)), "a", "similarity", "cost", "b", most).select("a", "b")
+
+
+def _verified(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(a, b, similarity) of vectors, rounded to six decimals."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            dims = np.diff(b["va"].offsets.to_numpy())
+            sim = np.empty(b.num_rows)
+            for d in np.unique(dims):
+                rows = pa.array(np.flatnonzero(dims == d))
+                x, y = (b[c].take(rows).flatten().to_numpy().astype(np.float64).reshape(len(rows), -1) for c in ("va", "vb"))
+                sim[dims == d] = (x * y).sum(1) / np.sqrt((x * x).sum(1) * (y * y).sum(1))
+            yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(np.round(sim, 6))], names=["a", "b", "similarity"])
+
+    v = vectors.select("vid", "embedding")
+    wide = pairs.join(v.toDF("a", "va"), "a").join(v.toDF("b", "vb"), "b").select("a", "b", "va", "vb")
+    return wide.mapInArrow(run, "a long, b long, similarity double")
+
+
+def nearest(vectors: DataFrame, item: str, space: list[str], vector: str, k: int, least: float | None = None, asked: Column | None = None, order: Column | None = None, factor: float | None = None) -> DataFrame:
     """The ``k`` most similar other vectors of the same space: (item, neighbour, similarity).
 
-    ``vectors`` must be usable (see :func:`usable`), one row per item (null
-    items are left out); null space columns are a space of their own. Equal vectors are merged before the
-    search and are each other's neighbours at 1.0, least id first, so a group of
-    copies of any size costs one entry. A space of one vector gives no rows;
-    ``k`` is 1 at least. Similarities are rounded to six decimals.
+    ``vectors`` must be usable (see :func:`usable`); null items are left out, null
+    space columns are a space of their own. Of several rows of an item the one
+    with the greatest ``order`` counts (without it any). ``asked`` says for which items neighbours are
+    wanted (all by default); all vectors are searched. With ``least`` only
+    neighbours of that cosine or more come out, which takes fewer candidates.
+    Equal vectors are merged before the search and are each other's neighbours at
+    1.0, least id first, so a group of copies of any size costs one entry. A
+    space of one vector gives no rows; ``k`` is 1 at least. Similarities are
+    rounded to six decimals.
     """
+    spark = vectors.sparkSession
     key = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in space])
-    rows = vectors.where(F.col(item).isNotNull()).select(F.col(item).cast("long").alias("item"), key.alias("space"), F.col(vector).alias("embedding")).withColumn("vid", F.xxhash64("space", "embedding"))
-    rows = materialise(rows, "vectors")
-    distinct = rows.select("vid", "space", "embedding").dropDuplicates(["vid"])
-    counts = {r["space"]: r["n"] for r in rows.groupBy("space").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = max(1, -(-sum(counts.values()) * TREES // RANGE_ROWS))
-    order = ["space", "tree", "h", "vid"]
-    arrays = distinct.mapInArrow(_hash_rows(_fitted(rows, counts)), _HASHED).repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    hits = arrays.mapInArrow(_search(k, counts), _FOUND).withColumn("cost", F.lit(0.0))
-    best = top_n(hits, "a", "similarity", "cost", "b", k)
+    rows = vectors.where(F.col(item).isNotNull()).select(F.col(item).cast("long").alias("item"), key.alias("name"), F.coalesce(asked if asked is not None else F.lit(True), F.lit(False)).alias("ask"), (order if order is not None else F.lit(0)).alias("at"), F.col(vector).alias("embedding"))
+    rows = rows.withColumn("vid", F.xxhash64("name", "embedding"))
+    # ids alone are grouped to the latest row of an item; vectors meet once, by the hash that they are merged by
+    items = materialise(rows.groupBy("item").agg(F.max_by(F.struct("vid", "name", "ask"), F.struct("at", "vid")).alias("r")).select("item", "r.*"), "items")
+    per = sorted((r["name"], r["n"]) for r in items.groupBy("name").agg(F.countDistinct("vid").alias("n")).collect())
+    number = {name: i for i, (name, _) in enumerate(per)}
+    counts = {number[name]: n for name, n in per}
+    named = spark.createDataFrame(list(number.items()), "name string, space int")
+    used = items.groupBy("vid", "name").agg(F.max("ask").alias("ask")).join(F.broadcast(named), "name").select("vid", "space", "ask")
+    distinct = materialise(rows.select("vid", "embedding").dropDuplicates(["vid"]).join(used, "vid"), "vectors")
+    bound = -1.0 if least is None else least - MARGIN
+    pairs = _candidates(distinct, counts, k, bound, factor or (FACTOR if least is None else NEAR_FACTOR))
+    best = top_n(_verified(pairs, distinct).withColumn("cost", F.lit(0.0)), "a", "similarity", "cost", "b", k)
     # copies: the k + 1 least ids of every distinct vector are enough for any member's answer
-    zero = rows.select("vid", "item", F.lit(0.0).alias("z"))
+    zero = items.select("vid", "item", F.lit(0.0).alias("z"))
     copies = materialise(top_n(zero, "vid", "z", "z", "item", k + 1).select("vid", "item"), "copies")
     near = best.select(F.col("a").alias("owner"), F.col("b").alias("vid"), "similarity").join(copies, "vid").select("owner", "item", "similarity")
     near = near.union(copies.select(F.col("vid").alias("owner"), "item", F.lit(1.0)))
+    if least is not None:
+        near = near.where(F.col("similarity") >= least)
     # at most (k + 1) * (k + 1) entries each
     answer = near.groupBy("owner").agg(F.array_sort(F.collect_list(F.struct((-F.col("similarity")).alias("s"), F.col("item").alias("n")))).alias("near"))
-    out = rows.select("item", F.col("vid").alias("owner")).join(answer, "owner")
+    out = items.where("ask").select("item", F.col("vid").alias("owner")).join(answer, "owner")
     out = out.select("item", F.explode(F.slice(F.filter("near", lambda x: x["n"] != F.col("item")), 1, k)).alias("x"))
     return out.select(F.col("item").alias(item), F.col("x.n").alias("neighbour"), (-F.col("x.s")).alias("similarity"))

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from annoweave.functions.text import accession, letters, source_name, split_name
 from annoweave.llm import boundaries, forest, mixture, near_duplicates, packing, quality, split_overlap, topn, winnowing
+from annoweave.operators import knn
 from annoweave.runtime import materialise, table
 
 PAIR = ["accession", "embedding_type_id"]
@@ -100,22 +101,54 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p4_batches(spark, d), "embedding_type_id")
 
 
-def _neighbours(spark: SparkSession, d: str) -> DataFrame:
+#: Of the searches that are no pN_found every vector with an id divisible by this is a query, against all vectors.
+ASKED = 20
+
+
+def _vectors(spark: SparkSession, d: str) -> DataFrame:
     q = table(spark, d, "query_embedding").where(F.col("vec_id").isNotNull() & F.col("embedding_type_id").isNotNull())
-    q = forest.usable(q.select("vec_id", "embedding_type_id", "layer_index", "embedding", "created_at"), "embedding_type_id", "embedding")
     # of several deliveries of a vec_id the latest counts
-    latest = F.max_by(F.struct("embedding_type_id", "layer_index", "embedding"), F.coalesce("created_at", F.lit("1970-01-01").cast("timestamp_ntz").cast(q.schema["created_at"].dataType)))
-    q = q.groupBy("vec_id").agg(latest.alias("v")).select("vec_id", "v.*")
-    return forest.nearest(q, "vec_id", ["embedding_type_id", "layer_index"], "embedding", 5)
+    at = F.coalesce(F.col("created_at").cast("timestamp"), F.timestamp_seconds(F.lit(0)))
+    q = q.select("vec_id", F.col("embedding_type_id").cast("long").alias("embedding_type_id"), F.col("layer_index").cast("long").alias("layer_index"), "embedding", at.alias("at"))
+    return forest.usable(q, "embedding_type_id", "embedding")
+
+
+SPACE = ["embedding_type_id", "layer_index"]
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    near = _neighbours(spark, d).where("similarity >= 0.9")
+    near = forest.nearest(_vectors(spark, d), "vec_id", SPACE, "embedding", 5, least=0.9, order=F.col("at"))
     return near.select(F.least("vec_id", "neighbour").alias("vec_id_a"), F.greatest("vec_id", "neighbour").alias("vec_id_b")).distinct()
 
 
 def p5_neighbours(spark: SparkSession, d: str) -> DataFrame:
-    return _neighbours(spark, d)
+    """The five most similar vectors of every vector whose id is divisible by 20, among all."""
+    return forest.nearest(_vectors(spark, d), "vec_id", SPACE, "embedding", 5, asked=F.col("vec_id") % ASKED == 0, order=F.col("at"))
+
+
+def p5_exact(spark: SparkSession, d: str) -> DataFrame:
+    """The same by exact search in blocks."""
+    v = _vectors(spark, d)
+    latest = v.groupBy("vec_id").agg(F.max_by(F.struct(*SPACE, "embedding"), F.struct("at", F.xxhash64("embedding"))).alias("v")).select("vec_id", "v.*")
+    asked = latest.where(F.col("vec_id") % ASKED == 0).withColumn("accession", F.col("vec_id").cast("string"))
+    # one more than wanted, since every vector is its own nearest or one of its copies
+    hits = knn.blocked(asked, latest.withColumnRenamed("vec_id", "sequence_id"), 6)
+    hits = hits.select(F.col("accession").cast("long").alias("vec_id"), F.col("ref_sequence_id").alias("neighbour"), F.round(1 - F.col("distance"), 6).alias("similarity")).where("vec_id != neighbour")
+    first = Window.partitionBy("vec_id").orderBy(F.col("similarity").desc(), "neighbour")
+    return hits.withColumn("_rn", F.row_number().over(first)).where("_rn <= 5").drop("_rn")
+
+
+def p5_recall(spark: SparkSession, d: str) -> DataFrame:
+    """Recall of p5_neighbours against p5_exact per model and layer."""
+    mine = p5_neighbours(spark, d).select("vec_id", "neighbour", F.lit(1).alias("hit"))
+    both = p5_exact(spark, d).join(mine, ["vec_id", "neighbour"], "left")
+    space = _vectors(spark, d).select("vec_id", *SPACE).distinct()
+    out = both.join(space, "vec_id").groupBy(*SPACE).agg(F.countDistinct("vec_id").alias("queries"), F.count(F.lit(1)).alias("neighbours"), F.count("hit").alias("found"))
+    return out.withColumn("recall", F.round(F.col("found") / F.col("neighbours"), 4))
+
+
+def p5_recall_reached(spark: SparkSession, d: str) -> DataFrame:
+    return p5_recall(spark, d).select(*SPACE, "queries", "neighbours", (F.col("recall") >= 0.9).alias("recall_at_least_90_percent"))
 
 
 def _leaks(spark: SparkSession, d: str) -> DataFrame:
@@ -156,4 +189,4 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p5_found, p5_neighbours, p6_found, p6_report, p7_found, p7_report, p8_mixture, p8_report, p9_found, p9_quality)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p5_found, p5_neighbours, p5_exact, p5_recall, p5_recall_reached, p6_found, p6_report, p7_found, p7_report, p8_mixture, p8_report, p9_found, p9_quality)}

@@ -22,6 +22,12 @@ _SIMILAR = """
             cover AS (SELECT t, o, count(DISTINCT pos + k) / length(t) AS share FROM hits, LATERAL (SELECT unnest(range(8)) AS k) GROUP BY t, o),
             alike AS (SELECT m.a, m.b FROM met m JOIN cover c ON c.t = m.a AND c.o = m.b JOIN cover e ON e.t = m.b AND e.o = m.a WHERE c.share >= 0.8 AND e.share >= 0.8
               UNION SELECT t, t FROM texts WHERE l AND r)"""
+#: Cosines (q, o, s) of all usable vectors of one model and layer.
+_PAIRS = f"""v AS (SELECT DISTINCT vec_id, embedding_type_id, layer_index, embedding::DOUBLE[] AS e FROM query_embedding WHERE vec_id IS NOT NULL AND {_VALID}),
+            length AS (SELECT embedding_type_id, len(e) AS n FROM v GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY embedding_type_id ORDER BY count(*) DESC, n DESC) = 1),
+            u AS (SELECT v.* FROM v JOIN length l ON l.embedding_type_id = v.embedding_type_id AND len(e) = n),
+            pairs AS (SELECT a.vec_id AS q, b.vec_id AS o, a.embedding_type_id, a.layer_index, round(list_cosine_similarity(a.e, b.e), 6) AS s
+              FROM u a JOIN u b ON a.embedding_type_id = b.embedding_type_id AND a.layer_index IS NOT DISTINCT FROM b.layer_index AND a.vec_id <> b.vec_id)"""
 _REFS = f"refs AS (SELECT DISTINCT ref_idx, {_letters('sequence_reference')} AS t FROM raw_results WHERE ref_idx IS NOT NULL AND sequence_reference IS NOT NULL)"
 
 
@@ -58,13 +64,13 @@ def oracle_sql() -> dict[str, str]:
             texts AS (SELECT t, bool_or(l) AS l, bool_or(NOT l) AS r FROM (SELECT t, TRUE AS l FROM queries UNION SELECT t, FALSE FROM refs) WHERE length(t) >= 8 GROUP BY t), {_SIMILAR}
             SELECT DISTINCT accession, ref_idx FROM alike s JOIN queries q ON q.t = s.a JOIN refs r ON r.t = s.b""",
         "p5_found": f"""
-            WITH v AS (SELECT DISTINCT vec_id, embedding_type_id, layer_index, embedding::DOUBLE[] AS e FROM query_embedding WHERE vec_id IS NOT NULL AND {_VALID}),
-            length AS (SELECT embedding_type_id, len(e) AS n FROM v GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY embedding_type_id ORDER BY count(*) DESC, n DESC) = 1),
-            u AS (SELECT v.* FROM v JOIN length l ON l.embedding_type_id = v.embedding_type_id AND len(e) = n),
-            pairs AS (SELECT a.vec_id AS q, b.vec_id AS o, round(list_cosine_similarity(a.e, b.e), 6) AS s
-              FROM u a JOIN u b ON a.embedding_type_id = b.embedding_type_id AND a.layer_index IS NOT DISTINCT FROM b.layer_index AND a.vec_id <> b.vec_id),
-            near AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, o) <= 5)
+            WITH {_PAIRS}, near AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, o) <= 5)
             SELECT DISTINCT least(q, o) AS vec_id_a, greatest(q, o) AS vec_id_b FROM near WHERE s >= 0.9""",
+        "p5_exact": f"""
+            WITH {_PAIRS} SELECT q AS vec_id, o AS neighbour, s AS similarity FROM pairs WHERE q % 20 = 0 QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, o) <= 5""",
+        "p5_recall_reached": f"""
+            WITH {_PAIRS}, near AS (SELECT * FROM pairs WHERE q % 20 = 0 QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, o) <= 5)
+            SELECT CAST(embedding_type_id AS BIGINT) AS embedding_type_id, CAST(layer_index AS BIGINT) AS layer_index, count(DISTINCT q) AS queries, count(*) AS neighbours, TRUE AS recall_at_least_90_percent FROM near GROUP BY 1, 2""",
         "p7_found": r"""
             WITH d AS (SELECT doc_id, regexp_extract_all(lower(strip_accents(text)), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
             p AS (SELECT item_id, regexp_extract_all(lower(strip_accents(passage)), '[\p{L}\p{N}]+') AS w FROM eval_passages WHERE passage IS NOT NULL),

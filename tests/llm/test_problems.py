@@ -300,6 +300,36 @@ def test_forest_recall(spark):
     assert sum(j in mine[i] for i, j in close) >= 0.97 * len(close)
 
 
+def test_forest_borders_hide_nothing(spark, monkeypatch):
+    """Arrays cut into many partitions give the neighbours that uncut ones give."""
+    monkeypatch.setattr(forest, "CANDIDATES", 48)
+    monkeypatch.setattr(forest, "FACTOR", 0.1)
+    x = np.random.default_rng(5).standard_normal((3000, 8)).astype(np.float32)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "m": 1, "embedding": list(x.tolist())}), "vec_id long, m int, embedding array<float>")
+    pairs = []
+    for rows, spans in ((40_000, 8), (400, 1)):
+        monkeypatch.setattr(forest, "RANGE_ROWS", rows)
+        monkeypatch.setattr(forest, "RANGE_SPANS", spans)
+        got = forest.nearest(df, "vec_id", ["m"], "embedding", 3, asked=F.col("vec_id") % 3 == 0).collect()
+        assert all(r["vec_id"] % 3 == 0 for r in got)
+        pairs.append({(r["vec_id"], r["neighbour"]) for r in got})
+    assert len(pairs[0]) == 3000 and len(pairs[0] & pairs[1]) >= 0.995 * len(pairs[0])
+
+
+def test_forest_least(spark):
+    """With ``least`` only near vectors come out, and the sample's share never rounds to nothing."""
+    g = np.random.default_rng(6)
+    x = g.standard_normal((700, 32))
+    x = np.concatenate([x, x[:300] + 0.15 * g.standard_normal((300, 32))]).astype(np.float32)
+    df = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(len(x)), "m": 1, "embedding": list(x.tolist())}), "vec_id long, m int, embedding array<float>")
+    got = {(r["vec_id"], r["neighbour"]) for r in forest.nearest(df, "vec_id", ["m"], "embedding", 5, least=0.9).collect()}
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    true = {(i, j) for i, j in np.argwhere(u @ u.T >= 0.9) if i != j}
+    assert got <= true and len(got) >= 0.99 * len(true)
+    n = spark.range(200_000).where(forest.sampled(F.lit(1e-4), "id")).count()
+    assert 5 <= n <= 50
+
+
 def test_forest_edge_cases(spark):
     nan = float("nan")
     same = [1.0, 2.0, 3.0]
