@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from annoweave.llm import weighted_sampling as ws
 from annoweave.llm.portions import portions
-from annoweave.runtime import materialise
+from annoweave.runtime import materialise, spread
 
 #: Share of residues that both sequences must share, and the least weighted
 #: Jaccard of a candidate that is looked at further.
@@ -19,8 +19,8 @@ SHARED, LEAST_WEIGHTED = 0.8, 0.1
 BUCKET_BLOCK = 512
 
 
-def _blocks(n: Column | str) -> Column:
-    return F.ceil(F.col(n) / F.lit(BUCKET_BLOCK)).cast("int")
+def _blocks(n: Column) -> Column:
+    return F.ceil(n / F.lit(BUCKET_BLOCK)).cast("int")
 
 
 def candidate_pairs(rows: DataFrame, key: str, left: str | None = None, right: str | None = None) -> DataFrame:
@@ -33,7 +33,7 @@ def candidate_pairs(rows: DataFrame, key: str, left: str | None = None, right: s
     """
     is_left, is_right = (F.col(left), F.col(right)) if left else (F.lit(True), F.lit(True))
     size = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"), F.count_if(is_left).alias("_l"), F.count_if(is_right).alias("_r"))
-    size = size.where((F.col("_n") > 1) & (F.col("_l") > 0) & (F.col("_r") > 0)).select("bucket", _blocks("_n").alias("_b"))
+    size = size.where((F.col("_n") > 1) & (F.col("_l") > 0) & (F.col("_r") > 0)).select("bucket", _blocks(F.col("_n")).alias("_b"))
     placed = rows.join(size, "bucket").withColumn("_i", F.pmod(F.xxhash64(key), F.col("_b")).cast("int"))
     a = placed.where(is_left).select(F.col(key).alias("a"), "bucket", "_i", F.explode(F.expr("sequence(0, _b - 1)")).alias("_j"))
     b = placed.where(is_right).select(F.col(key).alias("b"), "bucket", F.explode(F.expr("sequence(0, _b - 1)")).alias("_i"), F.col("_i").alias("_j"))
@@ -65,16 +65,51 @@ def distinct_texts(members: DataFrame, text: str) -> DataFrame:
     return members.where(F.length(text) >= ws.K).select(text).distinct().withColumn("text_id", F.xxhash64(text))
 
 
-def similar_texts(texts: DataFrame, text: str) -> DataFrame:
+def _met(texts: DataFrame, text: str, exact: bool, keep: tuple[str, ...] = ()) -> tuple[ws.Idf, DataFrame]:
+    """The weights, and (text_id, kept columns, bucket): texts in one bucket are candidates.
+
+    Buckets are bands of samples or, if ``exact``, the shingles themselves: a pair
+    that shares residues shares one, so none is missed, at the cost of a row per shingle.
+    """
+    spread_ = spread(texts, "text_id")
+    idf = ws.document_frequencies(spread_, text)
+    rows = ws.shingle_rows(spread_, "text_id", text, keep) if exact else ws.sketch(spread_, "text_id", text, idf, keep)
+    return idf, materialise(rows, "sketch")
+
+
+def similar_texts(texts: DataFrame, text: str, exact: bool = False) -> DataFrame:
     """Links (a, b, weighted_jaccard), a < b, between similar distinct texts.
 
     Texts are upper-case letters; equal texts must have been merged (see
-    :func:`distinct_texts`). No texts, no links.
+    :func:`distinct_texts`). No texts, no links. Every link comes out, so M texts
+    that are all alike give M (M - 1) / 2 rows; :func:`classes` needs no such number.
+    Bands miss a pair with the chance that the README states; ``exact`` misses none.
+    """
+    idf, rows = _met(texts, text, exact)
+    return verified(candidate_pairs(rows, "text_id"), texts, texts, "text_id", text, idf)
+
+
+def classes(texts: DataFrame, text: str, exact: bool = False) -> DataFrame:
+    """(text_id, class_id) of every distinct text: the connected classes of the similar ones.
+
+    Every text is first compared with one representative of each of its buckets,
+    which joins most of a class by as many comparisons as it has texts. What is
+    left are candidates in different classes; all of them are compared. So a pair
+    is skipped only if its texts are in one class already.
     """
-    idf = ws.document_frequencies(texts, text)
-    rows = materialise(ws.sketch(texts, "text_id", text, idf), "sketch")
-    pairs = candidate_pairs(rows, "text_id")
-    return verified(pairs, texts, texts, "text_id", text, idf)
+    idf, rows = _met(texts, text, exact)
+    lead = rows.groupBy("bucket").agg(F.min("text_id").alias("a"), F.max("text_id").alias("_last")).where("a < _last").select("bucket", "a")
+    star = materialise(rows.join(lead, "bucket").where("text_id != a").select("a", F.col("text_id").alias("b")).distinct(), "stars")
+    ok = materialise(verified(star, texts, texts, "text_id", text, idf).select("a", "b"), "links")
+    of = texts.select("text_id").join(components(ok).withColumnRenamed("node", "text_id"), "text_id", "left").select("text_id", F.coalesce("component", "text_id").alias("c"))
+    mixed = materialise(rows.join(of, "text_id"), "mixed")
+    per = mixed.select("bucket", "c").distinct()
+    meet = per.join(per.withColumnRenamed("c", "d"), "bucket").where("c < d")
+    rest = mixed.join(meet, ["bucket", "c"]).select("bucket", "c", "d", F.col("text_id").alias("x")).join(mixed.select("bucket", F.col("c").alias("d"), F.col("text_id").alias("y")), ["bucket", "d"])
+    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    more = verified(rest, texts, texts, "text_id", text, idf).select("a", "b")
+    whole = components(ok.union(more)).withColumnRenamed("node", "text_id")
+    return texts.select("text_id").join(whole, "text_id", "left").select("text_id", F.coalesce("component", "text_id").alias("class_id"))
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -102,17 +137,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def record_pairs(members: DataFrame, links: DataFrame, record: str) -> DataFrame:
-    """Distinct pairs of different records whose texts are equal or linked; ``members`` has (record, text_id)."""
-    m = members.select(F.col(record).alias("x"), "text_id")
-    same = m.alias("p").join(m.select(F.col("x").alias("y"), "text_id"), "text_id").where("x < y").select("x", "y")
-    cross = links.join(m.select("x", F.col("text_id").alias("a")), "a").join(m.select(F.col("x").alias("y"), F.col("text_id").alias("b")), "b")
+    """Distinct pairs of different records whose texts are equal or linked; ``members`` has (record, text_id).
+
+    Records of a text are split into blocks that meet in different tasks, so a
+    text that a third of all records hold is no single task.
+    """
+    m = members.select(F.col(record).alias("x"), "text_id").distinct()
+    many = m.groupBy("text_id").agg(_blocks(F.count(F.lit(1))).alias("_b"))
+    placed = materialise(m.join(many, "text_id").withColumn("_i", F.pmod(F.xxhash64("x"), F.col("_b")).cast("int")), "records")
+    same = candidate_pairs(m.withColumnRenamed("text_id", "bucket"), "x")
+    ends = placed.select("text_id", "_b").distinct()
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    cross = links.select("a", "b").join(ends.toDF("a", "_p"), "a").join(ends.toDF("b", "_q"), "b").select("a", "b", each("_p").alias("_i"), "_q").withColumn("_j", each("_q"))
+    cross = cross.join(placed.select(F.col("text_id").alias("a"), "_i", "x"), ["a", "_i"]).join(placed.select(F.col("text_id").alias("b"), F.col("_i").alias("_j"), F.col("x").alias("y")), ["b", "_j"])
     cross = cross.where("x != y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     return same.union(cross).distinct().toDF(f"{record}_a", f"{record}_b")
-
-
-def groups(members: DataFrame, links: DataFrame, record: str) -> DataFrame:
-    """One row per record and text: text_id, group_id (the least text_id of its group), number of linked texts."""
-    ends = links.select(F.explode(F.array("a", "b")).alias("text_id")).groupBy("text_id").agg(F.count(F.lit(1)).alias("links"))
-    comp = components(links).withColumnRenamed("node", "text_id")
-    out = members.select(record, "text_id").join(comp, "text_id", "left").join(ends, "text_id", "left")
-    return out.select(record, "text_id", F.coalesce("component", "text_id").alias("group_id"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))

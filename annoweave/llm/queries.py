@@ -43,18 +43,24 @@ def _references(spark: SparkSession, d: str) -> DataFrame:
     return r.select("ref_idx", F.col("sequence_reference").alias("text")).distinct().select("ref_idx", letters("text").alias("text")).distinct()
 
 
-def _similar_references(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _distinct_references(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Members (ref_idx, text, text_id) and the distinct texts; shorter ones than a shingle share nothing."""
     refs = materialise(_references(spark, d).where(F.length("text") >= 8).withColumn("text_id", F.xxhash64("text")), "refs")
-    texts = materialise(near_duplicates.distinct_texts(refs, "text"), "texts")
-    return refs, materialise(near_duplicates.similar_texts(texts, "text"), "links")
+    return refs, materialise(near_duplicates.distinct_texts(refs, "text"), "texts")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return near_duplicates.record_pairs(*_similar_references(spark, d), "ref_idx")
+    refs, texts = _distinct_references(spark, d)
+    return near_duplicates.record_pairs(refs, materialise(near_duplicates.similar_texts(texts, "text"), "links"), "ref_idx")
 
 
 def p3_groups(spark: SparkSession, d: str) -> DataFrame:
-    return near_duplicates.groups(*_similar_references(spark, d), "ref_idx")
+    """Every (ref_idx, text) with its group, named by the least key of its texts; a key is the MD5 of the letters."""
+    refs, texts = _distinct_references(spark, d)
+    of = near_duplicates.classes(texts, "text")
+    keyed = of.join(texts.select("text_id", F.md5("text").alias("text_key")), "text_id")
+    named = keyed.groupBy("class_id").agg(F.min("text_key").alias("group_key"), F.count(F.lit(1)).alias("group_texts"))
+    return refs.select("ref_idx", "text_id").join(keyed, "text_id").join(named, "class_id").select("ref_idx", "text_key", "group_key", "group_texts")
 
 
 def _held_out(spark: SparkSession, d: str) -> DataFrame:
@@ -63,27 +69,34 @@ def _held_out(spark: SparkSession, d: str) -> DataFrame:
     return s.where(F.col("split").isin("test", "validation") & F.col("accession").isNotNull()).distinct()
 
 
-def _overlaps(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct (accession, ref_idx, exact)."""
+def _overlap_sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Records (accession, text) of evaluation splits and (ref_idx, text) of the training material, with their hashes."""
     wanted = _held_out(spark, d).select("accession").distinct()
     q = table(spark, d, "raw_results").where(F.col("sequence_query").isNotNull()).select(accession("accession").alias("accession"), F.col("sequence_query").alias("text")).distinct()
-    q = q.join(wanted, "accession", "left_semi").select("accession", letters("text").alias("text"))
-    sides = q.select("accession", F.lit(None).cast("long").alias("ref_idx"), "text").union(_references(spark, d).select(F.lit(None).cast("string"), "ref_idx", "text"))
-    members = materialise(sides.where(F.length("text") >= 8).distinct().withColumn("text_id", F.xxhash64("text")), "members")
-    texts = materialise(members.groupBy("text_id", "text").agg(F.max(F.col("accession").isNotNull()).alias("evaluation"), F.max(F.col("ref_idx").isNotNull()).alias("training")), "texts")
-    links = split_overlap.text_overlaps(texts, "text", "evaluation", "training")
-    left = members.where(F.col("accession").isNotNull()).select("accession", F.col("text_id").alias("a"))
-    right = members.where(F.col("ref_idx").isNotNull()).select("ref_idx", F.col("text_id").alias("b"))
-    return links.join(left, "a").join(right, "b").groupBy("accession", "ref_idx").agg(F.max("exact").alias("exact"))
+    q = q.join(wanted, "accession", "left_semi").select("accession", letters("text").alias("text")).distinct()
+    return materialise(split_overlap.hashed(q, "text"), "evaluation"), materialise(split_overlap.hashed(_references(spark, d), "text"), "training")
+
+
+def _overlaps(q: DataFrame, r: DataFrame) -> DataFrame:
+    """Distinct (accession, ref_idx): equal records of eight letters or more, and similar ones."""
+    q, r = (x.where(F.length("text") >= 8) for x in (q, r))
+    sides = q.select("text_id", "text", F.lit(True).alias("l")).union(r.select("text_id", "text", F.lit(False)))
+    texts = materialise(sides.groupBy("text_id", "text").agg(F.max("l").alias("evaluation"), F.max(~F.col("l")).alias("training")), "texts")
+    near = split_overlap.near_overlaps(texts, "text", "evaluation", "training")
+    near = near.join(q.select("accession", F.col("text_id").alias("a")), "a").join(r.select("ref_idx", F.col("text_id").alias("b")), "b").select("accession", "ref_idx")
+    return split_overlap.exact_overlaps(q, r, ["accession", "ref_idx"]).union(near).distinct()
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return _overlaps(spark, d).select("accession", "ref_idx")
+    return _overlaps(*_overlap_sides(spark, d))
 
 
 def p6_report(spark: SparkSession, d: str) -> DataFrame:
-    """Per split and source: held-out accessions, those found in training exactly, and exactly or almost."""
-    leaks = _overlaps(spark, d).groupBy("accession").agg(F.max("exact").alias("exact"), F.count(F.lit(1)).alias("references"))
+    """Per split and source: held-out accessions, those found in training exactly (in any length), and exactly or almost."""
+    q, r = _overlap_sides(spark, d)
+    exact = split_overlap.exact_overlaps(q, r, ["accession", "ref_idx"]).withColumn("exact", F.lit(True))
+    both = exact.union(_overlaps(q, r).withColumn("exact", F.lit(False))).groupBy("accession", "ref_idx").agg(F.max("exact").alias("exact"))
+    leaks = both.groupBy("accession").agg(F.max("exact").alias("exact"), F.count(F.lit(1)).alias("references"))
     out = _held_out(spark, d).join(leaks, "accession", "left")
     return out.groupBy("split", "source").agg(
         F.countDistinct("accession").alias("accessions"),

@@ -12,19 +12,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from annoweave.llm import near_duplicates as nd, weighted_sampling as ws
-from annoweave.runtime import materialise
+from annoweave.llm import near_duplicates as nd
 
 
-def text_overlaps(texts: DataFrame, text: str, left: str, right: str) -> DataFrame:
-    """(a, b, exact) of similar texts, ``a`` of the left side, ``b`` of the right.
+def hashed(records: DataFrame, text: str) -> DataFrame:
+    """The records with the two 64-bit hashes of their canonical text that the exact tier joins."""
+    return records.withColumn("text_id", F.xxhash64(text)).withColumn("check", F.xxhash64(F.reverse(text)))
 
-    ``texts`` has distinct texts with text_id and two flags; one text may be on
-    both sides, which is an exact overlap. No texts on a side, no rows.
+
+def exact_overlaps(evaluation: DataFrame, training: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct ``keys`` of both sides' records with equal canonical texts, of any length.
+
+    Both sides are :func:`hashed`. Only keys and hashes are shuffled. Records
+    without a letter are equal to nothing.
+    """
+    left = evaluation.where(F.length("text") > 0).select(*[c for c in keys if c in evaluation.columns], "text_id", "check").distinct()
+    right = training.where(F.length("text") > 0).select(*[c for c in keys if c in training.columns], "text_id", "check").distinct()
+    return left.join(right, ["text_id", "check"]).select(*keys).distinct()
+
+
+def near_overlaps(texts: DataFrame, text: str, left: str, right: str, exact: bool = False) -> DataFrame:
+    """(a, b) of similar different texts, ``a`` of the left side, ``b`` of the right.
+
+    ``texts`` has distinct texts of a shingle's length or more with text_id and
+    two flags; one text may be on both sides. No texts on a side, no rows.
     """
-    exact = texts.where(F.col(left) & F.col(right)).select(F.col("text_id").alias("a"), F.col("text_id").alias("b"), F.lit(True).alias("exact"))
-    idf = ws.document_frequencies(texts, text)
-    rows = materialise(ws.sketch(texts, "text_id", text, idf, keep=(left, right)), "sketch")
+    idf, rows = nd._met(texts, text, exact, keep=(left, right))
     pairs = nd.candidate_pairs(rows, "text_id", left, right)
-    near = nd.verified(pairs, texts, texts, "text_id", text, idf).select("a", "b", F.lit(False).alias("exact"))
-    return exact.union(near)
+    return nd.verified(pairs, texts, texts, "text_id", text, idf).select("a", "b")

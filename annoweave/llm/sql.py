@@ -30,6 +30,14 @@ _PAIRS = f"""v AS (SELECT DISTINCT vec_id, embedding_type_id, layer_index, embed
               FROM u a JOIN u b ON a.embedding_type_id = b.embedding_type_id AND a.layer_index IS NOT DISTINCT FROM b.layer_index AND a.vec_id <> b.vec_id)"""
 _REFS = f"refs AS (SELECT DISTINCT ref_idx, {_letters('sequence_reference')} AS t FROM raw_results WHERE ref_idx IS NOT NULL AND sequence_reference IS NOT NULL)"
 
+_HELD = "(s LIKE 'te%' OR s LIKE 'ts%' OR s LIKE 'v%' OR s LIKE 'dev%')"
+#: ``leaked`` (accession, ref_idx), from ``queries`` (accession, t) and ``refs`` (ref_idx, t).
+_OVERLAPS = f"""{_REFS},
+            wanted AS (SELECT DISTINCT {_ACC} AS accession FROM (SELECT accession, lower(regexp_replace(split, '[^A-Za-z]', '', 'g')) AS s FROM query_split) WHERE {_HELD}),
+            queries AS (SELECT DISTINCT accession, {_letters('sequence_query')} AS t FROM (SELECT {_ACC} AS accession, sequence_query FROM raw_results WHERE sequence_query IS NOT NULL) WHERE accession IN (SELECT accession FROM wanted)),
+            texts AS (SELECT t, bool_or(l) AS l, bool_or(NOT l) AS r FROM (SELECT t, TRUE AS l FROM queries UNION SELECT t, FALSE FROM refs) WHERE length(t) >= 8 GROUP BY t), {_SIMILAR},
+            leaked AS (SELECT DISTINCT accession, ref_idx FROM alike s JOIN queries q ON q.t = s.a JOIN refs r ON r.t = s.b)"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -57,12 +65,21 @@ def oracle_sql() -> dict[str, str]:
             WITH {_REFS}, texts AS (SELECT DISTINCT t, TRUE AS l, TRUE AS r FROM refs WHERE length(t) >= 8), {_SIMILAR}
             SELECT DISTINCT least(x.ref_idx, y.ref_idx) AS ref_idx_a, greatest(x.ref_idx, y.ref_idx) AS ref_idx_b
             FROM alike s JOIN refs x ON x.t = s.a JOIN refs y ON y.t = s.b WHERE x.ref_idx <> y.ref_idx""",
+        "p3_groups": f"""
+            WITH RECURSIVE {_REFS}, texts AS (SELECT DISTINCT t, TRUE AS l, TRUE AS r FROM refs WHERE length(t) >= 8), {_SIMILAR},
+            links AS (SELECT a, b FROM alike UNION SELECT b, a FROM alike),
+            reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+            named AS (SELECT a AS t, min(md5(b)) AS group_key, count(*) AS group_texts FROM reach GROUP BY 1)
+            SELECT DISTINCT ref_idx, md5(refs.t) AS text_key, group_key, group_texts FROM refs JOIN named USING (t)""",
         "p6_found": f"""
-            WITH {_REFS},
-            held AS (SELECT DISTINCT {_ACC} AS accession FROM (SELECT accession, lower(regexp_replace(split, '[^A-Za-z]', '', 'g')) AS s FROM query_split) WHERE s LIKE 'te%' OR s LIKE 'ts%' OR s LIKE 'v%' OR s LIKE 'dev%'),
-            queries AS (SELECT DISTINCT accession, {_letters('sequence_query')} AS t FROM (SELECT {_ACC} AS accession, sequence_query FROM raw_results WHERE sequence_query IS NOT NULL) WHERE accession IN (SELECT accession FROM held)),
-            texts AS (SELECT t, bool_or(l) AS l, bool_or(NOT l) AS r FROM (SELECT t, TRUE AS l FROM queries UNION SELECT t, FALSE FROM refs) WHERE length(t) >= 8 GROUP BY t), {_SIMILAR}
-            SELECT DISTINCT accession, ref_idx FROM alike s JOIN queries q ON q.t = s.a JOIN refs r ON r.t = s.b""",
+            WITH {_OVERLAPS} SELECT DISTINCT accession, ref_idx FROM leaked""",
+        "p6_report": f"""
+            WITH {_OVERLAPS}, exact AS (SELECT DISTINCT accession, ref_idx FROM queries q JOIN refs r ON r.t = q.t WHERE q.t <> ''),
+            leaks AS (SELECT accession, bool_or(exact) AS exact, count(DISTINCT ref_idx) AS n FROM (SELECT *, TRUE AS exact FROM exact UNION SELECT *, FALSE FROM leaked) GROUP BY 1),
+            held AS (SELECT DISTINCT {_ACC} AS accession, CASE WHEN s LIKE 'te%' OR s LIKE 'ts%' THEN 'test' ELSE 'validation' END AS split, nullif(lower(trim(source)), '') AS source
+              FROM (SELECT *, lower(regexp_replace(split, '[^A-Za-z]', '', 'g')) AS s FROM query_split) WHERE accession IS NOT NULL AND {_HELD})
+            SELECT split, source, count(DISTINCT accession) AS accessions, count(DISTINCT CASE WHEN exact THEN accession END) AS exact_accessions, count(DISTINCT CASE WHEN n > 0 THEN accession END) AS overlapping_accessions,
+              CAST(coalesce(sum(n), 0) AS BIGINT) AS overlaps FROM held LEFT JOIN leaks USING (accession) GROUP BY 1, 2""",
         "p5_found": f"""
             WITH {_PAIRS}, near AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, o) <= 5)
             SELECT DISTINCT least(q, o) AS vec_id_a, greatest(q, o) AS vec_id_b FROM near WHERE s >= 0.9""",

@@ -18,10 +18,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from annoweave.llm.portions import portions
+from annoweave.runtime import materialise
 
 #: Residues of a shingle (a fixed value of the task), samples of a band, bands,
 #: and the share of N at which df is floored.
 K, ROWS, BANDS, DF_SHARE = 8, 2, 40, 0.002
+#: Most entries of the table of frequent shingles, which the driver and every task hold (16 bytes each).
+LISTED = 4_000_000
 _SEED, _TABLE = 20_240_229, 1 << 16
 #: Shingles that are sampled at a time, so that the arrays stay in cache.
 _CHUNK = 150_000
@@ -83,7 +86,8 @@ def document_frequencies(texts: DataFrame, text: str) -> Idf:
     """Counts every shingle over all texts; brings home those above the floor.
 
     The floor is ``DF_SHARE`` of the texts (2 at least), so no more than mean
-    length / DF_SHARE shingles can pass it, however many texts there are.
+    length / DF_SHARE shingles can pass it, however many texts there are. Where
+    that would be more than ``LISTED``, the floor is doubled until it is not.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,7 +101,12 @@ def document_frequencies(texts: DataFrame, text: str) -> Idf:
 
     total = texts.count()
     floor = max(2.0, DF_SHARE * total)
-    hot = texts.select(text).mapInPandas(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") > floor).toPandas()
+    hot = materialise(texts.select(text).mapInPandas(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") > floor), "frequencies")
+    # how many pass the floor, twice the floor, and so on
+    levels = {r["x"]: r["k"] for r in hot.groupBy(F.floor(F.log2(F.col("n") / floor) - 1e-9).alias("x")).agg(F.count(F.lit(1)).alias("k")).collect()}
+    raised = next(i for i in range(64) if sum(k for x, k in levels.items() if x >= i) <= LISTED)
+    floor *= 2**raised
+    hot = hot.where(F.col("n") > floor).toPandas()
     return Idf(hot["code"].to_numpy(np.int64), hot["n"].to_numpy(np.int64), total, floor)
 
 
@@ -161,6 +170,21 @@ def sketch(texts: DataFrame, key: str, text: str, idf: Idf, keep: tuple[str, ...
     return texts.select(*cols, text).mapInPandas(run, schema)
 
 
+def shingle_rows(texts: DataFrame, key: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row (key, kept columns, bucket) per text and distinct shingle; the bucket is the shingle."""
+    cols = [key, *keep]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = pdf[text].tolist()
+            for lo, hi in portions(map(len, texts), LETTERS):
+                code, own, _ = counted(*shingles(texts[lo:hi])[:2])
+                yield pdf[cols].iloc[own + lo].assign(bucket=code)
+
+    schema = texts.select(*cols).withColumn("bucket", F.lit(0).cast("long")).schema
+    return texts.select(*cols, text).mapInPandas(run, schema)
+
+
 def compare(a: list[str], b: list[str], idf: Idf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Weighted Jaccard, and the shares of a's and b's residues that lie in common shingles."""
     sides = []

@@ -182,8 +182,9 @@ def test_similar_texts_equal_brute_force(spark, monkeypatch):
     assert len(expected) > 60
     for block in (512, 3):  # small blocks split every bucket
         monkeypatch.setattr(near_duplicates, "BUCKET_BLOCK", block)
-        got = {tuple(sorted((by_id[r["a"]], by_id[r["b"]]))) for r in near_duplicates.similar_texts(distinct, "t").collect()}
-        assert got == expected
+        for exact in (False, True):
+            got = {tuple(sorted((by_id[r["a"]], by_id[r["b"]]))) for r in near_duplicates.similar_texts(distinct, "t", exact).collect()}
+            assert got == expected
 
 
 def test_groups_and_pairs(spark):
@@ -193,13 +194,44 @@ def test_groups_and_pairs(spark):
     rows = [(i, t) for i, t in enumerate([*chain, base, base, text(rng, 200), "ACD"])]
     members = spark.createDataFrame(rows, "ref long, t string").where(F.length("t") >= 8).withColumn("text_id", F.xxhash64("t"))
     links = near_duplicates.similar_texts(near_duplicates.distinct_texts(members, "t"), "t").cache()
-    found = near_duplicates.groups(members, links, "ref").toPandas().set_index("ref")
-    assert found.loc[[0, 1, 2, 3, 4, 5], "group_id"].nunique() == 1
-    assert found.loc[6, "group_id"] == found.loc[6, "text_id"] and found.loc[6, "links"] == 0
+    of = near_duplicates.classes(near_duplicates.distinct_texts(members, "t"), "t")
+    found = members.join(of, "text_id").toPandas().set_index("ref")
+    assert found.loc[[0, 1, 2, 3, 4, 5], "class_id"].nunique() == 1
+    assert found.loc[6, "class_id"] == found.loc[6, "text_id"]
     pairs = {tuple(r) for r in near_duplicates.record_pairs(members, links, "ref").collect()}
     assert {(0, 4), (0, 5), (4, 5), (0, 1)} <= pairs and all(a < b for a, b in pairs)
 
 
+def test_classes_are_the_components_of_all_links(spark):
+    """Comparing with representatives first loses no link between classes."""
+    texts = sorted(set(family_texts(8)))
+    rng = random.Random(8)
+    drift = [text(rng, 240)]
+    for _ in range(12):  # neighbours alike, ends not
+        drift.append(drift[-1][20:] + text(rng, 20))
+    distinct = near_duplicates.distinct_texts(spark.createDataFrame([(t,) for t in texts + drift], "t string"), "t")
+    links = near_duplicates.similar_texts(distinct, "t", True)
+    of = {r["node"]: r["component"] for r in near_duplicates.components(links).collect()}
+    for exact in (False, True):
+        got = {r["text_id"]: r["class_id"] for r in near_duplicates.classes(distinct, "t", exact).collect()}
+        assert len(got) == distinct.count() and all(of.get(t, t) == c for t, c in got.items())
+
+
+def test_pairs_of_a_hot_text(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BUCKET_BLOCK", 7)
+    members = spark.createDataFrame([(i, i % 3 // 2) for i in range(90)], "ref long, text_id long")
+    links = spark.createDataFrame([(0, 1)], "a long, b long")
+    assert near_duplicates.record_pairs(members, links, "ref").count() == 90 * 89 // 2
+    assert near_duplicates.record_pairs(members, links.limit(0), "ref").count() == 60 * 59 // 2 + 30 * 29 // 2
+
+
+def test_frequency_table_is_bounded(spark, monkeypatch):
+    df = spark.createDataFrame([("ACDEFGHIKLMNPQRSTVWY" * (i + 1),) for i in range(40)], "t string")
+    assert len(ws.document_frequencies(df, "t").codes) > 10
+    monkeypatch.setattr(ws, "LISTED", 10)
+    assert len(ws.document_frequencies(df, "t").codes) <= 10
+
+
 def test_no_texts(spark):
     empty = spark.createDataFrame([], "id long, t string")
     distinct = near_duplicates.distinct_texts(empty, "t")
@@ -207,7 +239,8 @@ def test_no_texts(spark):
     assert links.count() == 0
     assert near_duplicates.components(links).count() == 0
     sides = distinct.withColumn("l", F.lit(True)).withColumn("r", F.lit(True))
-    assert split_overlap.text_overlaps(sides, "t", "l", "r").count() == 0
+    assert split_overlap.near_overlaps(sides, "t", "l", "r").count() == 0
+    assert near_duplicates.classes(distinct, "t").count() == 0
 
 
 def test_components_of_a_long_path(spark):
@@ -233,9 +266,12 @@ def test_overlap_sides(spark):
     a, b = text(rng, 150), text(rng, 150)
     rows = [(a, True, True), (edited(random.Random(1), a), False, True), (b, True, False), (text(rng, 150), False, True)]
     texts = spark.createDataFrame(rows, "t string, l boolean, r boolean").withColumn("text_id", F.xxhash64("t"))
-    got = {(r["a"], r["b"], r["exact"]) for r in split_overlap.text_overlaps(texts, "t", "l", "r").collect()}
+    got = {(r["a"], r["b"]) for r in split_overlap.near_overlaps(texts, "t", "l", "r").collect()}
     ids = [r["text_id"] for r in texts.collect()]
-    assert got == {(ids[0], ids[0], True), (ids[0], ids[1], False)}
+    assert got == {(ids[0], ids[1])}
+    ev = split_overlap.hashed(spark.createDataFrame([("x", a), ("y", "ACD"), ("z", None), ("w", "")], "acc string, text string"), "text")
+    tr = split_overlap.hashed(spark.createDataFrame([(1, a), (2, "ACD"), (2, "ACD"), (3, ""), (4, None)], "ref long, text string"), "text")
+    assert {tuple(r) for r in split_overlap.exact_overlaps(ev, tr, ["acc", "ref"]).collect()} == {("x", 1), ("y", 2)}
 
 
 # 4 ---------------------------------------------------------------------------
