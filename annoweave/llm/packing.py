@@ -12,7 +12,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from annoweave.runtime import materialise
+from annoweave.runtime import materialise, spread
 
 #: Items of a packing block. A block wastes at most about one part-filled batch.
 BLOCK = 8192
@@ -84,7 +84,9 @@ def fill_batches(sized: DataFrame, group: str, max_segments: int = 256, loss_sha
     sized = materialise(sized, "items")
     blocks = sized.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("_blocks"))
     rest = [c for c in sized.columns if c != group]
-    spread = sized.join(blocks, group).withColumn("batch_block", F.pmod(F.xxhash64(*[F.col(c) for c in rest]), F.col("_blocks"))).drop("_blocks")
+    placed = sized.join(blocks, group).withColumn("batch_block", F.pmod(F.xxhash64(*[F.col(c) for c in rest]), F.col("_blocks"))).drop("_blocks")
+    # a block is costly and small, so blocks are not merged into few tasks by their bytes
+    placed = spread(placed, group, "batch_block")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(rest, ignore_index=True)
@@ -98,20 +100,52 @@ def fill_batches(sized: DataFrame, group: str, max_segments: int = 256, loss_sha
         pdf["batch_no"] = batch
         return pdf
 
-    schema = spread.withColumn("batch_no", F.lit(0).cast("long")).schema
-    return spread.groupBy(group, "batch_block").applyInPandas(run, schema)
+    schema = placed.withColumn("batch_no", F.lit(0).cast("long")).schema
+    return placed.groupBy(group, "batch_block").applyInPandas(run, schema)
+
+
+def batch_sums(batches: DataFrame, group: str) -> DataFrame:
+    """Per batch: its items, tokens, loss-bearing tokens, and capacity."""
+    return batches.groupBy(group, "batch_block", "batch_no").agg(F.count(F.lit(1)).alias("segments"), F.sum("tokens").alias("tokens"), F.sum("loss_tokens").alias("loss_tokens"), F.max("capacity").alias("capacity"))
 
 
 def fill_report(batches: DataFrame, group: str) -> DataFrame:
     """Per group: batches, items, tokens, room used and the least number of batches possible."""
     return (
-        batches.groupBy(group)
+        batch_sums(batches, group)
+        .groupBy(group)
         .agg(
-            F.countDistinct("batch_block", "batch_no").alias("batches"),
-            F.count(F.lit(1)).alias("items"),
+            F.count(F.lit(1)).alias("batches"),
+            F.sum("segments").alias("items"),
             F.sum("tokens").alias("tokens"),
             F.max("capacity").alias("capacity"),
         )
         .withColumn("least_batches", F.ceil(F.col("tokens") / F.col("capacity")))
         .withColumn("fill", F.round(F.col("tokens") / (F.col("batches") * F.col("capacity")), 4))
     )
+
+
+def fill_limits(batches: DataFrame, group: str, max_segments: int, loss_share: float, slack: float) -> DataFrame:
+    """Per group what was packed, and whether every limit holds.
+
+    ``full`` says that there are at most two batches a block, and the share
+    ``slack``, above the least number that any of the three limits allows.
+    """
+    sums = batch_sums(batches, group)
+    alone = F.col("segments") == 1
+    most = F.greatest(F.floor(F.col("capacity") * F.lit(float(loss_share))), F.lit(1))
+    least = F.greatest(F.ceil(F.sum("tokens") / F.max("capacity")), F.ceil(F.sum("segments") / F.lit(max_segments)), F.ceil(F.sum("loss_tokens") / F.max(most)))
+    distinct = batches.groupBy(group).agg(F.countDistinct("accession", "content_id", "chunk_no").alias("distinct_items"))
+    return (
+        sums.groupBy(group)
+        .agg(
+            F.sum("segments").alias("items"),
+            F.sum("tokens").alias("tokens"),
+            F.sum("loss_tokens").alias("loss_tokens"),
+            F.min(F.col("tokens") <= F.col("capacity")).alias("within_capacity"),
+            F.min(F.col("segments") <= max_segments).alias("within_segments"),
+            F.min((F.col("loss_tokens") <= most) | alone).alias("within_loss"),
+            (F.count(F.lit(1)) <= least * F.lit(1 + slack) + 2 * F.countDistinct("batch_block")).alias("full"),
+        )
+        .join(distinct, group)
+    )

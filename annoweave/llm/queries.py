@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -106,14 +107,30 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _sized(spark: SparkSession, d: str) -> DataFrame:
+    return packing.cut_items(_with_limits(spark, d), PAIR, "sequence", "batch_capacity")
+
+
 def p4_batches(spark: SparkSession, d: str) -> DataFrame:
-    return packing.fill_batches(packing.cut_items(_with_limits(spark, d), PAIR, "sequence", "batch_capacity"), "embedding_type_id")
+    return packing.fill_batches(_sized(spark, d), "embedding_type_id")
 
 
 def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p4_batches(spark, d), "embedding_type_id")
 
 
+#: Runs that p4_limits checks: most segments of a batch, loss-bearing tokens as a
+#: share of the capacity, slack. In the second the limits on loss and segments bind before the capacity.
+PACKINGS = {"capacity": (256, 1.0, 0.0), "all": (24, 0.9, 0.1)}
+
+
+def p4_limits(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the batches keep every limit, hold every item once, and are nearly as few as can be."""
+    sized = _sized(spark, d)
+    each = [packing.fill_limits(packing.fill_batches(sized, "embedding_type_id", n, share), "embedding_type_id", n, share, slack).withColumn("run", F.lit(name)) for name, (n, share, slack) in PACKINGS.items()]
+    return reduce(DataFrame.unionByName, each)
+
+
 #: Of the searches that are no pN_found every vector with an id divisible by this is a query, against all vectors.
 ASKED = 20
 
@@ -202,4 +219,4 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p5_found, p5_neighbours, p5_exact, p5_recall, p5_recall_reached, p6_found, p6_report, p7_found, p7_report, p8_mixture, p8_report, p9_found, p9_quality)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p4_limits, p5_found, p5_neighbours, p5_exact, p5_recall, p5_recall_reached, p6_found, p6_report, p7_found, p7_report, p8_mixture, p8_report, p9_found, p9_quality)}

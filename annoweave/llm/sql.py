@@ -8,6 +8,19 @@ _ACC = "replace(regexp_replace(accession, '^accession_', ''), '|', '_')"
 _VALID = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
 
 
+#: Of oversized pairs: ``runs`` between natural boundaries, and ``whole`` with the residues t, their number n, the boundaries nat and the overlap o.
+_RUNS = f"""q AS (
+              SELECT DISTINCT {_ACC} AS accession, CAST(q.embedding_type_id AS BIGINT) AS embedding_type_id, piece_limit, greatest(0, least(coalesce(piece_overlap, 0), piece_limit - 1)) AS o,
+                upper(regexp_replace(regexp_replace(sequence, '[^A-Za-z*-]', '', 'g'), '^[*-]+|[*-]+$', '', 'g')) AS s
+              FROM query_embedding q JOIN model_limits m ON m.embedding_type_id = q.embedding_type_id
+              WHERE sequence IS NOT NULL AND accession IS NOT NULL),
+            big AS (SELECT * FROM q WHERE length(regexp_replace(s, '[^A-Z]', '', 'g')) > piece_limit),
+            ended AS (SELECT *, regexp_replace(regexp_replace(s, '[*-]+', '|', 'g'), '(X{{5,}})', '\\1|', 'g') AS t FROM big),
+            runs AS (SELECT *, string_split(t, '|') AS parts, length(replace(t, '|', '')) AS n FROM ended),
+            whole AS (SELECT accession, embedding_type_id, piece_limit, o, replace(t, '|', '') AS t, n,
+                list_sort(list_distinct(list_filter(list_transform(range(1, len(parts) + 1), lambda i: CAST(length(array_to_string(parts[1:i], '')) AS BIGINT)), lambda x: x > 0 AND x < n))) AS nat FROM runs)"""
+
+
 def _letters(col: str) -> str:
     return f"upper(regexp_replace({col}, '[^A-Za-z]', '', 'g'))"
 
@@ -49,18 +62,15 @@ def oracle_sql() -> dict[str, str]:
             SELECT accession, result_id FROM best WHERE rn = 1
             QUALIFY row_number() OVER (PARTITION BY accession ORDER BY ri DESC, dist ASC NULLS LAST, result_id) <= 5""",
         "p1_found": f"""
-            WITH q AS (
-              SELECT DISTINCT {_ACC} AS accession, CAST(q.embedding_type_id AS BIGINT) AS embedding_type_id, piece_limit,
-                upper(regexp_replace(regexp_replace(sequence, '[^A-Za-z*-]', '', 'g'), '^[*-]+|[*-]+$', '', 'g')) AS s
-              FROM query_embedding q JOIN model_limits m ON m.embedding_type_id = q.embedding_type_id
-              WHERE sequence IS NOT NULL AND accession IS NOT NULL),
-            big AS (SELECT * FROM q WHERE length(regexp_replace(s, '[^A-Z]', '', 'g')) > piece_limit),
-            ended AS (SELECT *, regexp_replace(regexp_replace(s, '[*-]+', '|', 'g'), '(X{{5,}})', '\\1|', 'g') AS t FROM big),
-            runs AS (SELECT accession, embedding_type_id, string_split(t, '|') AS parts FROM ended),
-            cuts AS (SELECT accession, embedding_type_id, i, length(array_to_string(parts[1:i], '')) AS boundary_at, length(array_to_string(parts, '')) AS n
-              FROM runs, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS i))
+            WITH {_RUNS}
             SELECT accession, embedding_type_id, CAST(0 AS BIGINT) AS boundary_at FROM runs
-            UNION SELECT accession, embedding_type_id, CAST(boundary_at AS BIGINT) FROM cuts WHERE boundary_at > 0 AND boundary_at < n""",
+            UNION SELECT accession, embedding_type_id, unnest(nat) FROM whole""",
+        "p1_pieces": f"""
+            WITH RECURSIVE {_RUNS},
+            cut AS (SELECT *, 0 AS no, CAST(0 AS BIGINT) AS a, CAST(0 AS BIGINT) AS z FROM whole
+              UNION ALL SELECT * EXCLUDE (goal) REPLACE (no + 1 AS no, CASE WHEN z = 0 THEN 0 ELSE z - o END AS a, CASE WHEN goal >= n THEN n ELSE coalesce(list_max(list_filter(nat, lambda x: x > z AND x <= goal)), goal) END AS z)
+              FROM (SELECT *, CASE WHEN z = 0 THEN piece_limit ELSE z - o + piece_limit END AS goal FROM cut WHERE z < n))
+            SELECT accession, embedding_type_id, CAST(no AS BIGINT) AS piece_no, CAST(a AS BIGINT) AS start_at, CAST(z AS BIGINT) AS end_at, z = n OR list_contains(nat, z) AS natural_end, substring(t, a + 1, z - a) AS piece FROM cut WHERE no > 0""",
         "p3_found": f"""
             WITH {_REFS}, texts AS (SELECT DISTINCT t, TRUE AS l, TRUE AS r FROM refs WHERE length(t) >= 8), {_SIMILAR}
             SELECT DISTINCT least(x.ref_idx, y.ref_idx) AS ref_idx_a, greatest(x.ref_idx, y.ref_idx) AS ref_idx_b
@@ -80,6 +90,11 @@ def oracle_sql() -> dict[str, str]:
               FROM (SELECT *, lower(regexp_replace(split, '[^A-Za-z]', '', 'g')) AS s FROM query_split) WHERE accession IS NOT NULL AND {_HELD})
             SELECT split, source, count(DISTINCT accession) AS accessions, count(DISTINCT CASE WHEN exact THEN accession END) AS exact_accessions, count(DISTINCT CASE WHEN n > 0 THEN accession END) AS overlapping_accessions,
               CAST(coalesce(sum(n), 0) AS BIGINT) AS overlaps FROM held LEFT JOIN leaks USING (accession) GROUP BY 1, 2""",
+        "p4_limits": f"""
+            WITH q AS (SELECT DISTINCT {_ACC} AS accession, CAST(q.embedding_type_id AS BIGINT) AS embedding_type_id, batch_capacity AS cap, {_letters('sequence')} AS t
+              FROM query_embedding q JOIN model_limits m ON m.embedding_type_id = q.embedding_type_id WHERE sequence IS NOT NULL AND accession IS NOT NULL AND batch_capacity > 0),
+            s AS (SELECT embedding_type_id, count(*) AS texts, CAST(sum(length(t)) AS BIGINT) AS tokens, CAST(sum(length(replace(t, 'X', ''))) AS BIGINT) AS loss_tokens, CAST(sum(ceil(length(t) / cap)) AS BIGINT) AS items FROM q WHERE t <> '' GROUP BY 1)
+            SELECT run, embedding_type_id, items, items AS distinct_items, tokens, loss_tokens, TRUE AS within_capacity, TRUE AS within_segments, TRUE AS within_loss, TRUE AS "full" FROM s, (VALUES ('capacity'), ('all')) r(run)""",
         "p5_found": f"""
             WITH {_PAIRS}, near AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, o) <= 5)
             SELECT DISTINCT least(q, o) AS vec_id_a, greatest(q, o) AS vec_id_b FROM near WHERE s >= 0.9""",

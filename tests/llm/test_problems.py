@@ -50,7 +50,9 @@ ITEMS = "accession string, embedding_type_id long, sequence string, piece_limit
     ],
 )
 def test_boundaries(sequence, expected):
-    assert boundaries.natural_boundaries(sequence) == expected
+    around = ["XXXXA", sequence, "XXXXXA*A", "é-Ä"]
+    lengths, who, at = boundaries.natural_boundaries(around)
+    assert (lengths[1], at[who == 1].tolist()) == expected and lengths[0] == 5 and at[who == 2].tolist() == [6] and 3 not in who
 
 
 def greedy(n, natural, limit, overlap):
@@ -71,7 +73,9 @@ def greedy(n, natural, limit, overlap):
 def test_doubling_equals_greedy(rows):
     natural = [sorted(b for b in bs if b < n) for n, _, _, bs in rows]
     limit, overlap = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
-    got = boundaries.greedy_cuts(np.array([r[0] for r in rows]), natural, limit, overlap)
+    who = np.repeat(np.arange(len(rows)), [len(b) for b in natural])
+    got, owner, start, reach = boundaries.greedy_cuts(np.array([r[0] for r in rows]), who, np.array([x for b in natural for x in b], dtype=np.int64), limit, overlap)
+    assert [start[owner == i].tolist() for i in range(len(rows))] == [[0, *b] for b in natural] and (reach > start).all()
     for (n, lim, ov, _), nat, cuts in zip(rows, natural, got):
         assert cuts.tolist() == greedy(n, nat, lim, min(ov, lim - 1))
 
@@ -309,6 +313,13 @@ def test_loss_limit_holds_beside_an_item_over_it(spark):
     assert len(out) == 32 and ((sums.loss <= 50) | (sums["items"] == 1)).all() and (sums.loss > 50).sum() == 2
 
 
+def test_many_blocks_are_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 10)
+    sized = spark.range(200).select(F.lit(1).alias("g"), F.col("id").alias("content_id"), F.lit(0).cast("long").alias("chunk_no"), (F.col("id") % 9 + 1).alias("tokens"), (F.col("id") % 9 + 1).alias("loss_tokens"), F.lit(20).cast("long").alias("capacity"))
+    out = packing.fill_batches(sized, "g").withColumn("task", F.spark_partition_id())
+    assert out.select("task").distinct().count() > 1 and out.count() == 200
+
+
 def test_batches_are_full(spark):
     report = queries.p4_report(spark, DATA).toPandas()
     assert (report.batches <= report.least_batches + 2).all()
