@@ -51,6 +51,13 @@ _OVERLAPS = f"""{_REFS},
             texts AS (SELECT t, bool_or(l) AS l, bool_or(NOT l) AS r FROM (SELECT t, TRUE AS l FROM queries UNION SELECT t, FALSE FROM refs) WHERE length(t) >= 8 GROUP BY t), {_SIMILAR},
             leaked AS (SELECT DISTINCT accession, ref_idx FROM alike s JOIN queries q ON q.t = s.a JOIN refs r ON r.t = s.b)"""
 
+#: ``met``: places i of documents and j of passages from which ten words are equal.
+_SPANS = r"""d AS (SELECT doc_id, regexp_extract_all(lower(strip_accents(text)), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+            p AS (SELECT item_id, regexp_extract_all(lower(strip_accents(passage)), '[\p{L}\p{N}]+') AS w FROM eval_passages WHERE passage IS NOT NULL),
+            dg AS (SELECT doc_id, i, array_to_string(w[i:i + 9], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 8)) AS i)),
+            pg AS (SELECT item_id, i AS j, array_to_string(w[i:i + 9], ' ') AS g FROM p, LATERAL (SELECT unnest(range(1, len(w) - 8)) AS i)),
+            met AS (SELECT doc_id, item_id, i, j FROM dg JOIN pg USING (g))"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -103,10 +110,10 @@ def oracle_sql() -> dict[str, str]:
         "p5_recall_reached": f"""
             WITH {_PAIRS}, near AS (SELECT * FROM pairs WHERE q % 20 = 0 QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, o) <= 5)
             SELECT CAST(embedding_type_id AS BIGINT) AS embedding_type_id, CAST(layer_index AS BIGINT) AS layer_index, count(DISTINCT q) AS queries, count(*) AS neighbours, TRUE AS recall_at_least_90_percent FROM near GROUP BY 1, 2""",
-        "p7_found": r"""
-            WITH d AS (SELECT doc_id, regexp_extract_all(lower(strip_accents(text)), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
-            p AS (SELECT item_id, regexp_extract_all(lower(strip_accents(passage)), '[\p{L}\p{N}]+') AS w FROM eval_passages WHERE passage IS NOT NULL),
-            dg AS (SELECT doc_id, array_to_string(w[i:i + 9], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 8)) AS i)),
-            pg AS (SELECT item_id, array_to_string(w[i:i + 9], ' ') AS g FROM p, LATERAL (SELECT unnest(range(1, len(w) - 8)) AS i))
-            SELECT DISTINCT doc_id, item_id FROM dg JOIN pg USING (g)""",
+        "p7_found": f"WITH {_SPANS} SELECT DISTINCT doc_id, item_id FROM met",
+        "p7_report": f"""
+            WITH {_SPANS}, runs AS (SELECT doc_id, item_id, i, i - row_number() OVER (PARTITION BY doc_id, item_id, i - j ORDER BY i) AS run, i - j AS shift FROM met),
+            spans AS (SELECT doc_id, item_id, count(*) + 9 AS span FROM runs GROUP BY doc_id, item_id, shift, run),
+            hit AS (SELECT item_id, count(DISTINCT doc_id) AS documents, max(span) AS longest_span FROM spans GROUP BY 1)
+            SELECT item_id, suite, split, coalesce(documents, 0) AS documents, coalesce(longest_span, 0) AS longest_span FROM eval_passages LEFT JOIN hit USING (item_id)""",
     }

@@ -5,6 +5,11 @@ of each window of ``WINDOW`` consecutive runs the least is kept. A shared span o
 at least WINDOW + GRAM - 1 words (ten) shares a kept hash for certain. Kept
 hashes of documents are joined with those of the passages, and every hit is
 extended to both sides, word by word, to the whole common span.
+
+One plan serves any number of passages. A bit map of the passages' hashes, whose
+size has a bound, goes to every task, so of the documents only those that may
+hold a passage leave the scan, once, with the hashes of their words: texts are
+read and cut into words once and never shuffled.
 """
 
 from __future__ import annotations
@@ -19,13 +24,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from annoweave.llm.portions import portions
 from annoweave.llm.weighted_sampling import mix
+from annoweave.runtime import materialise
 
 #: GRAM + WINDOW - 1 is the least span found for certain (a fixed value of the task).
 SPAN, GRAM = 10, 5
 WINDOW = SPAN - GRAM + 1
-#: Characters of passages up to which they are broadcast; beyond it the
-#: fingerprints are joined by shuffle.
-BROADCAST_CHARS = 16_000_000
+#: Most bits of the map of the passages' hashes (16 MB), and bits for each hash up to
+#: there. A full map lets every hash pass, which costs time but loses nothing.
+MAP_BITS, BITS_A_HASH = 1 << 27, 64
+#: Parts into which the documents of one hash are split where they meet the passages.
+SALT = 16
 #: Characters of documents that are worked on at a time.
 CHARS = 500_000
 _WORD = re.compile(r"[^\W_]+")
@@ -80,96 +88,95 @@ def winnow(h: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return own[place], place, g[place]
 
 
-def _common_span(a: np.ndarray, i: int, b: np.ndarray, j: int) -> int:
-    """Length of the longest equal run of a and b that holds place i of a against j of b."""
-    back = min(i, j)
-    same = a[i - back : i][::-1] == b[j - back : j][::-1]
-    left = back if same.all() else int(np.argmin(same))
-    ahead = min(len(a) - i, len(b) - j)
-    same = a[i : i + ahead] == b[j : j + ahead]
-    return left + (ahead if same.all() else int(np.argmin(same)))
-
-
-class Passages:
-    """Word hashes of the passages and their fingerprints, sorted for lookup."""
-
-    def __init__(self, ids: list[int], texts: list[str]):
-        h, count = word_hashes(texts)
-        ends = np.cumsum(count)
-        self.ids, self.h = np.array(ids, dtype=np.int64), [h[z - n : z] for z, n in zip(ends, count)]
-        own, place, g = winnow(h, count)
-        order = np.argsort(g, kind="stable")
-        self.g, self.own, self.place = g[order], own[order], (place - (ends - count)[own])[order]
-
-    def hits(self, texts: list[str]) -> tuple[list[int], list[int], list[int]]:
-        """(text number, passage id, longest common span) of all spans of SPAN words or more."""
-        h, count = word_hashes(texts)
-        start = np.cumsum(count) - count
-        own, place, g = winnow(h, count)
-        lo, hi = np.searchsorted(self.g, g, "left"), np.searchsorted(self.g, g, "right")
-        best: dict[tuple[int, int], int] = {}
-        for x in np.flatnonzero(hi > lo):
-            doc = int(own[x])
-            a, i = h[start[doc] : start[doc] + count[doc]], int(place[x] - start[doc])
-            for y in range(lo[x], hi[x]):
-                p = int(self.own[y])
-                span = _common_span(a, i, self.h[p], int(self.place[y]))
-                if span >= SPAN and span > best.get((doc, p), 0):
-                    best[doc, p] = span
-        return [d for d, _ in best], [int(self.ids[p]) for _, p in best], list(best.values())
-
-
-def _by_broadcast(docs: DataFrame, items: pd.DataFrame, schema: str) -> DataFrame:
-    held = docs.sparkSession.sparkContext.broadcast((items["i"].tolist(), items["t"].tolist()))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = Passages(*held.value)
-        for pdf in batches:
-            for lo, hi in portions(pdf["t"].str.len(), CHARS):
-                part = pdf.iloc[lo:hi]
-                doc, item, span = known.hits(part["t"].tolist())
-                yield pd.DataFrame({"d": part["d"].to_numpy()[doc] if doc else [], "i": item, "span": span})
+def longest_run(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the longest stretch in which two rows of word hashes agree place by place."""
+    ends = np.flatnonzero(np.concatenate([[True], a != b, [True]]))
+    return int(np.diff(ends).max()) - 1
 
-    return docs.mapInPandas(run, schema)
 
+_PRINTS = "id long, words binary, prints array<struct<place: int, g: long>>"
 
-def _by_shuffle(docs: DataFrame, items: DataFrame, schema: str) -> DataFrame:
-    def prints(name: str):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                for lo, hi in portions(pdf["t"].str.len(), CHARS):
-                    part = pdf.iloc[lo:hi]
-                    own, _, g = winnow(*word_hashes(part["t"].tolist()))
-                    yield pd.DataFrame({name: part[name].to_numpy()[own], "g": g.view(np.int64)}).drop_duplicates()
 
-        return run
+def _prints(texts: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
+    """(id, word hashes, fingerprints) of (id, t); with ``bits`` only of texts of which a fingerprint is in the map, and only those."""
+    held = texts.sparkSession.sparkContext.broadcast(bits) if bits is not None else None
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for d, t, i, p in zip(pdf["d"], pdf["t"], pdf["i"], pdf["p"]):
-                _, item, span = Passages([i], [p]).hits([t])
-                out += [(d, i, s) for s in span]
-            yield pd.DataFrame(out, columns=["d", "i", "span"])
-
-    a = docs.mapInPandas(prints("d"), "d long, g long")
-    b = items.mapInPandas(prints("i"), "i long, g long")
-    pairs = a.join(b, "g").select("d", "i").distinct()
-    return pairs.join(docs, "d").join(items.withColumnRenamed("t", "p"), "i").select("d", "t", "i", "p").mapInPandas(check, schema)
-
-
-def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, passage: str, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
+            for lo, hi in portions(pdf["t"].str.len(), CHARS):
+                part = pdf.iloc[lo:hi]
+                h, count = word_hashes(part["t"].tolist())
+                own, place, g = winnow(h, count)
+                if held is not None:
+                    hit = in_map(held.value, g)
+                    own, place, g = own[hit], place[hit], g[hit]
+                start = np.cumsum(count) - count
+                rows, first = np.unique(own, return_index=True)
+                ids, out = part["id"].to_numpy(), []
+                for n, a, z in zip(rows, first, np.append(first[1:], len(own))):
+                    pairs = [{"place": x, "g": y} for x, y in zip((place[a:z] - start[n]).tolist(), g[a:z].view(np.int64).tolist())]
+                    out.append((ids[n], h[start[n] : start[n] + count[n]].tobytes(), pairs))
+                yield pd.DataFrame(out, columns=["id", "words", "prints"])
+
+    return texts.mapInPandas(run, _PRINTS)
+
+
+def in_map(bits: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set."""
+    at = g & np.uint64(64 * len(bits) - 1)
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+
+
+def _bit_map(passages: DataFrame) -> np.ndarray:
+    """The map of the passages' fingerprints; no more rows than it has words of 64 bits reach the driver."""
+    g = passages.select(F.explode("prints.g").alias("g"))
+    most = BITS_A_HASH * g.count()
+    size = 1 << max(6, min(MAP_BITS.bit_length() - 1, int(most).bit_length()))
+    at = F.col("g").bitwiseAND(F.lit(size - 1))
+    words = g.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(g & 63 as int))")).alias("b")).toPandas()
+    bits = np.zeros(size // 64, dtype=np.uint64)
+    bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
+    return bits
+
+
+def _stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of every document the words that lie against each passage that it meets."""
+    for pdf in batches:
+        for d, words, want in zip(pdf["d"], pdf["words"], pdf["want"]):
+            h = np.frombuffer(words, np.uint64)
+            for lo in range(0, len(want), 1000):
+                rows = []
+                for x in want[lo : lo + 1000]:
+                    a, z = max(0, x["shift"]), min(len(h), x["shift"] + x["n"])
+                    rows.append((d, x["i"], a - x["shift"], h[a:z].tobytes()))
+                yield pd.DataFrame(rows, columns=["d", "i", "at", "part"])
+
+
+def _spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        span = []
+        for at, part, words in zip(pdf["at"], pdf["part"], pdf["words"]):
+            x = np.frombuffer(part, np.uint64)
+            span.append(longest_run(x, np.frombuffer(words, np.uint64)[at : at + len(x)]))
+        yield pdf[["d", "i"]].assign(span=span)
+
+
+def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, passage: str) -> DataFrame:
     """(doc_id, item_id, span): the longest common run of words, if it has ten or more.
 
-    Null texts and passages, and such of fewer than ten words, match nothing; a
-    passage that quotes another counts for itself. Passages are sent to every
-    task only if their characters, which are counted first, number no more than
-    ``broadcast_chars``; else fingerprints meet in a shuffle join. Other columns
-    are not carried.
+    Null texts and passages, null ids, and texts of fewer than ten words match
+    nothing; a passage that quotes another counts for itself. Other columns are
+    not carried.
     """
-    d = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).alias("t")).where(F.col("t").isNotNull() & F.col("d").isNotNull())
-    i = items.select(F.col(item_id).cast("long").alias("i"), F.col(passage).alias("t")).where(F.col("t").isNotNull() & F.col("i").isNotNull())
-    schema = "d long, i long, span long"
-    size = i.agg(F.sum(F.length("t"))).first()[0] or 0
-    out = _by_broadcast(d, i.toPandas(), schema) if size <= broadcast_chars else _by_shuffle(d, i, schema)
-    return out.groupBy("d", "i").agg(F.max("span").alias("span")).toDF(doc_id, item_id, "span")
+    known = lambda df, key, col: df.select(F.col(key).cast("long").alias("id"), F.col(col).alias("t")).where(F.col("t").isNotNull() & F.col("id").isNotNull())
+    p = materialise(_prints(known(items, item_id, passage)), "passages")
+    met = materialise(_prints(known(docs, doc_id, text), _bit_map(p)), "leaky")
+    a = met.select(F.col("id").alias("d"), F.explode("prints").alias("x")).select("d", "x.place", "x.g", F.pmod(F.xxhash64("d"), F.lit(SALT)).alias("salt"))
+    b = p.select(F.col("id").alias("i"), (F.octet_length("words") / 8).cast("int").alias("n"), F.explode("prints").alias("x"))
+    b = b.select("i", "n", F.col("x.place").alias("from"), "x.g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("salt"))
+    # a hit fixes how document and passage lie against each other; hits of one shift are one comparison
+    pairs = a.join(b, ["g", "salt"]).select("d", "i", "n", (F.col("place") - F.col("from")).alias("shift")).distinct()
+    want = pairs.groupBy("d").agg(F.collect_list(F.struct("i", "n", "shift")).alias("want"))
+    parts = met.select(F.col("id").alias("d"), "words").join(want, "d").mapInPandas(_stretches, "d long, i long, at int, part binary")
+    spans = parts.join(p.select(F.col("id").alias("i"), "words"), "i").mapInPandas(_spans, "d long, i long, span long")
+    return spans.where(F.col("span") >= SPAN).groupBy("d", "i").agg(F.max("span").alias("span")).toDF(doc_id, item_id, "span")

@@ -406,27 +406,48 @@ def test_prefix_intervals_hold_the_longest_prefix():
 # 7 ---------------------------------------------------------------------------
 
 
-def test_leaks(spark):
+def test_leaks(spark, monkeypatch):
     p = "Die Größe der Hülle wächst, wenn das Protein in der Membran bleibt und dort ruht."
     ten = "GRÖSSE der hülle -- WACHST\nwenn (das) Protein; in der Membran"
     docs = [(1, "vorher " + ten + " danach"), (2, "Große der Hülle wächst wenn das Protein in neuer der Membran"), (3, p.upper()), (4, None), (5, ""), (6, "kurz"), (7, ten.replace("GRÖSSE", "Größe") + " " + "x " * 50_000), (8, "Groesse der Hülle wächst wenn das Protein in der Membran bleibt")]
     items = [(10, p), (11, p.split(",")[0] + " " + p), (12, None), (13, "zu kurz")]
     d = spark.createDataFrame([(*r, 1, "t") for r in docs], "doc_id long, text string, span int, t string")
     i = spark.createDataFrame([(*r, "x") for r in items], "item_id long, passage string, d string")
-    for most in (winnowing.BROADCAST_CHARS, 0):  # broadcast and shuffle give the same
-        got = {(r["doc_id"], r["item_id"]): r["span"] for r in winnowing.leaks(d, "doc_id", "text", i, "item_id", "passage", most).collect()}
+    for bits in (winnowing.MAP_BITS, 1 << 6):  # a map that is full lets all pass
+        monkeypatch.setattr(winnowing, "MAP_BITS", bits)
+        got = {(r["doc_id"], r["item_id"]): r["span"] for r in winnowing.leaks(d, "doc_id", "text", i, "item_id", "passage").collect()}
         assert {k[0] for k in got} == {1, 3, 7, 8}
         assert got[3, 10] == 15 and got[1, 10] == 10
-        assert winnowing.leaks(d.limit(0), "doc_id", "text", i, "item_id", "passage", most).count() == 0
-        assert winnowing.leaks(d, "doc_id", "text", i.limit(0), "item_id", "passage", most).count() == 0
+        assert winnowing.leaks(d.limit(0), "doc_id", "text", i, "item_id", "passage").count() == 0
+        assert winnowing.leaks(d, "doc_id", "text", i.limit(0), "item_id", "passage").count() == 0
 
 
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from("abcd"), min_size=0, max_size=60), st.lists(st.sampled_from("abcd"), min_size=0, max_size=60))
 def test_winnowing_finds_every_span_of_ten(a, b):
+    """Texts with a common span of ten words share a kept hash that lies in it, so its shift shows the span."""
     spans = {tuple(a[i : i + 10]) for i in range(len(a) - 9)} & {tuple(b[i : i + 10]) for i in range(len(b) - 9)}
-    found = winnowing.Passages([1], [" ".join(b)]).hits(["none at all", " ".join(a)])
-    assert bool(spans) == (found[0] == [1])
+    h, count = winnowing.word_hashes([" ".join(a), " ".join(b)])
+    own, place, g = winnowing.winnow(h, count)
+    kept = [[(x - len(a) * k, y) for o, x, y in zip(own, place, g) if o == k] for k in (0, 1)]
+    best = 0
+    for x, gx in kept[0]:
+        for y, gy in kept[1]:
+            if gx == gy:
+                lo, shift = max(0, x - y), x - y
+                hi = min(len(a), shift + len(b))
+                best = max(best, winnowing.longest_run(h[lo:hi], h[len(a) :][lo - shift : hi - shift]))
+    assert bool(spans) == (best >= 10)
+
+
+def test_hot_passage(spark):
+    """A passage that every document quotes, and one document that quotes all passages."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    items = [(k, " ".join(word() for _ in range(14))) for k in range(30)]
+    docs = [(k, f"start {k} {items[0][1]} {word()}") for k in range(300)] + [(999, " und ".join(t for _, t in items))]
+    got = {tuple(r) for r in winnowing.leaks(spark.createDataFrame(docs, "d long, t string"), "d", "t", spark.createDataFrame(items, "i long, p string"), "i", "p").collect()}
+    assert got == {(k, 0, 14) for k in range(300)} | {(999, k, 14) for k in range(30)}
 
 
 # 8 ---------------------------------------------------------------------------
