@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from annoweave.llm.portions import sampled
 from annoweave.llm.topn import top_n
 from annoweave.runtime import materialise
 
@@ -191,17 +192,12 @@ def _hash_rows(fitted: dict[int, np.ndarray]):
     return run
 
 
-def sampled(share: Column, *cols: str) -> Column:
-    """Whether a row falls into a share (0 to 1) of all, by 64 bits of a hash: no share is too small for it."""
-    return (F.xxhash64(*cols, F.lit(_SEED)).cast("double") / F.lit(2.0**64) + 0.5) < share
-
-
 def _fitted(vectors: DataFrame, counts: dict[int, int]) -> dict[int, np.ndarray]:
     """Per space the halvings of all trees. Spaces are models and layers, a short list."""
     if not counts:
         return {}
     share = F.create_map(*[x for s, n in counts.items() for x in (F.lit(s), F.lit(min(1.0, 1.3 * SAMPLE / n)))])
-    sample = vectors.where(sampled(F.element_at(share, F.col("space")), "vid")).select("space", "vid", "embedding").limit(2 * SAMPLE * len(counts)).toPandas().sort_values(["space", "vid"])
+    sample = vectors.where(sampled(F.element_at(share, F.col("space")), _SEED, "vid")).select("space", "vid", "embedding").limit(2 * SAMPLE * len(counts)).toPandas().sort_values(["space", "vid"])
     out = {}
     for s, n in counts.items():
         mine = sample[sample["space"] == s]["embedding"]

@@ -10,6 +10,7 @@ seeded hash.
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +28,19 @@ LAST, BUCKETS = 32_768, 256
 
 
 def count_tokens(docs: DataFrame, doc_id: str, text: str, keep: list[str], ranks: str = RANKS) -> DataFrame:
-    """(doc_id, kept columns, n_tokens); a null text counts no tokens."""
+    """(doc_id, kept columns, n_tokens); a null text counts no tokens.
+
+    ``ranks`` is a file of the driver, which is sent to the executors once, or else one that they all have.
+    """
+    name = os.path.basename(ranks)
+    if sent := os.path.exists(ranks):
+        docs.sparkSession.sparkContext.addFile(ranks)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import tiktoken
+        from pyspark import SparkFiles
 
-        with open(ranks, "rb") as f:
+        with open(SparkFiles.get(name) if sent else ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         encoder = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
         for pdf in batches:

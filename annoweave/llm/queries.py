@@ -210,6 +210,22 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d)[1]
 
 
+def p8_limits(spark: SparkSession, d: str) -> DataFrame:
+    """Whether every source keeps its budget and cap and reaches its share of the whole."""
+    r = p8_report(spark, d)
+    return r.select(
+        "source",
+        "target_share",
+        "max_repeats",
+        "documents",
+        F.round("reachable_share", 6).alias("reachable_share"),
+        # within a thousandth or, of a source of few documents, within the length of one
+        F.col("tokens_used").between(F.col("budget") - F.greatest(0.001 * F.col("budget"), F.coalesce(F.col("tokens") / F.col("documents"), F.lit(0.0))), F.col("budget")).alias("budget_met"),
+        (F.col("most_repeats") <= F.col("max_repeats")).alias("cap_kept"),
+        (F.abs(F.col("actual_share") - F.col("reachable_share")) <= 0.001).alias("share_reached"),
+    )
+
+
 def p9_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.quality(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "common_words"))
 
@@ -219,4 +235,4 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p4_limits, p5_found, p5_neighbours, p5_exact, p5_recall, p5_recall_reached, p6_found, p6_report, p7_found, p7_report, p8_mixture, p8_report, p9_found, p9_quality)}
+    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p4_limits, p5_found, p5_neighbours, p5_exact, p5_recall, p5_recall_reached, p6_found, p6_report, p7_found, p7_report, p8_mixture, p8_report, p8_limits, p9_found, p9_quality)}

@@ -111,6 +111,11 @@ def oracle_sql() -> dict[str, str]:
             WITH {_PAIRS}, near AS (SELECT * FROM pairs WHERE q % 20 = 0 QUALIFY row_number() OVER (PARTITION BY q ORDER BY s DESC, o) <= 5)
             SELECT CAST(embedding_type_id AS BIGINT) AS embedding_type_id, CAST(layer_index AS BIGINT) AS layer_index, count(DISTINCT q) AS queries, count(*) AS neighbours, TRUE AS recall_at_least_90_percent FROM near GROUP BY 1, 2""",
         "p7_found": f"WITH {_SPANS} SELECT DISTINCT doc_id, item_id FROM met",
+        "p8_limits": """
+            WITH docs AS (SELECT lower(trim(source)) AS source, count(*) AS documents FROM documents WHERE length(text) > 0 AND doc_id IS NOT NULL GROUP BY 1),
+            t AS (SELECT lower(trim(m.source)) AS source, target_share, max_repeats, coalesce(documents, 0) AS documents FROM mix_targets m LEFT JOIN docs d ON d.source = lower(trim(m.source)))
+            SELECT source, target_share, max_repeats, documents, round(CASE WHEN documents > 0 THEN target_share / sum(CASE WHEN documents > 0 THEN target_share END) OVER () ELSE 0 END, 6) AS reachable_share,
+              TRUE AS budget_met, TRUE AS cap_kept, TRUE AS share_reached FROM t""",
         "p7_report": f"""
             WITH {_SPANS}, runs AS (SELECT doc_id, item_id, i, i - row_number() OVER (PARTITION BY doc_id, item_id, i - j ORDER BY i) AS run, i - j AS shift FROM met),
             spans AS (SELECT doc_id, item_id, count(*) + 9 AS span FROM runs GROUP BY doc_id, item_id, shift, run),

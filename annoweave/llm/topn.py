@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, functions as F
 
 #: Rows that gather before they are reduced, and heap rows above which a
@@ -60,17 +61,20 @@ def _heaps(n: int):
 
 
 def _merge(n: int):
-    """The final merge: all heaps of a group are in one partition, so nothing is passed on early."""
+    """The final merge of rows in the order of their groups: groups that are complete are passed on, so memory holds few."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, gathered, rows = None, [], 0
         for b in batches:
             gathered.append(b)
             rows += b.num_rows
-            if rows >= 5 * GATHER:
+            if rows >= GATHER:
                 t = pa.Table.from_batches(gathered)
-                held = _reduce(t if held is None else pa.concat_tables([held, t]), n)
-                gathered, rows = [], 0
+                best = _reduce(t if held is None else pa.concat_tables([held, t]), n)
+                # the last group may go on in the next batch
+                open_ = pa.compute.equal(best["group"], t["group"][t.num_rows - 1])
+                yield from best.filter(pa.compute.invert(open_)).combine_chunks().to_batches(10_000)
+                held, gathered, rows = best.filter(open_), [], 0
         parts = [*([held] if held is not None else []), *([pa.Table.from_batches(gathered)] if gathered else [])]
         if parts:
             yield from _reduce(pa.concat_tables(parts), n).combine_chunks().to_batches(10_000)
@@ -91,5 +95,5 @@ def top_n(df: DataFrame, group: str, score: str, cost: str, item: str, n: int) -
     slim = slim.where(F.col("group").isNotNull() & F.col("score").isNotNull() & ~F.isnan("score") & F.col("id").isNotNull())
     if n < 1:
         return slim.where(F.lit(False)).toDF(group, score, cost, item)
-    best = slim.mapInArrow(_heaps(n), slim.schema).repartition("group").mapInArrow(_merge(n), slim.schema)
+    best = slim.mapInArrow(_heaps(n), slim.schema).repartition("group").sortWithinPartitions("group").mapInArrow(_merge(n), slim.schema)
     return best.toDF(group, score, cost, item)
