@@ -220,7 +220,7 @@ def p8_limits(spark: SparkSession, d: str) -> DataFrame:
         "documents",
         F.round("reachable_share", 6).alias("reachable_share"),
         # within a thousandth or, of a source of few documents, within the length of one
-        F.col("tokens_used").between(F.col("budget") - F.greatest(0.001 * F.col("budget"), F.coalesce(F.col("tokens") / F.col("documents"), F.lit(0.0))), F.col("budget")).alias("budget_met"),
+        F.col("tokens_used").between(F.col("budget") - F.greatest(0.001 * F.col("budget"), F.coalesce(F.try_divide("tokens", "documents"), F.lit(0.0))), F.col("budget")).alias("budget_met"),
         (F.col("most_repeats") <= F.col("max_repeats")).alias("cap_kept"),
         (F.abs(F.col("actual_share") - F.col("reachable_share")) <= 0.001).alias("share_reached"),
     )
