@@ -29,9 +29,10 @@ from annoweave.runtime import materialise
 #: GRAM + WINDOW - 1 is the least span found for certain (a fixed value of the task).
 SPAN, GRAM = 10, 5
 WINDOW = SPAN - GRAM + 1
-#: Most bits of the map of the passages' hashes (16 MB), and bits for each hash up to
-#: there. A full map lets every hash pass, which costs time but loses nothing.
-MAP_BITS, BITS_A_HASH = 1 << 27, 64
+#: Most bits of the map of the passages' hashes (16 MB), bits for each hash up to
+#: there, and how many of them are set. One hash in 65,000 passes by chance; a full
+#: map lets every hash pass, which costs time but loses nothing.
+MAP_BITS, BITS_A_HASH, PROBES = 1 << 27, 64, 4
 #: Parts into which the documents of one hash are split where they meet the passages.
 SALT = 16
 #: Characters of documents that are worked on at a time.
@@ -121,19 +122,28 @@ def _prints(texts: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
     return texts.mapInPandas(run, _PRINTS)
 
 
+def _probes(g: np.ndarray, bits: int) -> np.ndarray:
+    """The places in a map of so many bits (a power of two) of every hash."""
+    return np.stack([mix(g + np.uint64(i)) for i in range(PROBES)], 1) & np.uint64(bits - 1)
+
+
 def in_map(bits: np.ndarray, g: np.ndarray) -> np.ndarray:
-    """Whether the bit of each hash is set."""
-    at = g & np.uint64(64 * len(bits) - 1)
-    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    """Whether all bits of each hash are set."""
+    at = _probes(g, 64 * len(bits))
+    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).all(1)
 
 
 def _bit_map(passages: DataFrame) -> np.ndarray:
     """The map of the passages' fingerprints; no more rows than it has words of 64 bits reach the driver."""
     g = passages.select(F.explode("prints.g").alias("g"))
-    most = BITS_A_HASH * g.count()
-    size = 1 << max(6, min(MAP_BITS.bit_length() - 1, int(most).bit_length()))
-    at = F.col("g").bitwiseAND(F.lit(size - 1))
-    words = g.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(g & 63 as int))")).alias("b")).toPandas()
+    size = 1 << max(6, min(MAP_BITS.bit_length() - 1, int(BITS_A_HASH * g.count()).bit_length()))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            at = np.unique(_probes(pdf["g"].to_numpy(np.int64).view(np.uint64), size))
+            yield pd.DataFrame({"w": (at >> np.uint64(6)).view(np.int64), "b": (np.uint64(1) << (at & np.uint64(63))).view(np.int64)})
+
+    words = g.mapInPandas(run, "w long, b long").groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
     bits = np.zeros(size // 64, dtype=np.uint64)
     bits[words["w"].to_numpy(np.int64)] = words["b"].to_numpy(np.int64).view(np.uint64)
     return bits
