@@ -5,47 +5,56 @@ Everything here is resolved once on the driver; operators get plain values.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
+from urllib.parse import unquote, urlparse
 
 import yaml
 
+_log = logging.getLogger(__name__)
+
 #: Spellings that switch a distance threshold off.
 OFF = {"", "false", "off", "disable", "disabled", "none", "null"}
 #: Spellings of booleans on a command line.
 TRUE, FALSE = {"1", "true", "t", "yes", "y", "on"}, {"0", "false", "f", "no", "n", "off"}
+_MEANING = dict.fromkeys(TRUE, True) | dict.fromkeys(FALSE, False)
 #: Keys of the lookup section that flat settings may override.
 LOOKUP_KEYS = ("use_gpu", "batch_size", "distance_metric", "limit_per_entry", "topgo", "precision", "redundancy", "taxonomy")
 
 
+def _spelled(value: Any) -> str:
+    return str(value).strip().lower()
+
+
 def threshold(value: Any) -> float | None:
     """A distance threshold, or None for anything that means off (zero and negatives too)."""
-    if value is None or value is False:
-        return None
-    if isinstance(value, str) and value.strip().lower() in OFF:
-        return None
-    number = float(value)
-    return number if number > 0 else None
+    word = _spelled(value)
+    return None if word in OFF else max(float(word), 0.0) or None
 
 
 def boolean(value: Any) -> bool | None:
     """A boolean from its usual spellings; None stays None."""
-    if value is None or isinstance(value, bool):
-        return value
-    word = str(value).strip().lower()
-    if word in TRUE:
-        return True
-    if word in FALSE:
-        return False
-    raise ValueError(f"not a boolean: {value!r}")
+    try:
+        return None if value is None else _MEANING[_spelled(value)]
+    except KeyError:
+        raise ValueError(f"not a boolean: {value!r}") from None
 
 
 def metric(name: Any) -> str:
-    """cosine or euclidean; anything else falls back to cosine."""
-    word = str(name or "").strip().lower()
-    return word if word in ("cosine", "euclidean") else "cosine"
+    """cosine or euclidean; anything else falls back to cosine with a warning."""
+    word = _spelled(name or "cosine")
+    if word not in ("cosine", "euclidean"):
+        _log.warning("no distance metric %r, using cosine", name)
+        return "cosine"
+    return word
+
+
+def url_name(url: str) -> str:
+    """The file name at the end of a URL's path, without query or fragment."""
+    return unquote(urlparse(url).path).rstrip("/").rpartition("/")[2]
 
 
 def layers(values: Iterable[Any] | None) -> list[int]:
@@ -119,6 +128,8 @@ def resolve(raw: Mapping[str, Any]) -> dict[str, Any]:
         if conf.get(flat) is not None:
             embedding[key] = conf[flat]
     red, tax = lookup["redundancy"], lookup["taxonomy"]
+    if red.get("threads") is not None:
+        red["threads"] = int(red["threads"])
     red["identity"], red["coverage"] = float(red.get("identity") or 0), float(red.get("coverage") if red.get("coverage") is not None else 0.7)
     if not 0 <= red["identity"] <= 1:
         raise ValueError("redundancy identity must lie in [0, 1]")
@@ -130,6 +141,10 @@ def resolve(raw: Mapping[str, Any]) -> dict[str, Any]:
     lookup["distance_metric"] = metric(lookup.get("distance_metric"))
     lookup["limit_per_entry"] = int(lookup.get("limit_per_entry") or 1)
     lookup["precision"] = int(lookup.get("precision") if lookup.get("precision") is not None else 4)
+    lookup["topgo"] = bool(boolean(lookup.get("topgo"))) if lookup.get("topgo") is not None else True
+    conf["limit_execution"] = int(conf.get("limit_execution") or 0)
+    if embedding.get("max_sequence_length") is not None:
+        embedding["max_sequence_length"] = int(embedding["max_sequence_length"])
     models = embedding.get("models") or {}
     embedding["types"] = [name for name, m in models.items() if boolean((m or {}).get("enabled", False))]
     conf["only_lookup"], conf["only_embedding"] = bool(boolean(conf.get("only_lookup"))), bool(boolean(conf.get("only_embedding")))
@@ -159,30 +174,61 @@ class Summary:
         out = []
         for name, aggs in self.metrics.items():
             for agg in aggs:
-                agg = {"avg": "mean"}.get(agg.lower(), agg.lower())
+                agg = _aggregate(agg)
                 if agg in ("min", "max", "mean"):
                     out.append((f"{agg}_{self.aliases.get(name, name)}", name, agg))
         return out
 
-    def weight_of(self, metric: str, agg: str) -> float:
-        """By full output name, then by metric (number or per aggregate), then by alias; else 0."""
+    def weight_of(self, metric: str, agg: str) -> float | None:
+        """The weight of an aggregate, or None if it has none and takes no part.
+
+        The full output name comes first, then the metric, then its alias; the
+        latter two may hold a number or a number per aggregate. A name that says
+        nothing of this aggregate passes on to the next.
+        """
         alias = self.aliases.get(metric, metric)
-        full = self.weights.get(f"{agg}_{alias}")
-        if isinstance(full, (int, float)):
-            return float(full)
-        own = self.weights.get(metric)
-        if isinstance(own, Mapping):
-            return float(own.get(agg, 0) or 0)
-        if isinstance(own, (int, float)):
-            return float(own)
-        other = self.weights.get(alias)
-        return float(other) if isinstance(other, (int, float)) else 0.0
+        for name, by_aggregate in ((f"{agg}_{alias}", False), (metric, True), (alias, True)):
+            found = self.weights.get(name)
+            if by_aggregate and isinstance(found, Mapping):
+                found = next((w for a, w in found.items() if _aggregate(a) == agg and _number(w)), None)
+            if _number(found):
+                return float(found)
+        return None
 
     def active(self) -> dict[str, float]:
-        """Normalised weight by output column; empty if the weights do not sum to more than 0."""
+        """Normalised weight by output column, zero weights included; empty if they do not sum to more than 0."""
         found = {name: self.weight_of(m, agg) for name, m, agg in self.columns()}
-        if self.include_counts and isinstance(self.weights.get("count"), (int, float)):
-            found["count"] = float(self.weights["count"])
-        found = {c: w for c, w in found.items() if w}
-        total = sum(found.values())
-        return {c: w / total for c, w in found.items()} if total > 0 else {}
+        if self.include_counts:
+            found["count"] = float(self.weights["count"]) if _number(self.weights.get("count")) else None
+        weights = {c: w for c, w in found.items() if w is not None}
+        total = sum(weights.values())
+        return {c: w / total for c, w in weights.items()} if total > 0 else {}
+
+
+def _number(x: Any) -> bool:
+    return isinstance(x, (int, float)) and not isinstance(x, bool)
+
+
+def _aggregate(name: Any) -> str:
+    return {"avg": "mean"}.get(_spelled(name), _spelled(name))
+
+
+def summary_of(conf: Mapping[str, Any]) -> Summary:
+    """The summary that resolved settings ask for."""
+    post = (conf.get("postprocess") or {}).get("summary") or {}
+    named = {"metrics": "metrics", "aliases": "aliases", "weights": "weights", "include_counts": "include_counts", "normalize_count": "normalize_count_by_limit_per_entry", "raw_count": "export_raw_count", "prefix": "weighted_prefix"}
+    given = {ours: post[theirs] for ours, theirs in named.items() if post.get(theirs) is not None}
+    if "metrics" in given:
+        given["metrics"] = {m: tuple(aggs) for m, aggs in given["metrics"].items()}
+    return Summary(**given, k=max(1, conf["lookup"]["limit_per_entry"]), precision=conf["lookup"]["precision"])
+
+
+def models_of(conf: Mapping[str, Any]) -> dict[str, list[int]]:
+    """Enabled models and their layers."""
+    models = conf["embedding"].get("models") or {}
+    return {name: layers((models[name] or {}).get("layer_index")) for name in conf["embedding"]["types"]}
+
+
+def thresholds_of(conf: Mapping[str, Any]) -> dict[str, float | None]:
+    """Distance threshold of every model that names one."""
+    return {name: threshold(m["distance_threshold"]) for name, m in (conf["embedding"].get("models") or {}).items() if m and "distance_threshold" in m}

@@ -46,6 +46,9 @@ AMBIGUOUS, OTHER = {"B": "ND", "Z": "QE"}, -1
 OPEN, EXTEND = 10, 1
 #: Cells (pairs x query x reference) of a batch, which bounds its memory.
 CELLS = 12_000_000
+#: Cells of the trace that are kept whole; a larger one is made again in stretches of
+#: sqrt(rows), so a pair of any length needs memory of n ** 1.5 and twice the time.
+TRACE = 64_000_000
 
 
 def matrix() -> np.ndarray:
@@ -97,14 +100,14 @@ def align(queries: list[str], references: list[str], local: bool, gap_open: int
     h = np.tile(np.array([border(k) for k in range(m + 1)], dtype=kind), (size, 1))
     e = np.full((size, m + 1), low // 2, dtype=kind)
     f, base, diagonal, opened = (np.full((size, m + 1), low // 2, dtype=kind) for _ in range(4))
-    # bits: 1 from the diagonal, 2 from the vertical gap, 4 vertical gap goes on, 8 horizontal gap goes on, 16 local stop
-    trace = np.zeros((n + 1, size, m + 1), dtype=np.uint8)
     bit = np.empty((size, m + 1), dtype=bool)
     best, end_i, end_j = np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int64)
     final = np.zeros(size, np.int64)
     inside = np.arange(m + 1)[None, :] <= lr[:, None]
-    for i in range(1, n + 1):
-        code = trace[i]
+
+    def advance(i: int, code: np.ndarray) -> None:
+        """Row i from the one before, in place. Bits of ``code``: 1 from the diagonal, 2 from the
+        vertical gap, 4 vertical gap goes on, 8 horizontal gap goes on, 16 local stop."""
         np.subtract(e, ge, out=e)
         np.subtract(h, go, out=opened)
         np.greater(e, opened, out=bit)
@@ -129,6 +132,17 @@ def align(queries: list[str], references: list[str], local: bool, gap_open: int
         if local:
             np.less_equal(h, 0, out=bit)
             np.bitwise_or(code, np.left_shift(bit.view(np.uint8), 4), out=code)
+
+    # the whole trace is kept if it is small; else only every so many rows, from
+    # which the trace is made again, stretch by stretch, when the way back needs it
+    stretch = n if (n + 1) * (m + 1) * size <= TRACE else max(1, int(np.ceil(np.sqrt(n))))
+    trace = np.zeros((stretch, size, m + 1), dtype=np.uint8)
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
+    for i in range(1, n + 1):
+        if stretch < n and (i - 1) % stretch == 0:
+            kept.append((h.copy(), e.copy()))
+        advance(i, trace[(i - 1) % stretch])
+        if local:
             here = np.where(inside, h, kind(-1))
             j = here.argmax(1)
             top = here[rows, j]
@@ -144,26 +158,35 @@ def align(queries: list[str], references: list[str], local: bool, gap_open: int
         out[ok, 0] = final[ok]
         i, j = np.where(ok, lq, 0), np.where(ok, lr, 0)
     state = np.zeros(size, np.int8)  # 0 match, 1 in a vertical gap, 2 in a horizontal gap
-    while True:
-        code = trace[i, rows, j]
-        live = ((i > 0) | (j > 0)) if not local else ((i > 0) & (j > 0) & ~((code & 16).astype(bool) & (state == 0)))
-        if not live.any():
-            return out
-        forced_up, forced_left = live & (j == 0), live & (i == 0)
-        at = state.copy()
-        at[(state == 0) & ((code & 3) == 2)] = 1
-        at[(state == 0) & ((code & 3) == 0)] = 2
-        at[forced_up], at[forced_left] = 1, 2
-        up, left = live & (at == 1), live & (at == 2)
-        match = live & (at == 0)
-        x, y = a[rows, np.maximum(i - 1, 0)], b[rows, np.maximum(j - 1, 0)]
-        out[:, 1] += live
-        out[:, 2] += match & (x == y)
-        out[:, 3] += match & ((x == y) | (score_of[x, y] > 0))
-        out[:, 4] += up | left
-        state = np.where(up, np.where((code & 4) > 0, 1, 0), np.where(left, np.where((code & 8) > 0, 2, 0), 0)).astype(np.int8)
-        i = i - (match | up)
-        j = j - (match | left)
+    for lo in range((n - 1) // stretch * stretch, -1, -stretch):
+        if stretch < n:
+            h[...], e[...] = kept[lo // stretch]
+            for x in range(lo + 1, min(lo + stretch, n) + 1):
+                advance(x, trace[x - 1 - lo])
+        while True:
+            code = np.where(i > lo, trace[np.clip(i - 1 - lo, 0, stretch - 1), rows, j], 0).astype(np.uint8)
+            live = ((i > 0) | (j > 0)) if not local else ((i > 0) & (j > 0) & ~((code & 16).astype(bool) & (state == 0)))
+            # what has left this stretch waits for the one before it
+            live &= (i > lo) | (lo == 0)
+            if not live.any():
+                break
+            forced_up, forced_left = live & (j == 0), live & (i == 0)
+            at = state.copy()
+            at[(state == 0) & ((code & 3) == 2)] = 1
+            at[(state == 0) & ((code & 3) == 0)] = 2
+            at[forced_up], at[forced_left] = 1, 2
+            up, left = live & (at == 1), live & (at == 2)
+            match = live & (at == 0)
+            x, y = a[rows, np.maximum(i - 1, 0)], b[rows, np.maximum(j - 1, 0)]
+            out[:, 1] += live
+            out[:, 2] += match & (x == y)
+            out[:, 3] += match & ((x == y) | (score_of[x, y] > 0))
+            out[:, 4] += up | left
+            after = np.where(up, np.where((code & 4) > 0, 1, 0), np.where(left, np.where((code & 8) > 0, 2, 0), 0))
+            state = np.where(live, after, state).astype(np.int8)
+            i = i - (match | up)
+            j = j - (match | left)
+    return out
 
 
 def metrics(queries: pd.Series, references: pd.Series) -> pd.DataFrame:

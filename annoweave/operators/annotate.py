@@ -61,11 +61,17 @@ def dense_numbers(df: DataFrame, keys: list[str]) -> DataFrame:
     return placed.join(offsets, "_part").withColumn("idx", F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_part", "_at", "_before")
 
 
+def mapping(numbers: DataFrame) -> DataFrame:
+    """Of (accession, sequence, idx): (query_idx, query_fasta_id, accessions, sequence_length), the accessions sorted and joined by ;."""
+    per = numbers.groupBy("idx").agg(F.concat_ws(";", F.array_sort(F.collect_set("accession"))).alias("accessions"), F.max(F.length("sequence")).cast("long").alias("sequence_length"))
+    return per.select(F.col("idx").alias("query_idx"), F.concat(F.lit("Q"), F.col("idx").cast("string")).alias("query_fasta_id"), "accessions", "sequence_length")
+
+
 def query_mapping(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_idx, query_fasta_id, accessions, sequence_length): all accessions of a sequence, sorted and joined by ;."""
-    q = queries.where("sequence is not null and accession is not null").select("accession", "sequence").distinct()
-    grouped = q.groupBy("sequence").agg(F.concat_ws(";", F.array_sort(F.collect_set("accession"))).alias("accessions"))
-    return grouped.join(index, "sequence").select(F.col("idx").alias("query_idx"), F.concat(F.lit("Q"), F.col("idx").cast("string")).alias("query_fasta_id"), "accessions", F.length("sequence").cast("long").alias("sequence_length"))
+    """The mapping of queries (accession, sequence) by an index (sequence, idx); sequences meet by their hash."""
+    q = queries.where("sequence is not null and accession is not null").select("accession", "sequence").distinct().withColumn("_h", F.xxhash64("sequence"))
+    i = index.select(F.xxhash64("sequence").alias("_h"), F.col("sequence").alias("_s"), "idx")
+    return mapping(q.join(i, "_h").where("sequence <=> _s"))
 
 
 def distinct_pairs(df: DataFrame) -> DataFrame:
@@ -73,14 +79,22 @@ def distinct_pairs(df: DataFrame) -> DataFrame:
     return df.where("sequence_query is not null and sequence_reference is not null").select("sequence_query", "sequence_reference").distinct()
 
 
-def aligned(df: DataFrame) -> DataFrame:
+def numbered(rows: DataFrame, key: str, sequence: str, idx: str) -> DataFrame:
+    """``rows`` (one per key) with the dense number of their sequence, null where it is missing.
+
+    Sequences are joined by a 64-bit hash and then compared, so the long texts are no join key.
+    """
+    index = sequence_index(rows, sequence, key).select(F.xxhash64(sequence).alias("_h"), F.col(sequence).alias("_s"), F.col("idx").alias(idx))
+    both = rows.withColumn("_h", F.xxhash64(sequence)).join(index, "_h", "left")
+    return both.where(F.col("_s").eqNullSafe(F.col(sequence))).drop("_h", "_s")
+
+
+def aligned(df: DataFrame, keys: tuple[str, str] = ("query_idx", "ref_idx")) -> DataFrame:
     """The rows with the twelve alignment metrics, null where a sequence is missing.
 
-    Each distinct pair is aligned once; the join back is keyed by a hash of the
-    pair and checked by the texts, so long strings are not the join key.
+    ``keys`` number the distinct sequences of either side. Each distinct pair of
+    numbers is aligned once, and the metrics are joined back by the numbers.
     """
-    pairs = spread(distinct_pairs(df), F.xxhash64("sequence_query", "sequence_reference")).withColumn("_m", alignment("sequence_query", "sequence_reference"))
-    pairs = pairs.select(F.xxhash64("sequence_query", "sequence_reference").alias("_h"), F.col("sequence_query").alias("_q"), F.col("sequence_reference").alias("_r"), "_m.*")
-    keyed = df.withColumn("_h", F.when(F.col("sequence_query").isNotNull() & F.col("sequence_reference").isNotNull(), F.xxhash64("sequence_query", "sequence_reference")))
-    same = (keyed["_h"] == pairs["_h"]) & (keyed["sequence_query"] == pairs["_q"]) & (keyed["sequence_reference"] == pairs["_r"])
-    return keyed.join(pairs, same, "left").drop("_h", "_q", "_r")
+    pairs = df.where(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull()).select(*keys, "sequence_query", "sequence_reference").dropDuplicates(list(keys))
+    pairs = spread(pairs, *keys).withColumn("_m", alignment("sequence_query", "sequence_reference"))
+    return df.join(pairs.select(*keys, "_m.*"), list(keys), "left")

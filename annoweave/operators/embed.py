@@ -7,13 +7,15 @@ from typing import Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+
+from annoweave.runtime import width
 
 
 class Embedder(Protocol):
     """A model: sequences and one layer in, one vector per sequence out."""
 
-    def __call__(self, sequences: list[str], layer: int) -> np.ndarray: ...
+    def __call__(self, sequences: list[str], layer: int | None) -> np.ndarray: ...
 
 
 #: Makers of embedders by model name; a maker runs once per task, so it may load weights.
@@ -27,12 +29,12 @@ def register(model: str, make: Callable[[], Embedder]) -> None:
 def composition() -> Embedder:
     """A model without weights: hashed residue pairs, different for every layer."""
 
-    def run(sequences: list[str], layer: int) -> np.ndarray:
+    def run(sequences: list[str], layer: int | None) -> np.ndarray:
         out = np.zeros((len(sequences), 64), dtype=np.float32)
         for i, s in enumerate(sequences):
             raw = np.frombuffer(s.upper().encode("ascii", "replace"), dtype=np.uint8).astype(np.int64)
             if len(raw) > 1:
-                np.add.at(out[i], (raw[:-1] * (31 + 2 * layer) + raw[1:] * 7) % 64, 1)
+                np.add.at(out[i], (raw[:-1] * (31 + 2 * (layer or 0)) + raw[1:] * 7) % 64, 1)
         return out
 
     return run
@@ -44,23 +46,30 @@ register("composition", composition)
 def embed(tasks: DataFrame, batch: int = 64) -> DataFrame:
     """Vectors of (accession, sequence, embedding_type_id, model_name, layer_index).
 
-    Rows are grouped by model and layer and then batched, so a batch never mixes
-    models; metadata travels with the row, never by position. A model without a
-    maker stops the job.
+    Rows are ranged by model and layer over all tasks, so a task loads few models
+    however many there are, and a batch never mixes models; metadata travels with
+    the row, never by position. A null layer is a layer of its own. A model
+    without a maker stops the job.
     """
     makers = dict(REGISTRY)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made: dict[str, Embedder] = {}
         for pdf in batches:
-            for (model, layer), part in pdf.groupby(["model_name", "layer_index"], sort=True):
+            for (model, layer), part in pdf.groupby(["model_name", "layer_index"], sort=True, dropna=False):
                 if model not in makers:
                     raise ValueError(f"no embedder is registered for {model}")
-                own = made.setdefault(model, makers[model]())
+                if model not in made:
+                    made[model] = makers[model]()
                 for lo in range(0, len(part), batch):
                     some = part.iloc[lo : lo + batch]
-                    vectors = own(some["sequence"].tolist(), int(layer))
-                    yield some[["accession", "sequence", "embedding_type_id", "layer_index"]].assign(embedding=list(vectors))
+                    vectors = made[model](some["sequence"].tolist(), None if pd.isna(layer) else int(layer))
+                    out = some[["accession", "sequence", "embedding_type_id", "layer_index"]].assign(embedding=list(vectors))
+                    yield out.astype({"layer_index": "Int32"})
 
     need = tasks.select("accession", "sequence", "embedding_type_id", "model_name", "layer_index").where("sequence is not null")
-    return need.mapInPandas(run, "accession string, sequence string, embedding_type_id int, layer_index int, embedding array<float>")
+    spark = tasks.sparkSession
+    n = max(width(spark), spark.sparkContext.defaultParallelism)
+    order = ["model_name", "layer_index", F.xxhash64("accession")]
+    ranged = need.repartitionByRange(n, *order).sortWithinPartitions("model_name", "layer_index")
+    return ranged.mapInPandas(run, "accession string, sequence string, embedding_type_id int, layer_index int, embedding array<float>")

@@ -45,13 +45,6 @@ def effective_layers(available: DataFrame, wanted: dict[int, list[int]]) -> Data
     return available.join(want, "embedding_type_id").select("embedding_type_id", F.array_sort(F.array_intersect("wanted", "layers")).alias("layers"))
 
 
-def first_vectors(vectors: DataFrame, order: str) -> DataFrame:
-    """One vector per (accession, model, layer): the first by ``order``."""
-    row = F.struct("sequence", "embedding")
-    kept = vectors.where("accession is not null").groupBy("accession", "embedding_type_id", "layer_index").agg(F.min_by(row, order).alias("v"))
-    return kept.select("accession", "embedding_type_id", "layer_index", "v.sequence", "v.embedding")
-
-
 def all_sequences(references: DataFrame, queries: DataFrame) -> DataFrame:
     """Both sides' sequences with a ``side`` (r or q), as input of the clustering."""
     r = references.select(F.col("id").cast("string").alias("identifier"), "sequence", F.lit("r").alias("side"))

@@ -25,12 +25,12 @@ def _aggregate(metric: str, agg: str, precision: int) -> Column:
     return F.min(x) if agg == "min" else F.max(x)
 
 
-def metrics(raw: DataFrame, conf: Summary) -> DataFrame:
+def metrics(raw: DataFrame, conf: Summary, *more: Column) -> DataFrame:
     """Aggregates and support count per (accession, go_id, model_name, layer_index).
 
     Values are rounded before they are aggregated, nulls are skipped, and a null
     layer is a group. The count is rows over k, so it can exceed 1 where a
-    sequence has several proteins.
+    sequence has several proteins. ``more`` are further aggregates of the same pass.
     """
     aggs = [_aggregate(m, a, conf.precision).alias(name) for name, m, a in conf.columns()]
     if conf.include_counts:
@@ -38,7 +38,7 @@ def metrics(raw: DataFrame, conf: Summary) -> DataFrame:
         aggs.append((n / F.lit(float(conf.k)) if conf.normalize_count else n.cast("double")).alias("count"))
         if conf.raw_count:
             aggs.append(n.alias("count_raw"))
-    return raw.where("accession is not null and go_id is not null").groupBy(*UNIT, "model_name", "layer_index").agg(*aggs)
+    return raw.where("accession is not null and go_id is not null").groupBy(*UNIT, "model_name", "layer_index").agg(*aggs, *more)
 
 
 def weighted(table: DataFrame, conf: Summary) -> DataFrame:
@@ -61,18 +61,21 @@ def label(model: str, layer: int | None) -> str:
     return f"{model}_L{'legacy' if layer is None else layer}"
 
 
-def wide(table: DataFrame, stats: DataFrame, spaces: list[tuple[str, int | None]]) -> DataFrame:
-    """One row per (accession, go_id): ``{column}_{model}_L{layer|legacy}`` for every given space.
-
-    ``spaces`` fixes the columns and their order beforehand, so no job looks for
-    them and every run has the same header.
-    """
-    values = [c for c in table.columns if c not in (*UNIT, "model_name", "layer_index")]
+def _columns(values: list[str], spaces: list[tuple[str, int | None]]) -> list[Column]:
+    """``{column}_{model}_L{layer|legacy}`` of every given space, as aggregates."""
     key = F.concat(F.col("model_name"), F.lit("_L"), F.coalesce(F.col("layer_index").cast("string"), F.lit("legacy")))
-    aggs = [F.max(F.when(key == label(m, k), F.col(c))).alias(f"{c}_{label(m, k)}") for m, k in spaces for c in values]
-    return stats.join(table.groupBy(*UNIT).agg(*aggs), UNIT, "left")
+    return [F.max(F.when(key == label(m, k), F.col(c))).alias(f"{c}_{label(m, k)}") for m, k in spaces for c in values]
 
 
 def summary(raw: DataFrame, conf: Summary, spaces: list[tuple[str, int | None]]) -> DataFrame:
-    """The whole summary; sort it by accession and go_id where it is written."""
-    return wide(weighted(metrics(raw, conf), conf), term_stats(raw), spaces)
+    """The whole summary, one row per (accession, go_id); sort it by them where it is written.
+
+    One aggregation per model and layer takes the metrics, the number of rows and
+    the proteins together; a second one merges them and spreads the metrics over
+    the columns of ``spaces``, which are fixed beforehand, so no job looks for
+    them and every run has the same header.
+    """
+    per = weighted(metrics(raw, conf, F.count(F.lit(1)).alias("_rows"), F.collect_set("protein_id").alias("_proteins")), conf)
+    values = [c for c in per.columns if c not in (*UNIT, "model_name", "layer_index", "_rows", "_proteins")]
+    proteins = F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("_proteins")))), "|")
+    return per.groupBy(*UNIT).agg(F.sum("_rows").alias("term_count"), proteins.alias("proteins"), *_columns(values, spaces))

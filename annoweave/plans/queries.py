@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,9 +21,10 @@ from annoweave.sources import fasta, raw as raw_source, sinks
 Query = Callable[[SparkSession, str], DataFrame]
 _ALL: dict[str, Query] = {}
 
-#: The summary of the shipped settings, and a narrow one for the wide table.
+#: The summary of the shipped settings, and narrow ones for the wide table.
 FULL = Summary(k=1)
 NARROW = Summary(metrics={"reliability_index": ("max",)}, weights={"max_ri": 0.8, "count": 0.2}, k=1)
+NARROW_3 = replace(NARROW, k=3)
 
 
 def _query(f: Query) -> Query:
@@ -54,11 +56,18 @@ def _search(spark: SparkSession, d: str, **conf) -> DataFrame:
 
 @_query
 def pipeline_summary(spark: SparkSession, d: str) -> DataFrame:
-    """Search, annotation, scores and aggregation in one plan."""
+    """Search, annotation, scores, weighted aggregation and the wide table in one run."""
     t = pipeline.Tables.at(spark, d)
     raw = pipeline.raw_results(t, pipeline.Lookup(k=3, align=False, keep_sequences=False))
-    out = raw.groupBy("accession", "go_id").agg(F.max(summary.rounded("reliability_index", 4)).alias("max_ri"), F.count(F.lit(1)).alias("term_count"), F.countDistinct("protein_id").alias("protein_count"))
-    return out
+    return summary.summary(raw, NARROW_3, SPACES)
+
+
+@_query
+def pipeline_aligned(spark: SparkSession, d: str) -> DataFrame:
+    """The same as a shipped run does it: every hit aligned, the whole summary of the settings."""
+    t = pipeline.Tables.at(spark, d)
+    raw = materialise(pipeline.raw_results(t, pipeline.Lookup(k=1, keep_sequences=False)), "raw")
+    return summary.summary(raw, FULL, SPACES)
 
 
 @_query
@@ -235,7 +244,7 @@ def topgo_ensemble(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _donor_rows(spark: SparkSession, d: str) -> DataFrame:
-    return _latest(spark, d, "accession", *leakage.DONOR)
+    return _latest(spark, d, "accession", "source_file", *leakage.DONOR)
 
 
 @_query
@@ -256,7 +265,7 @@ def leakage_no_survivor(spark: SparkSession, d: str) -> DataFrame:
 @_query
 def leakage_donors(spark: SparkSession, d: str) -> DataFrame:
     out = leakage.selected_donors(leakage.best_donor_rows(_donor_rows(spark, d), 0.5))
-    return out.select("accession", "protein_id", "organism", "gene_name", "query_len", "ref_len", "rows_kept_for_selected_donor")
+    return out.select("accession", "protein_id", "organism", "gene_name", "query_len", "ref_len", "source_file", "rows_kept_for_selected_donor")
 
 
 @_query

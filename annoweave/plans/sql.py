@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from annoweave.config import Summary
-
 #: Taxa that the queries exclude or keep exclusively, model thresholds, cutoffs
 #: and the (model, layer) columns of the wide table.
 EXCLUDE, INCLUDE = ["9100000", "9100074"], ["9100037", "9100074", "9100111"]
 THRESHOLDS: dict[str, float | None] = {"Lumen-S": 0.5, "Corva-M": None, "Tessel-L": 0.6}
 CUTOFFS = [0.3, 0.5, 0.9]
+#: Columns (output, metric, aggregate) and weights of the two summaries, written out.
+FULL_COLUMNS = [("max_ri", "reliability_index", "max"), ("min_id_g", "identity", "min"), ("max_id_g", "identity", "max"), ("mean_id_g", "identity", "mean"), ("min_id_l", "identity_sw", "min"), ("max_id_l", "identity_sw", "max"), ("mean_id_l", "identity_sw", "mean")]
+FULL_WEIGHTS = {"max_ri": 0.4, "max_id_g": 0.2, "max_id_l": 0.2, "count": 0.2}
+NARROW_COLUMNS, NARROW_WEIGHTS = [("max_ri", "reliability_index", "max")], {"max_ri": 0.8, "count": 0.2}
 SPACES: list[tuple[str, int | None]] = [("Corva-M", 0), ("Corva-M", 12), ("Lumen-S", 0), ("Orbit-XS", 0), ("Quill2-Base", 0), ("Quill2-Base", 8), ("Tessel-L", None), ("Tessel-L", 0)]
 
 _ACC = "replace(regexp_replace(accession, '^accession_', ''), '|', '_')"
@@ -31,8 +33,8 @@ def _allowed(exclude: list[str], include: list[str], keeps_null: bool) -> str:
 
 def _vectors(exclude: list[str] = [], include: list[str] = []) -> str:  # noqa: B006
     return f"""
-        qv AS (SELECT {_ACC} AS accession, embedding_type_id, layer_index, min(embedding)::DOUBLE[] AS qe, min(sequence) AS qs
-          FROM query_embedding WHERE accession IS NOT NULL AND {_VALID} GROUP BY 1, 2, 3),
+        qv AS (SELECT accession, embedding_type_id, layer_index, embedding::DOUBLE[] AS qe, sequence AS qs FROM (SELECT * REPLACE ({_ACC} AS accession) FROM query_embedding WHERE accession IS NOT NULL AND {_VALID})
+          QUALIFY row_number() OVER (PARTITION BY accession, embedding_type_id, layer_index ORDER BY coalesce(created_at, TIMESTAMP '1970-01-01'), vec_id) = 1),
         rv AS (SELECT sequence_id, embedding_type_id, layer_index, min(embedding)::DOUBLE[] AS re
           FROM reference_embedding WHERE sequence_id IS NOT NULL AND {_VALID}
             AND sequence_id IN (SELECT id FROM ref_sequences)
@@ -76,33 +78,33 @@ def _fine(col: str, precision: int = 4) -> str:
     return f"round(CASE WHEN isnan({col}) THEN NULL ELSE {col} END, {precision})"
 
 
-def _metrics(conf: Summary) -> str:
+def _metrics(columns: list[tuple[str, str, str]], k: int = 1, raw: str = "raw") -> str:
     aggs = []
-    for name, metric, agg in conf.columns():
+    for name, metric, agg in columns:
         x = _fine(metric)
         if agg == "mean":
             aggs.append(f"CAST(sum(CAST(round({x} * 10000) AS BIGINT)) AS BIGINT) / (count({x}) * 10000.0::DOUBLE) AS {name}")
         else:
             aggs.append(f"{agg}({x}) AS {name}")
-    return f"SELECT accession, go_id, model_name, layer_index, {', '.join(aggs)}, CAST(count(*) AS DOUBLE) / {float(conf.k)} AS count FROM raw WHERE accession IS NOT NULL AND go_id IS NOT NULL GROUP BY 1, 2, 3, 4"
+    return f"SELECT accession, go_id, model_name, layer_index, {', '.join(aggs)}, CAST(count(*) AS DOUBLE) / {float(k)} AS count FROM {raw} WHERE accession IS NOT NULL AND go_id IS NOT NULL GROUP BY 1, 2, 3, 4"
 
 
-def _weighted(conf: Summary) -> str:
-    parts = [f"round(coalesce({c}, 0.0::DOUBLE) * {w!r}::DOUBLE, 4) AS {conf.prefix}{c}" for c, w in conf.active().items()]
-    total = " + ".join(f"{conf.prefix}{c}" for c in conf.active())
+def _weighted(weights: dict[str, float]) -> str:
+    parts = [f"round(coalesce({c}, 0.0::DOUBLE) * {w!r}::DOUBLE, 4) AS w_{c}" for c, w in weights.items()]
+    total = " + ".join(f"w_{c}" for c in weights)
     return f"SELECT *, round({total}, 6) AS final_score FROM (SELECT *, {', '.join(parts)} FROM m)"
 
 
 _STATS = "SELECT accession, go_id, count(*) AS term_count, coalesce(string_agg(DISTINCT protein_id, '|' ORDER BY protein_id), '') AS proteins FROM raw WHERE accession IS NOT NULL AND go_id IS NOT NULL GROUP BY 1, 2"
 
 
-def _pivot(conf: Summary) -> str:
-    values = [n for n, _, _ in conf.columns()] + ["count"] + [conf.prefix + c for c in conf.active()] + ["final_score"]
+def _pivot(raw: str = "", k: int = 1) -> str:
+    values = [n for n, _, _ in NARROW_COLUMNS] + ["count"] + ["w_" + c for c in NARROW_WEIGHTS] + ["final_score"]
     cols = []
     for model, layer in SPACES:
         here = f"model_name = '{model}' AND layer_index IS NOT DISTINCT FROM {'NULL' if layer is None else layer}"
         cols += [f"""max(CASE WHEN {here} THEN {v} END) AS "{v}_{model}_L{'legacy' if layer is None else layer}" """ for v in values]
-    return f"WITH {_RAW}, m AS ({_metrics(conf)}), w AS ({_weighted(conf)}), s AS ({_STATS}), p AS (SELECT accession, go_id, {', '.join(cols)} FROM w GROUP BY 1, 2) SELECT * FROM s LEFT JOIN p USING (accession, go_id)"
+    return f"WITH {raw or _RAW}, m AS ({_metrics(NARROW_COLUMNS, k)}), w AS ({_weighted(NARROW_WEIGHTS)}), s AS ({_STATS}), p AS (SELECT accession, go_id, {', '.join(cols)} FROM w GROUP BY 1, 2) SELECT * FROM s LEFT JOIN p USING (accession, go_id)"
 
 
 _TOPGO = f"""topgo AS (SELECT model_name, coalesce(CAST(layer_index AS VARCHAR), 'legacy') AS layer, upper(category) AS category, accession, go_id, {_fine("reliability_index")} AS reliability_index
@@ -111,18 +113,19 @@ _TOPGO = f"""topgo AS (SELECT model_name, coalesce(CAST(layer_index AS VARCHAR),
 _NUM = "coalesce(CASE WHEN isnan({0}) THEN NULL ELSE {0} END, {1})"
 _IDENTITY = _NUM.format("identity", "-1.0")
 _DONOR_COLS = ["protein_id", "organism", "gene_name", "distance", "reliability_index", "identity", "query_len", "ref_len"]
+_TEXT = "coalesce(nullif(CAST({0} AS VARCHAR), 'nan'), '')"
+#: The latest raw results with a missing accession as the empty one, and the key of their donor.
+_KEYED = f"""{_RAW}, keyed AS (SELECT * REPLACE (coalesce(accession, '') AS accession), concat_ws(chr(31), {", ".join(_TEXT.format(c) for c in _DONOR_COLS)}) AS donor FROM raw)"""
 
 
 def _donors(threshold: float) -> str:
-    same = " AND ".join(f"r.{c} IS NOT DISTINCT FROM b.{c}" for c in ["accession", *_DONOR_COLS])
-    return f"""{_RAW}, best AS (SELECT * FROM raw WHERE accession IS NOT NULL AND {_IDENTITY} <= {threshold}
-          QUALIFY row_number() OVER (PARTITION BY accession ORDER BY {_NUM.format("reliability_index", "-1.0")} DESC, {_NUM.format("distance", "'inf'::DOUBLE")},
-            coalesce(protein_id, ''), coalesce(organism, ''), coalesce(gene_name, ''), {_IDENTITY}, coalesce(query_len, -1), coalesce(ref_len, -1)) = 1),
-        selected AS (SELECT r.* FROM raw r JOIN best b ON {same} WHERE {_IDENTITY.replace("identity", "r.identity")} <= {threshold})"""
+    return f"""{_KEYED}, best AS (SELECT accession, donor FROM keyed WHERE {_IDENTITY} <= {threshold}
+          QUALIFY row_number() OVER (PARTITION BY accession ORDER BY {_NUM.format("reliability_index", "-1.0")} DESC, {_NUM.format("distance", "'inf'::DOUBLE")}, {", ".join(_TEXT.format(c) for c in _DONOR_COLS)}) = 1),
+        selected AS (SELECT r.* FROM keyed r JOIN best b USING (accession, donor) WHERE {_IDENTITY} <= {threshold})"""
 
 
 def _counters(t: float) -> str:
-    return f"""(WITH {_donors(t)}, per AS (SELECT accession, {", ".join(_DONOR_COLS)}, count(*) AS n, max({_IDENTITY}) <= {t} AS ok FROM raw WHERE accession IS NOT NULL GROUP BY ALL),
+    return f"""(WITH {_donors(t)}, per AS (SELECT accession, donor, count(*) AS n, max({_IDENTITY}) <= {t} AS ok FROM keyed GROUP BY ALL),
         of_acc AS (SELECT accession, sum(n) AS n, count(*) AS donors, count(*) FILTER (ok) AS kept, coalesce(sum(n) FILTER (NOT ok), 0) AS over_rows FROM per GROUP BY 1)
         SELECT {t}::DOUBLE AS identity_threshold, CAST(coalesce(sum(n), 0) AS BIGINT) AS input_rows, (SELECT count(*) FROM selected) AS kept_rows, CAST(coalesce(sum(over_rows), 0) AS BIGINT) AS filtered_out_rows,
           count(*) FILTER (kept > 0) AS selected_donors, count(*) FILTER (kept = 0) AS accessions_with_no_surviving_donor, CAST(coalesce(sum(donors), 0) AS BIGINT) AS input_donors,
@@ -136,13 +139,11 @@ _SAFE = "CASE WHEN trim({0}) IS NULL OR trim({0}) = '' THEN 'model' ELSE regexp_
 
 
 def oracle_sql() -> dict[str, str]:
-    full, narrow = Summary(k=1), Summary(metrics={"reliability_index": ("max",)}, weights={"max_ri": 0.8, "count": 0.2}, k=1)
     names = "model_name, distance_threshold"
     on = " ".join(f"WHEN '{m}' THEN {t}" for m, t in THRESHOLDS.items() if t is not None)
     seq = _LETTERS.format("sequence")
     return {
-        "pipeline_summary": f"""WITH {_knn(3)}, ann AS ({_annotations()})
-            SELECT accession, go_id, max(round(1 - d, 4)) AS max_ri, count(*) AS term_count, count(DISTINCT protein_id) AS protein_count FROM knn JOIN ann ON ann.sequence_id = knn.ref_sequence_id GROUP BY 1, 2""",
+        "pipeline_summary": _pivot(f"{_knn(3)}, ann AS ({_annotations()}), raw AS (SELECT accession, go_id, e.name AS model_name, layer_index, 1 - d AS reliability_index, protein_id FROM knn JOIN ann ON ann.sequence_id = knn.ref_sequence_id LEFT JOIN (SELECT DISTINCT id, name FROM embedding_type) e ON e.id = embedding_type_id)", 3),
         "knn_cosine_topk": f"WITH {_knn(3)} {_HITS}",
         "knn_declarative": f"WITH {_knn(3)} {_HITS}",
         "knn_euclidean_topk": f"WITH {_knn(3, 'euclidean')} {_HITS}",
@@ -166,21 +167,21 @@ def oracle_sql() -> dict[str, str]:
         "reliability_index": f"WITH {_RAW} SELECT result_id, round(1 - distance, 6) AS cosine, round(0.5 / (0.5 + distance), 6) AS euclidean, round(1 / (1 + distance), 6) AS other FROM raw WHERE distance IS NOT NULL",
         "sequence_lengths": f"""WITH {_RAW}, {_vectors()}, q AS (SELECT accession, min({_LETTERS.format("qs")}) AS s FROM qv GROUP BY 1), r AS (SELECT id, min({seq}) AS s FROM ref_sequences WHERE id IS NOT NULL GROUP BY 1)
             SELECT p.accession, p.ref_idx AS ref_sequence_id, length(q.s) AS query_len, length(r.s) AS ref_len FROM (SELECT DISTINCT accession, ref_idx FROM raw WHERE accession IS NOT NULL) p LEFT JOIN q ON q.accession = p.accession LEFT JOIN r ON r.id = p.ref_idx""",
-        "summary_metrics": f"WITH {_RAW} {_metrics(full)}",
-        "summary_weighted": f"WITH {_RAW}, m AS ({_metrics(full)}) {_weighted(full)}",
+        "summary_metrics": f"WITH {_RAW} {_metrics(FULL_COLUMNS)}",
+        "summary_weighted": f"WITH {_RAW}, m AS ({_metrics(FULL_COLUMNS)}) {_weighted(FULL_WEIGHTS)}",
         "term_stats": f"WITH {_RAW} {_STATS}",
-        "summary_pivot": _pivot(narrow),
+        "summary_pivot": _pivot(),
         "topgo_per_model": f"WITH {_RAW}, {_TOPGO} SELECT DISTINCT * FROM topgo WHERE model_name IS NOT NULL",
         "topgo_ensemble": f"WITH {_RAW}, {_TOPGO} SELECT category, accession, go_id, max(reliability_index) AS reliability_index FROM topgo GROUP BY 1, 2, 3",
         "leakage_select": f"WITH {_donors(0.5)} SELECT accession, result_id FROM selected",
-        "leakage_filtered": f"WITH {_RAW} SELECT accession, result_id FROM raw WHERE accession IS NOT NULL AND {_IDENTITY} > 0.5",
-        "leakage_no_survivor": f"WITH {_RAW} SELECT accession FROM raw WHERE accession IS NOT NULL GROUP BY 1 HAVING min({_IDENTITY}) > 0.3",
-        "leakage_donors": f"WITH {_donors(0.5)} SELECT accession, protein_id, organism, gene_name, query_len, ref_len, count(*) AS rows_kept_for_selected_donor FROM selected GROUP BY 1, 2, 3, 4, 5, 6",
+        "leakage_filtered": f"WITH {_KEYED} SELECT accession, result_id FROM keyed WHERE {_IDENTITY} > 0.5",
+        "leakage_no_survivor": f"WITH {_KEYED} SELECT accession FROM keyed GROUP BY 1 HAVING min({_IDENTITY}) > 0.3",
+        "leakage_donors": f"WITH {_donors(0.5)} SELECT accession, protein_id, organism, gene_name, query_len, ref_len, min(coalesce(source_file, '')) AS source_file, count(*) AS rows_kept_for_selected_donor FROM selected GROUP BY 1, 2, 3, 4, 5, 6",
         "leakage_summary": " UNION ALL ".join(_counters(t) for t in CUTOFFS),
         "coverage_report": f"WITH {_vectors()}, {_SPLIT_IDS} SELECT accession, CASE WHEN accession IN (SELECT accession FROM qv) THEN 'yes' ELSE 'no' END AS embedded FROM ids",
         "coverage_missing": f"WITH {_vectors()}, {_SPLIT_IDS} SELECT accession FROM ids WHERE accession NOT IN (SELECT accession FROM qv)",
         "coverage_counts": f"WITH {_vectors()}, {_SPLIT_IDS}, c AS (SELECT accession IN (SELECT accession FROM qv) AS e FROM ids) SELECT count(*) AS total, count(*) FILTER (e) AS embedded, count(*) FILTER (NOT e) AS missing FROM c",
-        "merge_shards": "SELECT source_file, count(*) AS rows FROM raw_results GROUP BY 1",
+        "merge_shards": "WITH per AS (SELECT source_file, count(*) AS rows FROM raw_results GROUP BY 1) SELECT source_file, 1 AS files, rows, FALSE AS total FROM per UNION ALL SELECT NULL, count(source_file), CAST(sum(rows) AS BIGINT), TRUE FROM per",
         "raw_casts": f"WITH {_RAW} SELECT result_id, CASE WHEN gene_name IS NULL THEN round(distance, 6) END AS distance, ref_idx FROM raw",
         "sanitize_names": f"SELECT name, {_SAFE.format('name')} AS safe FROM (SELECT source AS name FROM documents UNION SELECT model_name FROM embedding_type)",
         "accession_forms": f"SELECT DISTINCT accession, {_ACC} AS record FROM raw_results",

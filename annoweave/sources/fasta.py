@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import gzip
 import os
 import re
 from collections.abc import Iterable, Iterator
-from urllib.parse import unquote, urlparse
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -56,39 +54,28 @@ def _identifier(header: list[str]) -> str:
 def read(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """(path, position, identifier, sequence) of all records; ``.gz`` files too.
 
-    A file is one task, because a header may run over several lines; many files
-    run side by side. ``limit`` keeps the first records in order of path and
-    position.
+    Files are split between records, so a large one is read by many tasks through
+    Spark's own file systems; a record must fit a row. ``position`` grows along a
+    file. ``limit`` keeps the first records in order of path and position.
     """
-    out = _read_local(spark, path) if urlparse(path).scheme in ("", "file") else _read_remote(spark, path)
-    return out.orderBy("path", "position").limit(limit) if limit else out
-
-
-def _read_remote(spark: SparkSession, path: str) -> DataFrame:
-    """Through Spark's own file systems; a file must fit a row."""
-    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    return parse(texts, "text")
-
-
-def _read_local(spark: SparkSession, path: str) -> DataFrame:
-    """Line by line from a folder that every executor sees, whatever the size of a file."""
-    files = spark.read.format("binaryFile").load(path).select("path")
+    meta = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")]
+    chunks = spark.read.text(path, lineSep="\n>").select(*meta, F.col("value").alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[tuple[str, int], int] = {}
         for pdf in batches:
-            for p in pdf["path"]:
-                local = unquote(urlparse(p).path)
-                with (gzip.open if local.endswith(".gz") else open)(local, "rt", encoding="utf-8", errors="replace") as f:
-                    rows = []
-                    for n, (name, seq) in enumerate(records(f)):
-                        rows.append((p, n, name, seq))
-                        if len(rows) == 5000:
-                            yield pd.DataFrame(rows, columns=["path", "position", "identifier", "sequence"])
-                            rows = []
-                    if rows:
-                        yield pd.DataFrame(rows, columns=["path", "position", "identifier", "sequence"])
-
-    return files.repartition("path").mapInPandas(run, "path string, position long, identifier string, sequence string")
+            rows = []
+            for p, block, text in zip(pdf["path"], pdf["block"], pdf["text"]):
+                n = seen.get((p, block), 0)
+                seen[p, block] = n + 1
+                # the separator took the mark of every record but a file's first
+                whole = text if block == 0 and n == 0 else ">" + text
+                # a record has a byte at least, so records of a block never reach the next one's start
+                rows += [(p, block + n, name, seq) for name, seq in records(whole.split("\n"))]
+            yield pd.DataFrame(rows, columns=["path", "position", "identifier", "sequence"])
+
+    out = chunks.mapInPandas(run, "path string, position long, identifier string, sequence string")
+    return out.orderBy("path", "position").limit(limit) if limit else out
 
 
 def parse(texts: DataFrame, text: str) -> DataFrame:

@@ -12,23 +12,21 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.RAW).option("header", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").option("mode", "PERMISSIVE").option("nullValue", "").csv(path)
 
 
-def read_strict(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """CSV files that must share one header, as text columns, with ``source_file``.
+def read_strict(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """CSV files (or folders of them) that must share one header, as text columns, with ``source_file``.
 
-    The header check reads the first line of each file only. An empty file has
-    no header and is skipped; a differing one stops the read.
+    The first lines of all files are compared in one job. An empty file has no
+    header and is skipped; a differing one stops the read.
     """
-    heads = {}
-    for p in paths:
-        first = spark.read.text(p).limit(1).collect()
-        if first:
-            heads[p] = first[0][0]
-    if len(set(heads.values())) > 1:
-        odd = [p for p, h in heads.items() if h != next(iter(heads.values()))]
-        raise ValueError(f"other columns than the first file has: {', '.join(odd)}")
+    lines = spark.read.text(paths, pathGlobFilter="*.csv").select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value")
+    first = lines.where("block = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "n").alias("head"))
+    heads = first.groupBy("head").agg(F.min("path").alias("path")).orderBy("path").limit(11).collect()
+    if len(heads) > 1:
+        raise ValueError(f"other columns than {heads[0]['path']} has: {', '.join(h['path'] for h in heads[1:])}")
     if not heads:
         return spark.createDataFrame([], "source_file string")
-    return spark.read.option("header", True).csv(list(heads)).withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    read = spark.read.option("header", True).option("escape", '"').option("pathGlobFilter", "*.csv").csv(paths)
+    return read.withColumn("source_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
 
 
 def union(parts: list[DataFrame]) -> DataFrame:
@@ -40,8 +38,10 @@ def union(parts: list[DataFrame]) -> DataFrame:
 
 
 def merge_statistics(df: DataFrame) -> DataFrame:
-    """Rows per source file, and of all."""
-    return df.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    """Rows per source file, and of all as the row without a name: files and rows."""
+    per = df.groupBy("source_file").agg(F.lit(1).cast("long").alias("files"), F.count(F.lit(1)).alias("rows"), F.lit(False).alias("total"))
+    whole = per.agg(F.count("source_file").alias("files"), F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+    return per.unionByName(whole.select(F.lit(None).cast("string").alias("source_file"), "files", "rows", F.lit(True).alias("total")))
 
 
 def casts(df: DataFrame) -> DataFrame:
@@ -63,18 +63,22 @@ def import_reference(spark: SparkSession, source: dict[str, str], target: str, o
     """Copies reference tables into parquet under ``target``; True if anything was copied.
 
     ``source`` maps table names to parquet paths, or holds ``url`` (and further
-    JDBC options) with ``tables`` as a comma-separated list. Tables that are
-    there already stay, unless ``overwrite``.
+    JDBC options) with ``tables`` as a comma-separated list; a table written as
+    ``name:column:lowest:highest:parts`` is read in so many ranges of that column
+    at once, else by one connection. Tables that are there already stay, unless
+    ``overwrite``.
     """
     jdbc = {k: v for k, v in source.items() if k != "tables"} if "url" in source else None
     names = [t.strip() for t in source.get("tables", "").split(",") if t.strip()] if jdbc else list(source)
     copied = False
     for name in names:
+        name, *ranges = name.split(":")
         out = f"{target}/{name}.parquet"
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/_SUCCESS")
         if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) and not overwrite:
             continue
-        df = spark.read.format("jdbc").options(**jdbc, dbtable=name).load() if jdbc else spark.read.parquet(source[name])
+        split = dict(zip(("partitionColumn", "lowerBound", "upperBound", "numPartitions"), ranges))
+        df = spark.read.format("jdbc").options(**jdbc, dbtable=name, **split).load() if jdbc else spark.read.parquet(source[name])
         df.write.mode("overwrite").parquet(out)
         copied = True
     return copied

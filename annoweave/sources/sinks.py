@@ -79,6 +79,12 @@ def write_table(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("overwrite").csv(path, header=True, sep=sep)
 
 
+def write_merged(df: DataFrame, path: str, add_source_file: bool = False) -> None:
+    """Shards as one table with one header in every part, in the order of their files."""
+    out = df.orderBy("source_file")
+    (out if add_source_file else out.drop("source_file")).write.mode("overwrite").csv(path, header=True)
+
+
 def write_leakage(raw: DataFrame, path: str, threshold: float) -> None:
     """Selected and filtered rows, donors, accessions without a survivor, and counters of one cutoff."""
     out = f"{path}/global_identity_le_{leakage.label(threshold)}"

@@ -126,7 +126,7 @@ def test_alignment_scores():
 
 def test_alignment_cases(spark):
     rows_ = [("ACDEFGHIK", "ACDEFGHIK"), ("ACDEFGHIK", "ACDEYGHIK"), ("ACDEFGHIKLMN", "ACDEFGKLMN"), ("", "ACD"), ("", ""), ("WWWW", "PPPP"), (None, "ACD"), ("PPPPWWWWHHHHPPPP", "GGGWWWWHHHHGGG")]
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows_)], "i int, sequence_query string, sequence_reference string")
+    df = spark.createDataFrame([(i, None if r[0] is None else i, i, *r) for i, r in enumerate(rows_)], "i int, query_idx int, ref_idx int, sequence_query string, sequence_reference string")
     m = annotate.aligned(df).toPandas().set_index("i")
     assert m.identity[0] == 1 and m.gaps_percentage[0] == 0 and m.alignment_length[0] == 9
     assert m.identity[1] == 8 / 9 and m.similarity[1] == 1
@@ -138,6 +138,18 @@ def test_alignment_cases(spark):
     assert annotate.aligned(df.limit(0)).count() == 0
 
 
+def test_alignment_of_long_pairs_needs_no_whole_trace(monkeypatch):
+    rng = random.Random(8)
+    make = lambda n: "".join(rng.choice(A.RESIDUES) for _ in range(n))
+    a = [make(rng.randint(0, 90)) for _ in range(40)]
+    b = [x[5:30] + make(rng.randint(0, 9)) + x[33:] for x in a]
+    for local in (False, True):
+        monkeypatch.setattr(A, "TRACE", 64_000_000)
+        whole = A.align(a, b, local)
+        monkeypatch.setattr(A, "TRACE", 1)
+        assert (A.align(a, b, local) == whole).all()
+
+
 RAW = "accession string, go_id string, category string, model_name string, layer_index long, reliability_index double, identity double, identity_sw double, protein_id string"
 
 
@@ -169,6 +181,12 @@ def test_leakage(spark, tmp_path):
     base = lambda acc, ri, d, p, ident, go: (acc, ri, d, p, None, None, 1, None, ident, go)
     raw = spark.createDataFrame([base("a", 0.9, 0.1, "p1", 0.5, "t1"), base("a", 0.9, 0.1, "p1", 0.5, "t2"), base("a", 0.95, 0.05, "p0", 0.51, "t1"), base("a", 0.9, 0.1, "p2", None, "t9"), base("b", 0.4, 0.6, "p", 0.9, "t"), base("c", None, None, None, None, "t")], cols)
     assert rows(leakage.best_donor_rows(raw, 0.5), "accession", "go_id") == [("a", "t1"), ("a", "t2"), ("c", "t")]
+    # beyond the protein fields are compared as text, and a missing accession is one
+    tie = spark.createDataFrame([("d", 0.5, 0.5, "p", "o", "g", 100, 1, 0.1, "long"), ("d", 0.5, 0.5, "p", "o", "g", 99, 1, 0.1, "short"), (None, 0.5, 0.5, "p", "o", "g", 9, 1, 0.9, "lost")], cols)
+    assert rows(leakage.best_donor_rows(tie, 0.5), "accession", "go_id") == [("d", "long")] and rows(leakage.no_survivor(tie, 0.5), "accession") == [("",)]
+    assert leakage.counters(tie, 0.5).first()["input_rows"] == 3
+    files = tie.withColumn("source_file", F.concat("go_id", F.lit(".csv")))
+    assert rows(leakage.selected_donors(files.where("accession = 'd'")), "source_file", "query_len") == [("long.csv", 100), ("short.csv", 99)]
     assert rows(leakage.no_survivor(raw, 0.5), "accession") == [("b",)]
     assert leakage.filtered_out(raw, 0.5).count() == 2
     c = leakage.counters(raw, 0.5).first()
@@ -273,7 +291,7 @@ def test_indexes(spark):
 
 def test_prepare(spark):
     v = spark.createDataFrame([("a", "S", 1, 0, [1.0], 2), ("a", "T", 1, 0, [2.0], 1), ("a", "S", 1, None, [3.0], 3), ("x|y", "S", 2, 0, [4.0], 4), (None, "S", 1, 0, [5.0], 5)], "accession string, sequence string, embedding_type_id int, layer_index int, embedding array<float>, n int")
-    assert rows(prepare.first_vectors(v, "n").select("accession", F.col("embedding")[0].alias("e")), "accession", "e") == [("a", 2.0), ("a", 3.0), ("x|y", 4.0)]
+    assert rows(sinks.new_vectors(v, None, "n").select("accession", F.col("embedding")[0].alias("e")), "accession", "e") == [("a", 2.0), ("a", 3.0), ("x_y", 4.0)]
     stored = spark.createDataFrame([("a", 1, None), ("x_y", 2, 0)], "accession string, embedding_type_id int, layer_index int")
     assert rows(sinks.new_vectors(v, stored, "n"), "accession", "layer_index") == [("a", 0)]
     assert v.select(prepare.truncated(F.lit("ABCDE"), 3).alias("x"), prepare.truncated(F.lit("ABCDE"), "3").alias("y"), prepare.truncated(F.lit("ABCDE"), 0).alias("z")).first()[:] == ("ABC", "ABCDE", "ABCDE")
@@ -287,6 +305,8 @@ def test_embedder(spark):
     t = spark.createDataFrame([("a", "ACDE", 1, "composition", 0), ("b", None, 1, "composition", 0), ("a", "ACDE", 1, "composition", 3)], "accession string, sequence string, embedding_type_id int, model_name string, layer_index int")
     out = embed.embed(t, 1).collect()
     assert len(out) == 2 and len(out[0]["embedding"]) == 64 and out[0]["embedding"] != out[1]["embedding"]
+    legacy = embed.embed(t.withColumn("layer_index", F.lit(None).cast("int"))).collect()
+    assert len(legacy) == 2 and legacy[0]["layer_index"] is None
     with pytest.raises(Exception, match="no embedder"):
         embed.embed(t.withColumn("model_name", F.lit("other"))).collect()
 
@@ -321,7 +341,15 @@ def test_fasta(spark, tmp_path):
         f.write(">z\nACD")
     df = fasta.read(spark, str(tmp_path))
     assert df.count() == 8 and rows(df.where("identifier = 'three'"), "sequence") == [("ACD",)]
-    assert rows(fasta._read_remote(spark, str(tmp_path)), "identifier", "sequence") == rows(df, "identifier", "sequence")
+    # a file cut anywhere gives the same records in the same order
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40")
+    try:
+        cut = fasta.read(spark, str(tmp_path))
+        assert cut.rdd.getNumPartitions() > 2
+        assert rows(cut.orderBy("path", "position"), "identifier", "sequence") == rows(df, "identifier", "sequence")
+        assert [r["identifier"] for r in cut.where("path like '%b.fa'").orderBy("position").collect()] == [r["identifier"] for r in df.where("path like '%b.fa'").orderBy("position").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert rows(fasta.read(spark, str(tmp_path), 2), "identifier") == [("junk",), ("z",)]
     assert rows(fasta.header_ids(spark, str(tmp_path / "b.fa")), "accession") == [("empty",), ("one",), ("sp_two_X",), ("three",)]
 
@@ -349,7 +377,10 @@ def test_raw_sources(spark, tmp_path):
         with open(p, "w") as f:
             f.write(t)
     merged = raw_source.read_strict(spark, [one, two, none])
-    assert rows(raw_source.merge_statistics(merged), "source_file", "rows") == [("one.csv", 1), ("two.csv", 2)]
+    assert rows(raw_source.merge_statistics(merged).where("not total"), "source_file", "rows") == [("one.csv", 1), ("two.csv", 2)]
+    assert raw_source.merge_statistics(merged).where("total").first()[:] == (None, 2, 3, True)
+    sinks.write_merged(merged, str(tmp_path / "merged"), True)
+    assert rows(spark.read.option("header", True).csv(str(tmp_path / "merged")), "a", "source_file") == [("1", "one.csv"), ("3", "two.csv"), ("5", "two.csv")]
     with open(none, "w") as f:
         f.write("a,c\n")
     with pytest.raises(ValueError):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from annoweave import schema
 from annoweave.config import Summary
-from annoweave.operators import knn
+from annoweave.operators import embed, knn
 from annoweave.plans import pipeline
 from annoweave.sources import raw as raw_source, sinks
 from annoweave.streaming import search
@@ -44,6 +44,45 @@ def test_embedding_run(spark, tmp_path):
         pipeline.run(t, str(tmp_path), pipeline.Lookup(), Summary(), only_lookup=True, only_embedding=True)
 
 
+def test_command_line(spark, tmp_path, capsys):
+    """From FASTA and a settings file to every output, then the commands on its files."""
+    from annoweave import cli
+
+    t = pipeline.Tables.at(spark, DATA)
+    ref = tmp_path / "reference"
+    for name in ("ref_sequences", "protein", "protein_go_term_annotation", "go_terms"):
+        assert raw_source.import_reference(spark, {name: f"{DATA}/{name}.parquet"}, str(ref))
+    models = spark.createDataFrame([(9, "composition", "x")], "id int, name string, model_name string")
+    models.write.parquet(str(ref / "embedding_type.parquet"))
+    seqs = t.sequences.where("id is not null and sequence is not null").groupBy("id").agg(F.min("sequence").alias("sequence")).withColumn("accession", F.col("id").cast("string"))
+    vectors = embed.embed(seqs.select("accession", "sequence", F.lit(9).alias("embedding_type_id"), F.lit("composition").alias("model_name"), F.lit(0).alias("layer_index")))
+    vectors.select(F.col("accession").cast("long").alias("sequence_id"), "embedding_type_id", "layer_index", "embedding").write.parquet(str(ref / "reference_embedding.parquet"))
+    lines = [f">q|{r['id']} some text\n{r['sequence']}" for r in seqs.orderBy("id").limit(12).collect()]
+    (tmp_path / "in.fa").write_text("\n".join([*lines, lines[0].replace("\n", "\nW"), ""]))
+    (tmp_path / "c.yaml").write_text(f"base_directory: {tmp_path}\ninput: {tmp_path}/in.fa\nembedding: {{models: {{Composition: {{enabled: true, layer_index: [0]}}}}}}\nlookup: {{redundancy: {{identity: 0}}}}\n")
+    assert cli.main(["run", "--config", str(tmp_path / "c.yaml"), "--prefix", "x", "--limit-per-entry", "2", "--redundancy_identity", "0.95"], spark) == 0
+    out = capsys.readouterr().out.strip().splitlines()[-1]
+    raw = spark.read.parquet(f"{out}/raw_results")
+    assert raw.count() > 0 and raw.where("identity is null").isEmpty()
+    assert spark.read.parquet(f"{out}/vectors").count() == 12  # the second record of an accession is not stored
+    for name in ("summary", "clusters", "sequences", "query_index_mapping", "topgo_ensemble"):
+        assert spark.read.text(f"{out}/{name}").count() > 0
+    assert cli.main(["coverage", "--input", f"{tmp_path}/in.fa", "--embeddings", f"{out}/vectors", "--output", f"{tmp_path}/cov"], spark) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"total": 12, "embedded": 12, "missing": 0}
+    raw.coalesce(2).write.csv(f"{tmp_path}/shards", header=True)
+    assert cli.main(["merge", f"{tmp_path}/shards", "-o", f"{tmp_path}/merged", "--add-source-file"], spark) == 0
+    assert cli.main(["leakage", f"{tmp_path}/shards", "--threshold", "0.5", "--output-dir", f"{tmp_path}/leak"], spark) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["input_rows"] == raw.count()
+    assert cli.main(["run", "--config", str(tmp_path / "c.yaml"), "--only_lookup", "--only_embedding"], spark) == 1
+
+
+def test_first_stored_vector_wins(spark):
+    rows = [("a|b", 1, 0, [2.0, 0.0], "AC D", 2, 7), ("a_b", 1, 0, [1.0, 0.0], "EEE", 3, 1), ("a_b", 1, 0, None, "FFF", 1, 1), ("accession_a|b", 1, None, [5.0, 5.0], None, 1, 9)]
+    df = spark.createDataFrame(rows, "accession string, embedding_type_id int, layer_index int, embedding array<float>, sequence string, at int, vec_id long").withColumn("created_at", F.timestamp_seconds("at"))
+    got = {(r["accession"], r["layer_index"]): (r["embedding"], r["sequence"]) for r in pipeline.first_stored(df).collect()}
+    assert got == {("a_b", 0): ([2.0, 0.0], "ACD"), ("a_b", None): ([5.0, 5.0], None)}
+
+
 def test_stream_equals_batch(spark, tmp_path):
     t = pipeline.Tables.at(spark, DATA)
     q = t.queries.select("accession", F.coalesce("sequence", F.lit("")).alias("sequence"), "embedding_type_id", "layer_index", "embedding")
