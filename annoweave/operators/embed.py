@@ -43,15 +43,15 @@ def composition() -> Embedder:
 register("composition", composition)
 
 
-def embed(tasks: DataFrame, batch: int = 64) -> DataFrame:
+def embed(tasks: DataFrame, batch: int = 64, makers: dict[str, Callable[[], Embedder]] | None = None) -> DataFrame:
     """Vectors of (accession, sequence, embedding_type_id, model_name, layer_index).
 
     Rows are ranged by model and layer over all tasks, so a task loads few models
     however many there are, and a batch never mixes models; metadata travels with
     the row, never by position. A null layer is a layer of its own. A model
-    without a maker stops the job.
+    without a maker stops the job; makers are those of the registry by default.
     """
-    makers = dict(REGISTRY)
+    makers = dict(REGISTRY if makers is None else makers)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made: dict[str, Embedder] = {}

@@ -57,42 +57,75 @@ def declarative(queries: DataFrame, references: DataFrame, k: int = 1, metric: s
     return _limit(hits, k) if k > 0 else hits.where(F.lit(False))
 
 
+def _near_cosine(a: np.ndarray, b: np.ndarray, hidden: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, column, distance) of the candidates for the ``k`` nearest of every row.
+
+    A product in single precision with a bound on its error chooses them; their
+    distances are then computed in double precision.
+    """
+    a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
+    margin = 2.4e-7 * (a.shape[1] + 8)
+    low = b.astype(np.float32).T.copy()
+    rows, cols = [], []
+    for lo in range(0, len(a), 256):
+        sim = a[lo : lo + 256].astype(np.float32) @ low
+        if hidden is not None:
+            sim[hidden[lo : lo + 256]] = -np.inf
+        take = min(k, sim.shape[1])
+        kth = sim.max(1, keepdims=True) if take == 1 else -np.partition(-sim, take - 1, axis=1)[:, take - 1 : take]
+        row, col = np.nonzero((sim >= kth - np.float32(margin)) & (sim > -np.inf))
+        rows.append(row + lo)
+        cols.append(col)
+    row, col = np.concatenate(rows), np.concatenate(cols)
+    exact = np.empty(len(row))
+    for lo in range(0, len(row), 20_000):
+        exact[lo : lo + 20_000] = 1 - np.einsum("ij,ij->i", a[row[lo : lo + 20_000]], b[col[lo : lo + 20_000]])
+    return row, col, exact
+
+
+def _near_euclidean(a: np.ndarray, b: np.ndarray, hidden: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    bb = (b**2).sum(1)
+    rows, cols, dist = [], [], []
+    for lo in range(0, len(a), 256):
+        part = a[lo : lo + 256]
+        d = np.sqrt(np.maximum((part**2).sum(1)[:, None] + bb - 2 * (part @ b.T), 0))
+        if hidden is not None:
+            d[hidden[lo : lo + 256]] = np.inf
+        take = min(k, d.shape[1])
+        kth = np.partition(d, take - 1, axis=1)[:, take - 1 : take]
+        row, col = np.nonzero((d <= kth + 1e-9) & np.isfinite(d))
+        rows.append(row + lo)
+        cols.append(col)
+        dist.append(d[row, col])
+    return np.concatenate(rows), np.concatenate(cols), np.concatenate(dist)
+
+
 def _cell(k: int, metric: str, threshold: float | None, masked: bool):
+    near = _near_cosine if metric == "cosine" else _near_euclidean
+
     def run(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
             return pd.DataFrame(columns=["accession", "ref_sequence_id", "distance", "embedding_type_id", "layer_index"])
         r = r.sort_values("key", ignore_index=True)
         a, b = np.stack(q["v"].to_numpy()).astype(np.float64), np.stack(r["v"].to_numpy()).astype(np.float64)
-        ids = r["key"].to_numpy()
-        place = {x: i for i, x in enumerate(ids)} if masked else {}
-        if metric == "cosine":
-            a, b = (x / np.linalg.norm(x, axis=1, keepdims=True) for x in (a, b))
-        else:
-            bb = (b**2).sum(1)
-        out = []
-        for lo in range(0, len(a), 256):
-            part = a[lo : lo + 256]
-            d = part @ b.T
-            d = 1 - d if metric == "cosine" else np.sqrt(np.maximum((part**2).sum(1)[:, None] + bb - 2 * d, 0))
-            d = np.round(d, 10)
-            if masked:
-                for i, hidden in enumerate(q["hidden"].iloc[lo : lo + 256]):
-                    if hidden is not None:
-                        d[i, [place[x] for x in hidden if x in place]] = np.inf
-            if threshold is not None:
-                d[d > threshold] = np.inf
-            take = min(k, d.shape[1])
-            # every candidate as near as the k-th, so that ties are settled by id and not by chance
-            kth = np.partition(d, take - 1, axis=1)[:, take - 1 : take]
-            row, col = np.nonzero((d <= kth) & np.isfinite(d))
-            dist = d[row, col]
-            order = np.lexsort((ids[col], dist, row))
-            row, col, dist = row[order], col[order], dist[order]
-            start = np.searchsorted(row, row)
-            keep = np.arange(len(row)) - start < k
-            out.append(pd.DataFrame({"accession": q["key"].to_numpy()[lo + row[keep]], "ref_sequence_id": ids[col[keep]], "distance": dist[keep]}))
-        hits = pd.concat(out, ignore_index=True)
+        ids, hidden = r["key"].to_numpy(), None
+        if masked:
+            place = {x: i for i, x in enumerate(ids)}
+            hidden = np.zeros((len(a), len(b)), dtype=bool)
+            for i, some in enumerate(q["hidden"]):
+                if some is not None:
+                    hidden[i, [place[x] for x in some if x in place]] = True
+        row, col, dist = near(a, b, hidden, k)
+        # candidates are all as near as the k-th, so that ties are settled by id and not by chance
+        dist = np.round(dist, 10)
+        if threshold is not None:
+            ok = dist <= threshold
+            row, col, dist = row[ok], col[ok], dist[ok]
+        order = np.lexsort((ids[col], dist, row))
+        row, col, dist = row[order], col[order], dist[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
         layer = q["layer_index"].iloc[0]
+        hits = pd.DataFrame({"accession": q["key"].to_numpy()[row[keep]], "ref_sequence_id": ids[col[keep]], "distance": dist[keep]})
         return hits.assign(embedding_type_id=int(q["embedding_type_id"].iloc[0]), layer_index=None if pd.isna(layer) else int(layer))
 
     return run

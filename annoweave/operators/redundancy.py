@@ -119,7 +119,7 @@ def cluster(sequences: DataFrame, identity: float, coverage: float) -> DataFrame
     """(cluster, identifier, side) of ``sequences`` (identifier, side, sequence).
 
     Equal sequences share a cluster. A cluster is named by a key of its longest
-    sequence. Identity 0 switches clustering off: no rows. Coverage is the
+    sequence, which each of its members matches itself. Identity 0 switches clustering off: no rows. Coverage is the
     aligned part of the shorter (joining) sequence.
     """
     if identity <= 0:
@@ -137,13 +137,29 @@ def cluster(sequences: DataFrame, identity: float, coverage: float) -> DataFrame
     both = pairs.where("shared >= least").select("rep", "sid").join(tr, "rep").join(ts, "sid")
     measured = spread(both, F.xxhash64("rep", "sid")).withColumn("m", alignment("ss", "sr"))
     ok = measured.where((F.col("m.identity_sw") >= identity) & (F.col("m.alignment_length_sw") * (1 - F.col("m.gaps_percentage_sw")) >= coverage * F.length("ss")))
-    parent = ok.groupBy("sid").agg(F.max_by("rep", F.struct(F.length("sr"), -F.col("rep"))).alias("rep"))
-    # representatives that themselves joined a longer sequence lead on to it
-    parent = materialise(parent, "parents")
-    while True:
-        up = parent.select(F.col("sid").alias("rep"), F.col("rep").alias("top"))
-        nxt = materialise(parent.join(up, "rep", "left").select("sid", F.coalesce("top", "rep").alias("rep"), F.col("top").isNotNull().alias("moved")), "parents")
-        parent = nxt.select("sid", "rep")
-        if nxt.where("moved").isEmpty():
-            break
+    edges = materialise(ok.select("sid", "rep", F.length("sr").alias("nr")), "edges")
+    parent = edges.join(representatives(edges).withColumnRenamed("sid", "rep"), "rep", "left_semi").groupBy("sid").agg(F.max_by("rep", F.struct("nr", -F.col("rep"))).alias("rep"))
     return rows.join(parent, "sid", "left").select(F.coalesce("rep", "sid").cast("string").alias("cluster"), "identifier", "side")
+
+
+def representatives(edges: DataFrame) -> DataFrame:
+    """Of accepted pairs (sid, rep, …), ``rep`` before ``sid`` in one order, the ``sid`` of all representatives.
+
+    A sequence is a representative if it matches none before it. Every other one
+    joins a representative that it matches itself, never one by way of a third.
+    Each round settles what hangs on settled sequences alone, so there are as
+    many rounds as the longest chain of pairs has links.
+    """
+    left = edges.select("sid", "rep").distinct()
+    found = left.select(F.col("rep").alias("sid")).distinct().join(left.select("sid"), "sid", "left_anti")
+    found = materialise(found, "representatives")
+    new = found
+    while True:
+        joined = left.join(new.withColumnRenamed("sid", "rep"), "rep", "left_semi").select("sid").distinct()
+        open_ = left.join(joined, "sid", "left_anti")
+        # pairs with a sequence that has joined say nothing; without any other its partner represents itself
+        rest = materialise(open_.join(joined.withColumnRenamed("sid", "rep"), "rep", "left_anti"), "pairs")
+        new = materialise(open_.select("sid").distinct().join(rest.select("sid"), "sid", "left_anti"), "representatives")
+        if new.isEmpty():
+            return found
+        found, left = materialise(found.union(new), "representatives"), rest

@@ -46,20 +46,36 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path of the shared folder; what is written there goes when the application ends."""
+    path = f"{shared_dir(spark)}/work-{_RUN}/{label}-{uuid.uuid4().hex}"
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
+    return path
+
+
 def materialise(df: DataFrame, label: str = "t") -> DataFrame:
     """Write ``df`` as a table of the shared folder and read it back.
 
     Cuts the lineage: what follows never recomputes ``df``, and a lost executor
-    takes nothing with it. The table goes when the application ends.
+    takes nothing with it. The table goes when the application ends, or before
+    with :func:`free`.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/work-{_RUN}/{label}-{uuid.uuid4().hex}"
+    path = scratch(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(jpath)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame) -> None:
+    """Deletes the table of :func:`materialise` that nothing will read again."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if f"/work-{_RUN}/" in f"{path.toString()}/":
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def width(spark: SparkSession) -> int:
     """Shuffle partitions of the session, for operators that must name a number."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

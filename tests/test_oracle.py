@@ -2,11 +2,19 @@
 
 import pytest
 
-from annoweave.plans.queries import oracle_sql, queries
+from annoweave.plans import queries as core, surface
 
 from .conftest import DATA
 
 
+def queries():
+    return core.queries() | surface.queries()
+
+
+def oracle_sql():
+    return core.oracle_sql() | surface.oracle_sql()
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_equals_sql(name, same_as_sql):
     same_as_sql(queries()[name], oracle_sql()[name])
