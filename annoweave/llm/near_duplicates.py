@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from annoweave.llm import weighted_sampling as ws
 from annoweave.llm.portions import portions
-from annoweave.runtime import materialise, spread
+from annoweave.runtime import free, materialise, spread
 
 #: Share of residues that both sequences must share, and the least weighted
 #: Jaccard of a candidate that is looked at further.
@@ -127,7 +127,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u > v").distinct()
-        edges = materialise(small, "edges")
+        old, edges = edges, materialise(small, "edges")
+        free(old)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
