@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from annoweave.functions.align import alignment
-from annoweave.runtime import materialise, spread
+from annoweave.runtime import free, materialise, spread
 
 #: Most residues of a seed, and the chance that a pair at the threshold shares one where that is not certain.
 SEED, CHANCE = 6, 0.99
@@ -162,4 +162,5 @@ def representatives(edges: DataFrame) -> DataFrame:
         new = materialise(open_.select("sid").distinct().join(rest.select("sid"), "sid", "left_anti"), "representatives")
         if new.isEmpty():
             return found
-        found, left = materialise(found.union(new), "representatives"), rest
+        old, found, left = found, materialise(found.union(new), "representatives"), rest
+        free(old)

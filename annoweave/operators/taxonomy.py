@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from annoweave.runtime import materialise
+from annoweave.runtime import free, materialise
 
 
 def allowed_vector(taxon: Column, exclude: list[str], include: list[str]) -> Column:
@@ -46,5 +46,6 @@ def descendants(edges: DataFrame, roots: list[str], include_roots: bool = True)
         frontier = materialise(frontier.join(pairs, F.col("taxon") == F.col("parent")).select(F.col("child").alias("taxon")).distinct().join(seen, "taxon", "left_anti"), "taxa")
         if frontier.isEmpty():
             break
-        seen = materialise(seen.union(frontier), "taxa")
+        old, seen = seen, materialise(seen.union(frontier), "taxa")
+        free(old)
     return seen if include_roots else seen.where(~F.col("taxon").isin(roots))

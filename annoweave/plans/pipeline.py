@@ -110,12 +110,14 @@ def lookup(t: Tables, conf: Lookup, groups: DataFrame | None = None) -> Found:
     its few hits, and numbers of sequences to the ids. Hits are a written table,
     since several joins read them.
     """
+    # the first deliveries are chosen once; the search reads their vectors, the numbering their sequences alone
+    t = replace(t, queries=materialise(t.queries, "queries"))
     found = materialise(hits(t, conf, redundancy.mask(groups) if groups is not None else None), "hits")
     ann = reference.annotations(t.proteins, t.links, t.terms, conf.exclude, conf.include, conf.evidence)
     q = t.queries.join(found.select("accession").distinct(), "accession", "left_semi").groupBy("accession").agg(F.min("sequence").alias("sequence_query"))
     r = t.sequences.withColumnRenamed("id", "ref_sequence_id").join(found.select("ref_sequence_id").distinct(), "ref_sequence_id", "left_semi").groupBy("ref_sequence_id").agg(F.min("sequence").alias("sequence_reference"))
-    q = materialise(annotate.numbered(q, "accession", "sequence_query", "query_idx"), "queries")
-    r = materialise(annotate.numbered(r, "ref_sequence_id", "sequence_reference", "ref_idx"), "references")
+    q = annotate.numbered(q, "accession", "sequence_query", "query_idx")
+    r = annotate.numbered(r, "ref_sequence_id", "sequence_reference", "ref_idx")
     wanted = conf.align or conf.keep_sequences
     sized = lambda df, text, n: df.withColumn(n, F.length(text).cast("long")) if wanted else df.withColumn(n, F.length(text).cast("long")).drop(text)
     out = found.join(sized(q, "sequence_query", "query_len"), "accession", "left").join(sized(r, "sequence_reference", "ref_len"), "ref_sequence_id", "left")
@@ -173,7 +175,7 @@ def run(t: Tables, path: str, conf: Lookup, post: Summary, models: dict[str, lis
     found = lookup(t, conf, groups)
     raw = materialise(found.raw, "raw")
     sinks.write_raw(raw, f"{path}/raw_results", conf.precision)
-    q = found.queries.where("query_idx is not null").select(F.col("sequence_query").alias("sequence"), F.col("query_idx").alias("idx"), "accession")
+    q = materialise(found.queries.where("query_idx is not null").select(F.col("sequence_query").alias("sequence"), F.col("query_idx").alias("idx"), "accession"), "queries")
     r = found.references.where("ref_idx is not null").select(F.col("sequence_reference").alias("sequence"), F.col("ref_idx").alias("idx"))
     sinks.write_fasta(q.select("sequence", "idx").dropDuplicates(["idx"]), r.dropDuplicates(["idx"]), f"{path}/sequences")
     sinks.write_table(annotate.mapping(q), f"{path}/query_index_mapping")

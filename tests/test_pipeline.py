@@ -96,6 +96,34 @@ def test_stream_equals_batch(spark, tmp_path):
     assert search.sequence_batches(q, 10).select("batch").distinct().count() > 1
 
 
+def test_hdf5_tree():
+    """Which nodes of a tree are vectors; the library itself is optional."""
+    from annoweave.sources import hdf5
+
+    class Leaf:
+        shape = ()
+
+        def __init__(self, value):
+            self.value = value
+
+        def __getitem__(self, _):
+            return self.value
+
+    v = {"embedding": Leaf([1.0, 2.0])}
+    tree = {"accession_a_b": {"sequence": Leaf(b"ACD"), "type_1": {"layer_0": v, "layer_x": v, "layer_2": {}}, "type_y": {"layer_0": v}, "type_2": v, "note": {}}, "accession_c": {"type_1": {"layer_0": v}}}
+    assert list(hdf5.vectors(tree)) == [("a_b", "ACD", 1, 0, [1.0, 2.0]), ("a_b", "ACD", 2, None, [1.0, 2.0])]
+
+
+def test_working_tables_can_go_early(spark):
+    from annoweave.runtime import free, materialise
+
+    t = materialise(spark.range(10))
+    assert t.count() == 10
+    free(t)
+    with pytest.raises(Exception):
+        t.count()
+
+
 def test_import_is_done_once(spark, tmp_path):
     source = {"go_terms": f"{DATA}/go_terms.parquet"}
     assert raw_source.import_reference(spark, source, str(tmp_path))
