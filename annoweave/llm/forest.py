@@ -3,22 +3,22 @@
 Method: a hash-prefix forest. Per tree every vector gets a long string of bits;
 the strings of a tree, sorted, are its array. A query descends to its longest
 prefix match and ascends, prefix by prefix, until enough rows share the prefix;
-the rows of a prefix that are farther off in the sorted array than ``SPAN`` times
-as many are not looked at. Every tree is ascended by the same rule, and the
-candidates of all trees are merged.
+all of them are candidates. Only of rows that no bit of a long string tells apart
+those within ``SPAN`` times as many places are looked at. Every tree is ascended by
+the same rule, and the candidates of all trees are merged.
 
 What is shuffled once per tree is the string, an id and an eight-bit code of the
 vector, never the vector: codes rank the candidates (their cosine is off by about
 0.001), and the best of them are verified with the vectors themselves. The sorted
 arrays are built by a range partitioning, so an array of any size is a row of
-partitions. A row near a partition's border meets the neighbouring partition's
-rows in a second, small pass over the borders, so no border hides a candidate.
-
-The first ``FITTED`` bits of a string are the path through a tree of halvings
-(two means each) that is fitted on a sample of at most about ``SAMPLE`` vectors
-of the space, another one per tree; the others are signs of random projections.
-Every vector is indexed. The candidates of a query grow as the square root of the
-vectors of its space (README has the recall measured), a partition with them.
+partitions, each of at least ``RANGE_SPANS * SPAN`` times the candidates wanted. A
+row near a partition's border meets the neighbouring partition's rows in a second,
+small pass over the borders.
+
+The bits are signs of random projections, other ones in every tree, so nothing is
+fitted and every tree errs by itself. The candidates of a query grow as the square
+root of the vectors of its space (README has the recall measured), a partition
+with them.
 """
 
 from __future__ import annotations
@@ -29,15 +29,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from annoweave.llm.portions import sampled
 from annoweave.llm.topn import top_n
 from annoweave.runtime import materialise
 
-TREES, BITS, FITTED, SAMPLE = 10, 62, 7, 1024
+TREES, BITS = 10, 62
 #: Candidates of a query and tree: at least the first, else a factor times the root of the vectors of its space.
 CANDIDATES, FACTOR, NEAR_FACTOR = 256, 8.0, 3.0
-#: A prefix that more rows share is looked at within so many times the candidates wanted.
+#: Rows with the very same string, and those across a border, are looked at within so many times the candidates wanted.
 SPAN = 4
+#: Candidates that are compared at a time.
+CHUNK = 65_536
 #: Rows of a range partition: so many at least, else a multiple of the longest span.
 RANGE_ROWS, RANGE_SPANS = 40_000, 8
 #: Candidates beyond k that are verified, and what a code's cosine may be off.
@@ -52,44 +53,13 @@ def wanted(n: int, factor: float = FACTOR) -> int:
 
 def planes(dim: int, tree: int) -> np.ndarray:
     """The random projections of one tree for vectors of one length."""
-    return np.random.default_rng([_SEED, dim, tree]).standard_normal((dim, BITS - FITTED)).astype(np.float32)
+    return np.random.default_rng([_SEED, dim, tree]).standard_normal((dim, BITS)).astype(np.float32)
 
 
-def fit_halvings(sample: np.ndarray, tree: int) -> np.ndarray:
-    """Normals of the halving planes, one per inner node of a tree of FITTED levels.
-
-    A node with few sampled vectors gets a random plane.
-    """
-    rng = np.random.default_rng([_SEED, 1, tree])
-    normals = rng.standard_normal((2**FITTED - 1, sample.shape[1])).astype(np.float32)
-    node = np.zeros(len(sample), dtype=np.int64)
-    for level in range(FITTED):
-        for n in range(2**level - 1, 2 ** (level + 1) - 1):
-            here = sample[node == n]
-            if len(here) < 6:
-                continue
-            centre = here[rng.choice(len(here), 2, replace=False)].copy()
-            for _ in range(3):
-                first = here @ centre[0] > here @ centre[1]
-                if first.all() or not first.any():
-                    break
-                centre[0], centre[1] = here[first].mean(0), here[~first].mean(0)
-                centre /= np.linalg.norm(centre, axis=1, keepdims=True) + 1e-9
-            if np.abs(centre[0] - centre[1]).max() > 0:
-                normals[n] = centre[0] - centre[1]
-        node = 2 * node + 1 + ((sample * normals[node]).sum(1) > 0)
-    return normals
-
-
-def hash_strings(unit: np.ndarray, tree: int, normals: np.ndarray) -> np.ndarray:
+def hash_strings(unit: np.ndarray, tree: int) -> np.ndarray:
     """Bit strings as integers, the first bit in the highest place."""
-    node, path = np.zeros(len(unit), dtype=np.int64), np.zeros(len(unit), dtype=np.int64)
-    for _ in range(FITTED):
-        right = (unit * normals[node]).sum(1) > 0
-        node, path = 2 * node + 1 + right, 2 * path + right
-    rest = BITS - FITTED
     bits = unit @ planes(unit.shape[1], tree) > 0
-    return (path << rest) + bits @ (np.int64(1) << np.arange(rest - 1, -1, -1, dtype=np.int64))
+    return bits @ (np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64))
 
 
 def codes(unit: np.ndarray) -> np.ndarray:
@@ -123,8 +93,9 @@ def search_array(h: np.ndarray, code: np.ndarray, ask: np.ndarray, k: int, want:
     lo, hi = prefix_intervals(h, want)
     at = np.arange(len(h))
     half = SPAN * want // 2
-    # rows of one interval are looked at together, in stretches of neighbours
-    stretch = np.where(hi - lo > 2 * half, at // 256, -1)
+    # rows of one interval are looked at together, in stretches of neighbours where the strings are all the same
+    alike = (hi - lo > 2 * half) & (h[lo] == h[hi - 1]) if len(h) else np.empty(0, bool)
+    stretch = np.where(alike, at // 256, -1)
     order = np.lexsort((stretch, hi, lo))
     order = order[ask[order]]
     same = (lo[order][1:] == lo[order][:-1]) & (hi[order][1:] == hi[order][:-1]) & (stretch[order][1:] == stretch[order][:-1])
@@ -133,34 +104,41 @@ def search_array(h: np.ndarray, code: np.ndarray, ask: np.ndarray, k: int, want:
     for block in np.split(order, cut[1:]):
         if not len(block):
             continue
-        a, z = lo[block[0]], hi[block[0]]
+        first, end = lo[block[0]], hi[block[0]]
         if stretch[block[0]] >= 0:
-            a, z = max(a, block.min() - half), min(z, block.max() + half + 1)
-        x = code[a:z].astype(np.float32)
-        x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
-        for part in np.array_split(block, -(-len(block) // 256)):
-            sim = x[part - a] @ x.T
-            sim[np.arange(len(part)), part - a] = -2
-            if least > -1:
-                row, col = np.nonzero(sim >= least)
-                # of many near ones the best k
-                s = sim[row, col]
-                by = np.lexsort((-s, row))
-                row, col, s = row[by], col[by], s[by]
-                keep = np.arange(len(row)) - np.searchsorted(row, row) < k
-                row, col, s = row[keep], col[keep], s[keep]
-            else:
-                take = min(k, z - a - 1)
-                if take < 1:
-                    continue
-                best = np.argpartition(-sim, take - 1, axis=1)[:, :take]
-                row, col, s = np.repeat(np.arange(len(part)), take), best.ravel(), np.take_along_axis(sim, best, 1).ravel()
-            qs.append(part[row])
-            ns.append(a + col)
-            ss.append(s)
+            first, end = max(first, block.min() - half), min(end, block.max() + half + 1)
+        own = code[block].astype(np.float32)
+        own /= np.sqrt(np.einsum("ij,ij->i", own, own))[:, None]
+        for a in range(first, end, CHUNK):
+            x = code[a : min(a + CHUNK, end)].astype(np.float32)
+            x /= np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+            for some in range(0, len(block), 256):
+                part = block[some : some + 256]
+                sim = own[some : some + 256] @ x.T
+                here = np.flatnonzero((part >= a) & (part < a + len(x)))
+                sim[here, part[here] - a] = -2
+                row, col = _best(sim, k, least)
+                qs.append(part[row])
+                ns.append(a + col)
+                ss.append(sim[row, col])
     return np.concatenate(qs), np.concatenate(ns), np.concatenate(ss)
 
 
+def _best(sim: np.ndarray, k: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``k`` largest entries of every row that reach ``least``."""
+    if least > -1:
+        row, col = np.nonzero(sim >= least)
+        order = np.lexsort((-sim[row, col], row))
+        row, col = row[order], col[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return row[keep], col[keep]
+    take = min(k, sim.shape[1])
+    col = np.argpartition(-sim, take - 1, axis=1)[:, :take].ravel()
+    row = np.repeat(np.arange(len(sim)), take)
+    real = sim[row, col] > -2
+    return row[real], col[real]
+
+
 #: Rows of the sorted arrays: ``st`` numbers space and tree; and what a search
 #: gives, which is hits (a, b, similarity) and border rows (border and the rest).
 _HASHED = "st int, h long, vid long, ask boolean, code binary"
@@ -176,37 +154,17 @@ def _unit(batch: pa.RecordBatch, rows: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True).astype(np.float32)
 
 
-def _hash_rows(fitted: dict[int, np.ndarray]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            space = b["space"].to_numpy()
-            for s in np.unique(space):
-                rows = np.flatnonzero(space == s)
-                x = _unit(b, rows)
-                head = b.take(pa.array(rows))
-                packed = pa.array([r.tobytes() for r in codes(x)], pa.binary())
-                for tree in range(TREES):
-                    h = hash_strings(x, tree, fitted[int(s)][tree])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), s * TREES + tree, np.int32)), pa.array(h), head["vid"], head["ask"], packed], schema=_ROW)
-
-    return run
-
-
-def _fitted(vectors: DataFrame, counts: dict[int, int]) -> dict[int, np.ndarray]:
-    """Per space the halvings of all trees. Spaces are models and layers, a short list."""
-    if not counts:
-        return {}
-    share = F.create_map(*[x for s, n in counts.items() for x in (F.lit(s), F.lit(min(1.0, 1.3 * SAMPLE / n)))])
-    sample = vectors.where(sampled(F.element_at(share, F.col("space")), _SEED, "vid")).select("space", "vid", "embedding").limit(2 * SAMPLE * len(counts)).toPandas().sort_values(["space", "vid"])
-    out = {}
-    for s, n in counts.items():
-        mine = sample[sample["space"] == s]["embedding"]
-        if len(mine) < min(n, SAMPLE // 2):
-            raise ValueError(f"a sample of {len(mine)} of {n} vectors: too few to fit the forest on")
-        x = np.stack(mine.to_numpy()).astype(np.float32)
-        x /= np.linalg.norm(x, axis=1, keepdims=True)
-        out[s] = np.stack([fit_halvings(x, tree) for tree in range(TREES)])
-    return out
+def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        space = b["space"].to_numpy()
+        for s in np.unique(space):
+            rows = np.flatnonzero(space == s)
+            x = _unit(b, rows)
+            head = b.take(pa.array(rows))
+            packed = pa.array([r.tobytes() for r in codes(x)], pa.binary())
+            for tree in range(TREES):
+                st = pa.array(np.full(len(rows), s * TREES + tree, np.int32))
+                yield pa.RecordBatch.from_arrays([st, pa.array(hash_strings(x, tree)), head["vid"], head["ask"], packed], schema=_ROW)
 
 
 def _matrix(code: pa.Array) -> np.ndarray:
@@ -264,7 +222,7 @@ def _candidates(vectors: DataFrame, counts: dict[int, int], k: int, least: float
     rows = max(RANGE_ROWS, RANGE_SPANS * SPAN * max(want.values(), default=0))
     parts = max(1, -(-sum(counts.values()) * TREES // rows))
     order = ["st", "h", "vid"]
-    arrays = vectors.mapInArrow(_hash_rows(_fitted(vectors, counts)), _HASHED).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    arrays = vectors.mapInArrow(_hash_rows, _HASHED).repartitionByRange(parts, *order).sortWithinPartitions(*order)
     first = materialise(arrays.mapInArrow(_search(most, want, least, True), _FOUND), "hits")
     edges = first.where("border is not null").select("border", "st", "h", "vid", "ask", "code")
     edges = edges.repartition("border", "st").sortWithinPartitions("st", "border", "h", "vid")
@@ -291,7 +249,17 @@ def _verified(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return wide.mapInArrow(run, "a long, b long, similarity double")
 
 
-def nearest(vectors: DataFrame, item: str, space: list[str], vector: str, k: int, least: float | None = None, asked: Column | None = None, order: Column | None = None, factor: float | None = None) -> DataFrame:
+def nearest(
+    vectors: DataFrame,
+    item: str,
+    space: list[str],
+    vector: str,
+    k: int,
+    least: float | None = None,
+    asked: Column | None = None,
+    order: Column | None = None,
+    factor: float | None = None,
+) -> DataFrame:
     """The ``k`` most similar other vectors of the same space: (item, neighbour, similarity).
 
     ``vectors`` must be usable (see :func:`usable`); null items are left out, null
@@ -306,7 +274,13 @@ def nearest(vectors: DataFrame, item: str, space: list[str], vector: str, k: int
     """
     spark = vectors.sparkSession
     key = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in space])
-    rows = vectors.where(F.col(item).isNotNull()).select(F.col(item).cast("long").alias("item"), key.alias("name"), F.coalesce(asked if asked is not None else F.lit(True), F.lit(False)).alias("ask"), (order if order is not None else F.lit(0)).alias("at"), F.col(vector).alias("embedding"))
+    rows = vectors.where(F.col(item).isNotNull()).select(
+        F.col(item).cast("long").alias("item"),
+        key.alias("name"),
+        F.coalesce(asked if asked is not None else F.lit(True), F.lit(False)).alias("ask"),
+        (order if order is not None else F.lit(0)).alias("at"),
+        F.col(vector).alias("embedding"),
+    )
     rows = rows.withColumn("vid", F.xxhash64("name", "embedding"))
     # ids alone are grouped to the latest row of an item; vectors meet once, by the hash that they are merged by
     items = materialise(rows.groupBy("item").agg(F.max_by(F.struct("vid", "name", "ask"), F.struct("at", "vid")).alias("r")).select("item", "r.*"), "items")

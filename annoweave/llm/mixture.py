@@ -99,8 +99,9 @@ def plan(sized: DataFrame, targets: DataFrame, source: str, total_tokens: int |
     sources that have documents; a source without any gets the budget 0, and the
     shares of the others are raised in proportion.
     """
-    have = sized.groupBy(source).agg(F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"))
-    rows = targets.join(have, source, "left").select(source, "target_share", "max_repeats", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("tokens", F.lit(0)).alias("tokens"))
+    have = sized.groupBy(source).agg(F.count(F.lit(1)).alias("documents"), F.sum("n_tokens").alias("tokens"), F.max("n_tokens").alias("longest"))
+    count = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    rows = targets.join(have, source, "left").select(source, "target_share", "max_repeats", *[count(c) for c in ("documents", "tokens", "longest")])
     ready = (F.col("tokens") > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
     every = _window()  # the rows are the few sources of the targets
     out = rows.withColumn("_reachable", F.sum(F.when(ready, F.col("target_share"))).over(every)).withColumn("_most", F.min(F.when(ready, F.col("tokens") * F.col("max_repeats") / F.col("target_share"))).over(every))
@@ -108,7 +109,7 @@ def plan(sized: DataFrame, targets: DataFrame, source: str, total_tokens: int |
     most = F.floor(F.col("_most") * F.col("_reachable"))
     total = F.least(most, F.lit(total_tokens)) if total_tokens is not None else most
     share = F.when(ready, F.col("target_share") / F.col("_reachable")).otherwise(0.0)
-    return out.select(source, "target_share", "max_repeats", "documents", "tokens", share.alias("reachable_share"), F.coalesce(F.floor(total * share + 1e-6), F.lit(0)).cast("long").alias("budget"))
+    return out.select(source, "target_share", "max_repeats", "documents", "tokens", "longest", share.alias("reachable_share"), F.coalesce(F.floor(total * share + 1e-6), F.lit(0)).cast("long").alias("budget"))
 
 
 def mixture(docs: DataFrame, doc_id: str, text: str, source: str, targets: DataFrame, total_tokens: int | None = None, seed: int = 1, ranks: str = RANKS) -> tuple[DataFrame, DataFrame]:
