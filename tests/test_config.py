@@ -33,7 +33,7 @@ def test_settings_reach_the_run(caplog):
     conf = config.resolve({"limit_per_entry": "3", "taxonomy_ids_to_exclude": "9,10", "redundancy_identity": "0.9", "threads": "4", "embedding": {"models": {"A": {"enabled": True, "layer_index": [3, 0], "distance_threshold": 0.5}, "B": {"enabled": "no"}}}, "lookup": {"topgo": "off", "precision": 2}, "postprocess": {"keep_sequences": False, "summary": {"metrics": {"identity": ["avg"]}, "weights": {"identity": 1}, "export_raw_count": True}}})
     look, summary = cli.lookup_of(conf), config.summary_of(conf)
     assert (look.k, look.exclude, look.redundancy_identity, look.keep_sequences, look.precision, look.thresholds) == (3, ["9", "10"], 0.9, False, 2, {"A": 0.5})
-    assert (summary.k, summary.precision, summary.raw_count) == (3, 2, True) and summary.columns() == [("mean_identity", "identity", "mean")]
+    assert (summary.k, summary.precision, summary.raw_count) == (3, 2, True) and summary.columns() == [("mean_id_g", "identity", "mean")]
     assert config.models_of(conf) == {"A": [0, 3]} and conf["lookup"]["redundancy"]["threads"] == 4 and conf["lookup"]["topgo"] is False
     assert config.metric("manhattan") == "cosine" and "manhattan" in caplog.text
     assert config.url_name("https://x.org/a/b%20c.backup?download=1") == "b c.backup"
