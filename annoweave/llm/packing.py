@@ -66,7 +66,14 @@ def cut_items(items: DataFrame, keys: list[str], sequence: str, capacity: str) -
         .where((F.length("_text") > 0) & (F.col("_cap") > 0))
         .withColumn("_id", F.xxhash64("_text"))
         .withColumn("_i", F.explode(F.expr("sequence(0L, (length(_text) - 1) div _cap)")))
-        .select(*keys, F.col("_id").alias("content_id"), F.col("_i").alias("chunk_no"), F.length(chunk).cast("long").alias("tokens"), F.length(F.regexp_replace(chunk, "X", "")).cast("long").alias("loss_tokens"), F.col("_cap").alias("capacity"))
+        .select(
+            *keys,
+            F.col("_id").alias("content_id"),
+            F.col("_i").alias("chunk_no"),
+            F.length(chunk).cast("long").alias("tokens"),
+            F.length(F.regexp_replace(chunk, "X", "")).cast("long").alias("loss_tokens"),
+            F.col("_cap").alias("capacity"),
+        )
     )
     return sized.distinct()
 
@@ -106,7 +113,8 @@ def fill_batches(sized: DataFrame, group: str, max_segments: int = 256, loss_sha
 
 def batch_sums(batches: DataFrame, group: str) -> DataFrame:
     """Per batch: its items, tokens, loss-bearing tokens, and capacity."""
-    return batches.groupBy(group, "batch_block", "batch_no").agg(F.count(F.lit(1)).alias("segments"), F.sum("tokens").alias("tokens"), F.sum("loss_tokens").alias("loss_tokens"), F.max("capacity").alias("capacity"))
+    sums = [F.count(F.lit(1)).alias("segments"), F.sum("tokens").alias("tokens"), F.sum("loss_tokens").alias("loss_tokens"), F.max("capacity").alias("capacity")]
+    return batches.groupBy(group, "batch_block", "batch_no").agg(*sums)
 
 
 def fill_report(batches: DataFrame, group: str) -> DataFrame:

@@ -41,11 +41,40 @@ MOST_WORDS = 1_000_000
 #: Words to either side that decide whether a word stands in prose, and the
 #: levels of mean log odds (in sixteenths) from which they do.
 REACH, LEVELS = 6, (4, 10, 16)
-STATS = ["word_count", "mean_word_length", "symbol_ratio", "digit_ratio", "upper_ratio", "space_ratio", "line_count", "words_per_line", "punctuated_lines", "bulleted_lines", "common_share", "number_share", "mixed_share", "distinct_share", "other_letters", "bracket_ratio", "word_variety"]
+STATS = [
+    "word_count",
+    "mean_word_length",
+    "symbol_ratio",
+    "digit_ratio",
+    "upper_ratio",
+    "space_ratio",
+    "line_count",
+    "words_per_line",
+    "punctuated_lines",
+    "bulleted_lines",
+    "common_share",
+    "number_share",
+    "mixed_share",
+    "distinct_share",
+    "other_letters",
+    "bracket_ratio",
+    "word_variety",
+]
 _ENDS = tuple(".!?…。\"'”»")
 _BULLET = re.compile(r"\s*(?:[-*•·+>|#]|\(?\d{1,3}[.)]\s|\(?[a-z][.)]\s|\[\d)")
 #: Byte classes: 0 letter, 1 upper, 2 digit, 3 space, 4 symbol, 5 part of a non-ASCII character, 6 bracket or equals sign.
-_CLASS = np.array([6 if chr(i) in "()[]{}=" else 3 if chr(i).isspace() else 2 if chr(i).isdigit() else 1 if 65 <= i <= 90 else 0 if 97 <= i <= 122 else 5 if i > 127 else 4 for i in range(256)], dtype=np.uint8)
+def _byte_class(i: int) -> int:
+    c = chr(i)
+    if c in "()[]{}=":
+        return 6
+    if c.isspace():
+        return 3
+    if c.isdigit():
+        return 2
+    return 1 if 65 <= i <= 90 else 0 if 97 <= i <= 122 else 5 if i > 127 else 4
+
+
+_CLASS = np.array([_byte_class(i) for i in range(256)], dtype=np.uint8)
 
 
 class Common:
@@ -208,7 +237,8 @@ class Prose:
         """The words of texts, their number, and which texts are labelled prose and junk."""
         w = Words(texts, self.common)
         stats = statistics(texts, w) if texts else np.zeros((0, len(STATS)))
-        share, ends, number, bracket, n, variety = (stats[:, STATS.index(c)] for c in ("common_share", "punctuated_lines", "number_share", "bracket_ratio", "word_count", "word_variety"))
+        names = ("common_share", "punctuated_lines", "number_share", "bracket_ratio", "word_count", "word_variety")
+        share, ends, number, bracket, n, variety = (stats[:, STATS.index(c)] for c in names)
         code = (bracket > 0.02) & (ends < 0.05)
         repeated = (n >= 30) & (variety < 0.8)
         prose = np.flatnonzero((share >= 0.24) & (n >= 8) & (number < 0.3) & ~code & ~repeated)

@@ -139,7 +139,7 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
     q = table(spark, d, "query_embedding").where(F.col("vec_id").isNotNull() & F.col("embedding_type_id").isNotNull())
     # of several deliveries of a vec_id the latest counts
     at = F.coalesce(F.col("created_at").cast("timestamp"), F.timestamp_seconds(F.lit(0)))
-    q = q.select("vec_id", F.col("embedding_type_id").cast("long").alias("embedding_type_id"), F.col("layer_index").cast("long").alias("layer_index"), "embedding", at.alias("at"))
+    q = q.select("vec_id", *[F.col(c).cast("long").alias(c) for c in ("embedding_type_id", "layer_index")], "embedding", at.alias("at"))
     return forest.usable(q, "embedding_type_id", "embedding")
 
 
@@ -238,4 +238,28 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_pieces, p2_found, p3_found, p3_groups, p4_batches, p4_report, p4_limits, p5_found, p5_neighbours, p5_exact, p5_recall, p5_recall_reached, p6_found, p6_report, p7_found, p7_report, p8_mixture, p8_report, p8_limits, p9_found, p9_quality)}
+    every = (
+        p1_found,
+        p1_pieces,
+        p2_found,
+        p3_found,
+        p3_groups,
+        p4_batches,
+        p4_report,
+        p4_limits,
+        p5_found,
+        p5_neighbours,
+        p5_exact,
+        p5_recall,
+        p5_recall_reached,
+        p6_found,
+        p6_report,
+        p7_found,
+        p7_report,
+        p8_mixture,
+        p8_report,
+        p8_limits,
+        p9_found,
+        p9_quality,
+    )
+    return {f.__name__: f for f in every}
