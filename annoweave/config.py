@@ -216,7 +216,8 @@ def _aggregate(name: Any) -> str:
 def summary_of(conf: Mapping[str, Any]) -> Summary:
     """The summary that resolved settings ask for."""
     post = (conf.get("postprocess") or {}).get("summary") or {}
-    named = {"metrics": "metrics", "aliases": "aliases", "weights": "weights", "include_counts": "include_counts", "normalize_count": "normalize_count_by_limit_per_entry", "raw_count": "export_raw_count", "prefix": "weighted_prefix"}
+    named = {c: c for c in ("metrics", "aliases", "weights", "include_counts")}
+    named |= {"normalize_count": "normalize_count_by_limit_per_entry", "raw_count": "export_raw_count", "prefix": "weighted_prefix"}
     given = {ours: post[theirs] for ours, theirs in named.items() if post.get(theirs) is not None}
     if "metrics" in given:
         given["metrics"] = {m: tuple(aggs) for m, aggs in given["metrics"].items()}

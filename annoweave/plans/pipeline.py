@@ -115,11 +115,15 @@ def lookup(t: Tables, conf: Lookup, groups: DataFrame | None = None) -> Found:
     found = materialise(hits(t, conf, redundancy.mask(groups) if groups is not None else None), "hits")
     ann = reference.annotations(t.proteins, t.links, t.terms, conf.exclude, conf.include, conf.evidence)
     q = t.queries.join(found.select("accession").distinct(), "accession", "left_semi").groupBy("accession").agg(F.min("sequence").alias("sequence_query"))
-    r = t.sequences.withColumnRenamed("id", "ref_sequence_id").join(found.select("ref_sequence_id").distinct(), "ref_sequence_id", "left_semi").groupBy("ref_sequence_id").agg(F.min("sequence").alias("sequence_reference"))
+    r = t.sequences.withColumnRenamed("id", "ref_sequence_id").join(found.select("ref_sequence_id").distinct(), "ref_sequence_id", "left_semi")
+    r = r.groupBy("ref_sequence_id").agg(F.min("sequence").alias("sequence_reference"))
     q = annotate.numbered(q, "accession", "sequence_query", "query_idx")
     r = annotate.numbered(r, "ref_sequence_id", "sequence_reference", "ref_idx")
-    wanted = conf.align or conf.keep_sequences
-    sized = lambda df, text, n: df.withColumn(n, F.length(text).cast("long")) if wanted else df.withColumn(n, F.length(text).cast("long")).drop(text)
+
+    def sized(df: DataFrame, text: str, n: str) -> DataFrame:
+        df = df.withColumn(n, F.length(text).cast("long"))
+        return df if conf.align or conf.keep_sequences else df.drop(text)
+
     out = found.join(sized(q, "sequence_query", "query_len"), "accession", "left").join(sized(r, "sequence_reference", "ref_len"), "ref_sequence_id", "left")
     out = annotate.scored(out, conf.metric)
     if conf.align:
@@ -146,7 +150,17 @@ def post_process(t: Tables, raw: DataFrame, conf: Summary, path: str, topgo: boo
         sinks.write_topgo(exports.topgo_per_model(raw, conf.precision), exports.topgo_ensemble(raw, conf.precision), path)
 
 
-def run(t: Tables, path: str, conf: Lookup, post: Summary, models: dict[str, list[int]] | None = None, only_lookup: bool = False, only_embedding: bool = False, max_length: int | None = None, topgo: bool = True) -> None:
+def run(
+    t: Tables,
+    path: str,
+    conf: Lookup,
+    post: Summary,
+    models: dict[str, list[int]] | None = None,
+    only_lookup: bool = False,
+    only_embedding: bool = False,
+    max_length: int | None = None,
+    topgo: bool = True,
+) -> None:
     """A whole run: embedding, lookup, summary and exports, written below ``path``.
 
     With ``only_lookup`` the queries hold vectors already; with ``only_embedding``
@@ -165,7 +179,8 @@ def run(t: Tables, path: str, conf: Lookup, post: Summary, models: dict[str, lis
             return
         t = replace(t, queries=first_stored(spark.read.parquet(f"{path}/vectors")))
     if models:
-        ids = {r["low"]: r["id"] for r in t.models.groupBy(F.lower(F.trim("name")).alias("low")).agg(F.min("id").alias("id")).collect()}  # the few models
+        named = t.models.groupBy(F.lower(F.trim("name")).alias("low")).agg(F.min("id").alias("id"))
+        ids = {r["low"]: r["id"] for r in named.collect()}  # the few models
         layers = {ids[name.strip().lower()]: ks for name, ks in models.items() if name.strip().lower() in ids}
         t = replace(t, queries=prepare.in_layers(t.queries, layers), references=prepare.in_layers(t.references, layers))
     groups = clusters(t, conf)

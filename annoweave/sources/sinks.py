@@ -59,8 +59,10 @@ def write_summary(df: DataFrame, path: str) -> None:
 
 def write_topgo(per_model: DataFrame, ensemble: DataFrame, path: str) -> None:
     """Headerless TSVs (accession, term, reliability) by model, layer and category, and by category."""
-    per_model.select("accession", "go_id", "reliability_index", "model_name", "layer", "category").write.mode("overwrite").partitionBy("model_name", "layer", "category").csv(f"{path}/topgo", sep="\t", header=False)
-    ensemble.select("accession", "go_id", "reliability_index", "category").write.mode("overwrite").partitionBy("category").csv(f"{path}/topgo_ensemble", sep="\t", header=False)
+    row = ["accession", "go_id", "reliability_index"]
+    split = ["model_name", "layer", "category"]
+    per_model.select(*row, *split).write.mode("overwrite").partitionBy(*split).csv(f"{path}/topgo", sep="\t", header=False)
+    ensemble.select(*row, "category").write.mode("overwrite").partitionBy("category").csv(f"{path}/topgo_ensemble", sep="\t", header=False)
 
 
 def fasta_lines(queries: DataFrame, references: DataFrame) -> DataFrame:
