@@ -76,3 +76,14 @@ class BoostedTrees:
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return _sigmoid(self.slope * self.margin(x) + self.shift)
+
+
+class Averaged(BoostedTrees):
+    """Several models whose margins are averaged, calibrated as one."""
+
+    def __init__(self, many: int, trees: int):
+        super().__init__(trees)
+        self.models = [BoostedTrees(trees=trees) for _ in range(many)]
+
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        return np.mean([m.margin(x) for m in self.models], axis=0)

@@ -27,15 +27,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from annoweave.llm.boosting import BoostedTrees
+from annoweave.llm.boosting import Averaged
 from annoweave.llm.holdout import CALIBRATION
 from annoweave.llm.portions import portions, sampled
 from annoweave.llm.winnowing import CHARS, words
 
 TRAIN_DOCS, TRAIN_CHARS, VOCABULARY, LEAST_DF = 4000, 20_000, 1500, 6
-#: Boosted trees; the share of the examples that they see again with words forgotten,
+#: Models and boosted trees of each; the share of the examples that they see again with words forgotten,
 #: and the shares of the words, common ones apart, that are.
-TREES, AGAIN, FORGOTTEN = 120, 0.3, (1.0,)
+BAGS, TREES, AGAIN, FORGOTTEN = 3, 80, 0.3, (1.0,)
 #: Most rows of the table of common words; a larger one is refused, never cut.
 MOST_WORDS = 1_000_000
 #: Words to either side that decide whether a word stands in prose, and the
@@ -224,13 +224,16 @@ class Prose:
         half_g = int((kept < half_g).sum())
         prose, good = prose[kept], [good[i] for i in kept]
         self._learn_order(good[:half_g], bad[:half_b], rng)
-        made, label = self._examples([texts[i] for i in prose[half_g:]], [texts[i] for i in junk[half_b:]], good[half_g:], rng)
-        x, y = [self.features(made)], [label]
-        for share in FORGOTTEN:
-            some = np.flatnonzero(rng.random(len(made)) < AGAIN)
-            x.append(self.features([made[i] for i in some], forget=share, rng=rng))
-            y.append(label[some])
-        self.trees = BoostedTrees(trees=TREES).fit(np.concatenate(x), np.concatenate(y))
+        # several models on examples of their own, whose margins are averaged, err less than one
+        self.trees = Averaged(BAGS, TREES)
+        for model in self.trees.models:
+            made, label = self._examples([texts[i] for i in prose[half_g:]], [texts[i] for i in junk[half_b:]], good[half_g:], rng)
+            x, y = [self.features(made)], [label]
+            for share in FORGOTTEN:
+                some = np.flatnonzero(rng.random(len(made)) < AGAIN)
+                x.append(self.features([made[i] for i in some], forget=share, rng=rng))
+                y.append(label[some])
+            model.fit(np.concatenate(x), np.concatenate(y))
         self.trees.calibrate(self.features([t for t, _ in CALIBRATION]), np.array([p for _, p in CALIBRATION], dtype=float))
 
     def _weak(self, texts: list[str]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
