@@ -94,10 +94,15 @@ def overrides(args: Iterable[str]) -> dict[str, Any]:
 
 def load(path: str | None, *later: Mapping[str, Any]) -> dict[str, Any]:
     """The YAML file with later settings over it (None values do not override)."""
-    base: dict[str, Any] = {}
-    if path:
-        with open(path, encoding="utf-8") as f:
-            base = yaml.safe_load(f) or {}
+    if not path:
+        return loads("", *later)
+    with open(path, encoding="utf-8") as f:
+        return loads(f.read(), *later)
+
+
+def loads(text: str, *later: Mapping[str, Any]) -> dict[str, Any]:
+    """The same of YAML text."""
+    base = yaml.safe_load(text) or {}
     for layer in later:
         base |= {k: v for k, v in layer.items() if v is not None}
     return resolve(base)

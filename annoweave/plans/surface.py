@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -285,6 +287,37 @@ def settings_resolved(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame(list(got.items()), "name string, value string")
 
 
+_YAML = """
+prefix: sample
+limit_execution: 20
+embedding:
+  models:
+    Lumen-S: {enabled: true, layer_index: [0], distance_threshold: 0.5}
+    Tessel-L: {enabled: true, layer_index: [1, 0], distance_threshold: false}
+    Orbit-XS: {enabled: false}
+lookup: {limit_per_entry: 3, taxonomy: {exclude: ["9100000"]}}
+postprocess: {summary: {metrics: {identity: [avg]}, weights: {identity: 2, count: 2}, weighted_prefix: "v_"}}
+"""
+
+
+@_query("""SELECT * FROM (VALUES ('prefix', 'sample'), ('records', '20'), ('k', '3'), ('exclude', '9100000'), ('Lumen-S', '0 at 0.5'), ('Tessel-L', '0,1 at None'), ('mean_id', '0.5'), ('count', '0.5'), ('weighted', 'v_'),
+    ('run', 'sample_20240506070809'), ('job 1', 'a.fa|out/a|--k 5'), ('job 2', 'b.fa|out/b|'), ('job 3', 'none')) t(name, value)""")
+def run_settings(spark: SparkSession, d: str) -> DataFrame:
+    """A settings file and a job list as they reach a run."""
+    conf = config.loads(_YAML, {"prefix": None})
+    post, limits = replace(config.summary_of(conf), aliases={"identity": "id"}), config.thresholds_of(conf)
+    rows = [("prefix", conf["prefix"]), ("records", conf["limit_execution"]), ("k", conf["lookup"]["limit_per_entry"]), ("exclude", conf["lookup"]["taxonomy"]["exclude"][0])]
+    rows += [(m, f"{','.join(map(str, ks))} at {limits[m]}") for m, ks in config.models_of(conf).items()]
+    rows += [*post.active().items(), ("weighted", post.prefix), ("run", sinks.experiment_name(conf["prefix"], datetime(2024, 5, 6, 7, 8, 9)))]
+    jobs = ["a.fa\tout/a\t--k 5\n", "b.fa\tout/b\n"]
+    for n in (1, 2, 3):
+        try:
+            rows.append((f"job {n}", "|".join(fasta.parameters(iter(jobs), n))))
+        except IndexError:
+            rows.append((f"job {n}", "none"))
+    return spark.createDataFrame([(k, str(v)) for k, v in rows], "name string, value string")
+
+
 # preparation -----------------------------------------------------------------
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -135,8 +135,12 @@ def not_yet_run(wanted: DataFrame, existing: DataFrame, prefix: str) -> DataFram
 def parameter_row(path: str, index: int) -> tuple[str, str, str]:
     """Line ``index`` (from 1) of a tab-separated job list: input, output, further arguments."""
     with open(path, encoding="utf-8") as f:
-        for n, line in enumerate(f, 1):
-            if n == index:
-                parts = line.rstrip("\n").split("\t", 2)
-                return tuple(parts + [""] * (3 - len(parts)))  # type: ignore[return-value]
-    raise IndexError(f"no line {index} in {os.path.basename(path)}")
+        return parameters(f, index)
+
+
+def parameters(lines: Iterable[str], index: int) -> tuple[str, str, str]:
+    line = next(islice(lines, max(index, 1) - 1, None), None)
+    if line is None or index < 1:
+        raise IndexError(f"the job list has no line {index}")
+    first, second, rest, *_ = [*line.rstrip("\n").split("\t", 2), "", ""]
+    return first, second, rest

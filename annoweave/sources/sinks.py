@@ -98,9 +98,13 @@ def write_leakage(raw: DataFrame, path: str, threshold: float) -> None:
     leakage.counters(raw, threshold).write.mode("overwrite").json(f"{out}/summary")
 
 
+def experiment_name(prefix: str, now: datetime) -> str:
+    return f"{prefix}_{now:%Y%m%d%H%M%S}"
+
+
 def experiment_dir(base: str, prefix: str, conf: Mapping[str, Any], now: datetime | None = None) -> str:
     """Makes ``{prefix}_{timestamp}`` with the effective configuration in it."""
-    path = os.path.join(base, f"{prefix}_{(now or datetime.now()).strftime('%Y%m%d%H%M%S')}")
+    path = os.path.join(base, experiment_name(prefix, now or datetime.now()))
     os.makedirs(path, exist_ok=True)
     with open(os.path.join(path, "config.json"), "w", encoding="utf-8") as f:
         json.dump(conf, f, indent=1, sort_keys=True, default=str)

@@ -205,6 +205,13 @@ def test_redundancy(spark):
     assert redundancy.sizes(c.where("cluster = 'k1'")).first()["references"] == 2
 
 
+def test_representatives(spark):
+    """3 matches 2 but not 1, whose member 2 is: so 3 is a representative, and 4 joins it, not 2."""
+    edges = spark.createDataFrame([(2, 1), (3, 2), (4, 3), (4, 2), (6, 5), (7, 6), (8, 7)], "sid long, rep long")
+    assert rows(redundancy.representatives(edges), "sid") == [(1,), (3,), (5,), (7,)]
+    assert redundancy.representatives(edges.limit(0)).count() == 0
+
+
 def test_native_clusters(spark):
     rng = random.Random(11)
     make = lambda n: "".join(rng.choice(A.RESIDUES) for _ in range(n))
