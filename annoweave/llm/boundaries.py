@@ -38,8 +38,9 @@ def natural_boundaries(sequences: list[str]) -> tuple[np.ndarray, np.ndarray, np
     A boundary needs a residue on either side: one or more ``*`` or ``-``, or at
     least five ``X`` in a row. White space, digits and any other sign are layout.
     """
-    raw = np.frombuffer("".join(sequences).upper().encode("ascii", "replace"), dtype=np.uint8)
-    own = np.repeat(np.arange(len(sequences)), [len(s.upper()) for s in sequences])
+    raw = np.frombuffer("".join(sequences).encode("ascii", "replace"), dtype=np.uint8)
+    raw = np.where((raw >= 97) & (raw <= 122), raw - 32, raw)
+    own = np.repeat(np.arange(len(sequences)), [len(s) for s in sequences])
     letter = (raw >= 65) & (raw <= 90)
     kept = letter | (raw == ord("*")) | (raw == ord("-"))
     raw, own, letter = raw[kept], own[kept], letter[kept]

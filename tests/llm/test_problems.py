@@ -50,7 +50,7 @@ ITEMS = "accession string, embedding_type_id long, sequence string, piece_limit
     ],
 )
 def test_boundaries(sequence, expected):
-    around = ["XXXXA", sequence, "XXXXXA*A", "é-Ä"]
+    around = ["XXXXA", sequence, "XXXXXA*A", "é-Äß"]
     lengths, who, at = boundaries.natural_boundaries(around)
     assert (lengths[1], at[who == 1].tolist()) == expected and lengths[0] == 5 and at[who == 2].tolist() == [6] and 3 not in who
 
