@@ -57,10 +57,10 @@ def run_settings(spark: SparkSession, conf: Mapping[str, Any]) -> str:
     """
     base = os.path.expanduser(str(conf.get("base_directory") or "."))
     tables = conf.get("reference") or os.path.join(base, "reference")
-    out = sinks.experiment_dir(os.path.join(base, "experiments"), str(conf.get("prefix") or "run"), conf)
     source, limit = conf.get("input"), conf["limit_execution"] or None
     if not source:
         raise ValueError("no input is set")
+    out = sinks.experiment_dir(spark, os.path.join(base, "experiments"), str(conf.get("prefix") or "run"), conf)
     if conf["only_lookup"]:
         t = pipeline.Tables.at(spark, tables, vectors=source)
     else:

@@ -93,6 +93,14 @@ def proteome_batches(spark: SparkSession, d: str) -> DataFrame:
     return fasta.folder_batches(_files(spark, d))
 
 
+@_query("SELECT 'test_20240506070809' AS folder, 3 AS k, 'cosine' AS metric")
+def experiment(spark: SparkSession, d: str) -> DataFrame:
+    """The folder of a run with its effective settings, read again."""
+    path = sinks.experiment_dir(spark, scratch(spark, "experiments"), "test", {"k": 3, "metric": "cosine"}, datetime(2024, 5, 6, 7, 8, 9))
+    back = spark.read.json(f"{path}/config.json", multiLine=True, schema="k long, metric string")
+    return back.select(F.lit(path.rpartition("/")[2]).alias("folder"), "k", "metric")
+
+
 @_query("SELECT name AS prefix FROM embedding_type WHERE id % 2 = 0")
 def not_yet_run(spark: SparkSession, d: str) -> DataFrame:
     m = table(spark, d, "embedding_type")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Mapping
 from datetime import datetime
 from typing import Any
@@ -102,12 +101,14 @@ def experiment_name(prefix: str, now: datetime) -> str:
     return f"{prefix}_{now:%Y%m%d%H%M%S}"
 
 
-def experiment_dir(base: str, prefix: str, conf: Mapping[str, Any], now: datetime | None = None) -> str:
-    """Makes ``{prefix}_{timestamp}`` with the effective configuration in it."""
-    path = os.path.join(base, experiment_name(prefix, now or datetime.now()))
-    os.makedirs(path, exist_ok=True)
-    with open(os.path.join(path, "config.json"), "w", encoding="utf-8") as f:
-        json.dump(conf, f, indent=1, sort_keys=True, default=str)
+def experiment_dir(spark: SparkSession, base: str, prefix: str, conf: Mapping[str, Any], now: datetime | None = None) -> str:
+    """Makes ``{prefix}_{timestamp}`` with the effective configuration in it, in any file system that Spark knows."""
+    path = f"{base.rstrip('/')}/{experiment_name(prefix, now or datetime.now())}"
+    text = json.dumps(conf, indent=1, sort_keys=True, default=str)
+    file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/config.json")
+    out = file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
     return path
 
 

@@ -132,7 +132,7 @@ def test_import_is_done_once(spark, tmp_path):
 
 
 def test_small_sinks(spark, tmp_path):
-    path = sinks.experiment_dir(str(tmp_path), "run", {"k": 1}, datetime(2024, 5, 6, 7, 8, 9))
+    path = sinks.experiment_dir(spark, str(tmp_path), "run", {"k": 1}, datetime(2024, 5, 6, 7, 8, 9))
     assert path.endswith("run_20240506070809")
     with open(f"{path}/config.json") as f:
         assert json.load(f) == {"k": 1}
