@@ -40,7 +40,7 @@ SPAN = 4
 #: Candidates that are compared at a time.
 CHUNK = 65_536
 #: Rows of a range partition: so many at least, else a multiple of the longest span.
-RANGE_ROWS, RANGE_SPANS = 40_000, 8
+RANGE_ROWS, RANGE_SPANS = 40_000, 4
 #: Candidates beyond k that are verified, and what a code's cosine may be off.
 SLACK, MARGIN = 8, 0.02
 _SEED = 7
