@@ -93,7 +93,7 @@ def proteome_batches(spark: SparkSession, d: str) -> DataFrame:
     return fasta.folder_batches(_files(spark, d))
 
 
-@_query("SELECT 'test_20240506070809' AS folder, 3 AS k, 'cosine' AS metric")
+@_query("SELECT 'test_20240506070809' AS folder, CAST(3 AS BIGINT) AS k, 'cosine' AS metric")
 def experiment(spark: SparkSession, d: str) -> DataFrame:
     """The folder of a run with its effective settings, read again."""
     path = sinks.experiment_dir(spark, scratch(spark, "experiments"), "test", {"k": 3, "metric": "cosine"}, datetime(2024, 5, 6, 7, 8, 9))
@@ -167,7 +167,7 @@ def merged_csv(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
-@_query("SELECT 4 AS files, count(*) AS rows FROM go_terms")
+@_query("SELECT CAST(4 AS BIGINT) AS files, count(*) AS rows FROM go_terms")
 def merged_totals(spark: SparkSession, d: str) -> DataFrame:
     return raw_source.merge_statistics(_four_files(spark, d)).where("total").select("files", "rows")
 
@@ -207,8 +207,9 @@ def leakage_files(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_leakage(q._donor_rows(spark, d), path, 0.5)
     out = f"{path}/global_identity_le_{leakage.label(0.5)}"
     rows = lambda name: spark.read.option("header", True).csv(f"{out}/{name}").agg(F.count(F.lit(1))).first()[0]
+    number = lambda name: F.lit(rows(name)).cast("long")
     counters = spark.read.json(f"{out}/summary")
-    return counters.select("*", F.lit(rows("selected_rows")).alias("rows_in_file"), F.lit(rows("selected_donors")).alias("donors_in_file"), F.lit(rows("filtered_out_rows")).alias("filtered_in_file"))
+    return counters.select("*", number("selected_rows").alias("rows_in_file"), number("selected_donors").alias("donors_in_file"), number("filtered_out_rows").alias("filtered_in_file"))
 
 
 @_query(f"WITH {s._vectors()}, {s._BOTH} SELECT DISTINCT md5(s) AS cluster, identifier, side FROM both_sides")
