@@ -50,8 +50,10 @@ def test_command_line(spark, tmp_path, capsys):
 
     t = pipeline.Tables.at(spark, DATA)
     ref = tmp_path / "reference"
-    for name in ("ref_sequences", "protein", "protein_go_term_annotation", "go_terms"):
-        assert raw_source.import_reference(spark, {name: f"{DATA}/{name}.parquet"}, str(ref))
+    tables = ["initialize", "--embeddings_url", DATA, "--base_directory", str(tmp_path), "--tables", "ref_sequences,protein,protein_go_term_annotation,go_terms"]
+    assert cli.main(["initialize"], spark) == 0 and "nothing to do" in capsys.readouterr().out
+    assert cli.main(tables, spark) == 0 and "copied" in capsys.readouterr().out
+    assert cli.main(tables, spark) == 0 and "there already" in capsys.readouterr().out
     models = spark.createDataFrame([(9, "composition", "x")], "id int, name string, model_name string")
     models.write.parquet(str(ref / "embedding_type.parquet"))
     seqs = t.sequences.where("id is not null and sequence is not null").groupBy("id").agg(F.min("sequence").alias("sequence")).withColumn("accession", F.col("id").cast("string"))
