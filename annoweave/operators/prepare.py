@@ -46,10 +46,10 @@ def effective_layers(available: DataFrame, wanted: dict[int, list[int]]) -> Data
 
 
 def all_sequences(references: DataFrame, queries: DataFrame) -> DataFrame:
-    """Both sides' sequences with a ``side`` (r or q), as input of the clustering."""
+    """Both sides' sequences with a ``side`` (r or q), as input of the clustering. Rows may repeat."""
     r = references.select(F.col("id").cast("string").alias("identifier"), "sequence", F.lit("r").alias("side"))
     q = queries.select(F.col("accession").alias("identifier"), "sequence", F.lit("q").alias("side"))
-    return r.unionByName(q).where("identifier is not null and sequence is not null").distinct()
+    return r.unionByName(q).where("identifier is not null and sequence is not null")
 
 
 def checked_tasks(df: DataFrame) -> DataFrame:

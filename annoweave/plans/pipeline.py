@@ -69,9 +69,10 @@ def first_stored(vectors: DataFrame) -> DataFrame:
     q = vectors.withColumn("accession", accession("accession")).where(F.col("accession").isNotNull() & V.is_vector("embedding"))
     at = [F.coalesce(F.col("created_at").cast("timestamp"), F.timestamp_seconds(F.lit(0)))] if "created_at" in q.columns else []
     at += [F.col("vec_id")] if "vec_id" in q.columns else []
-    row = F.struct("embedding", letters("sequence").alias("sequence"))
-    first = q.groupBy("accession", "embedding_type_id", "layer_index").agg(F.min_by(row, F.struct(*at, F.xxhash64("embedding", "sequence"))).alias("v"))
-    return first.select("accession", "embedding_type_id", "layer_index", "v.embedding", "v.sequence")
+    first = F.struct(*at, F.xxhash64("embedding", "sequence"))
+    # two aggregates of one order, so that a job that needs no vectors does not shuffle them
+    of = [F.min_by(x, first).alias(c) for c, x in (("embedding", F.col("embedding")), ("sequence", letters("sequence")))]
+    return q.groupBy("accession", "embedding_type_id", "layer_index").agg(*of)
 
 
 def hits(t: Tables, conf: Lookup, masked: DataFrame | None = None) -> DataFrame:

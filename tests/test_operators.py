@@ -255,6 +255,49 @@ def test_native_clusters_against_brute_force(spark, identity):
     assert len(want) > 5 and found >= 0.95 * len(want)
 
 
+def _greedy(seqs: dict[str, str], spark, identity: float = 0.9) -> dict[str, str]:
+    """Representative of every sequence, by alignment of all pairs."""
+    sid = {r["s"]: r["h"] for r in spark.createDataFrame([(x,) for x in seqs.values()], "s string").distinct().select("s", F.xxhash64("s").alias("h")).collect()}
+    order = lambda x: (len(x), -sid[x])
+    texts = sorted(sid, key=order)
+    pairs = [(s, r) for i, s in enumerate(texts) for r in texts[i + 1 :]]
+    m = A.metrics(pd.Series([s for s, _ in pairs]), pd.Series([r for _, r in pairs]), sides=(("_sw", True),))
+    near = {p for p, x in zip(pairs, (m.identity_sw >= identity) & (m.alignment_length_sw * (1 - m.gaps_percentage_sw) >= 0.7 * m.length_query)) if x}
+    top: dict[str, str] = {}
+    for s in reversed(texts):
+        top[s] = max((r for x, r in near if x == s and top[r] == r), key=order, default=s)
+    return {k: str(sid[top[v]]) for k, v in seqs.items()}
+
+
+@pytest.mark.parametrize(("wide", "residues", "sample"), [(2_000, 400_000, 8_000), (5, 400_000, 40), (5, 0, 8_000)])
+def test_native_clusters_with_a_common_motif(spark, monkeypatch, wide, residues, sample):
+    """A run of residues that most sequences hold makes no pairs of all of them, and none that matches is lost."""
+    rng = random.Random(3)
+    make = lambda n: "".join(rng.choice(A.RESIDUES) for _ in range(n))
+    motif, seqs = make(24), {}
+    for i in range(70):
+        seqs[f"{i}"] = make(rng.randint(20, 120)) + motif + make(rng.randint(5, 60))
+        if i % 3 == 0:
+            base = seqs[f"{i}"]
+            lo = rng.randint(0, len(base) // 8)
+            seqs[f"{i}m"] = "".join(c if rng.random() > 0.05 else rng.choice(A.RESIDUES) for c in base[lo : lo + int(len(base) * 0.85)])
+    for name, value in (("WIDE", wide), ("WIDE_RESIDUES", residues), ("SAMPLE", sample), ("FREQUENT", 20)):
+        monkeypatch.setattr(redundancy, name, value)
+    df = spark.createDataFrame([(k, "r", v) for k, v in seqs.items()], "identifier string, side string, sequence string")
+    got = {r["identifier"]: r["cluster"] for r in redundancy.cluster(df, 0.9, 0.7).collect()}
+    want = _greedy(seqs, spark)
+    assert got == want and len(set(want.values())) < len(seqs) - 10
+    texts = df.select(F.monotonically_increasing_id().alias("id"), F.length("sequence").alias("n"), F.lit(7).alias("k"), "sequence")
+    if wide == 5 and residues:  # few lead to so many others that an index is worth while
+        assert redundancy._candidates(texts, 0.9, 0.7).distinct().count() < 3 * len(seqs)
+
+
+def test_packed_numbers():
+    columns = [np.array([0, 1, -5, 1 << 62]), np.array([], dtype=np.int64), np.arange(300)]
+    for x, y in zip(columns, redundancy._unpacked(redundancy._packed(columns), 3)):
+        assert x.tolist() == y.tolist()
+
+
 def test_search_masked_by_clusters(spark):
     t = pipeline.Tables.at(spark, DATA)
     both = [(r["identifier"], r["side"], r["sequence"]) for r in prepare.all_sequences(t.sequences, t.queries).collect() if r["sequence"]]
