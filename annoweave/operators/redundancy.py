@@ -361,7 +361,7 @@ def cluster(sequences: DataFrame, identity: float, coverage: float) -> DataFrame
     texts = materialise(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
     members = materialise(rows.select("identifier", "side", "sid").distinct(), "members")
     free(rows)
-    pairs = _candidates(texts, identity, coverage)
+    pairs = materialise(_candidates(texts, identity, coverage), "pairs")  # its seeds are off the disk before sequences are joined
     tr = texts.select(F.col("id").alias("rep"), F.col("sid").alias("rep_sid"), F.col("sequence").alias("sr"), F.col("n").alias("nr"))
     both = pairs.join(tr, "rep").join(texts.select("id", "sid", F.col("sequence").alias("ss"), "n"), "id").where("nr > n or (nr = n and rep_sid < sid)")
     ok = spread(both, F.xxhash64("rep", "id")).where(accepts(identity, coverage)("ss", "sr"))

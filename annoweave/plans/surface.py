@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from annoweave import config
 from annoweave.config import Summary
-from annoweave.functions.align import OPEN, EXTEND, alignment, matrix
+from annoweave.functions.align import OPEN, EXTEND, local_alignment, matrix
 from annoweave.functions.text import accession, letters, source_name
 from annoweave.operators import annotate, embed, exports, leakage, prepare, redundancy, reference, summary, taxonomy
 from annoweave.plans import pipeline, queries as q, sql as s
-from annoweave.runtime import scratch, table
+from annoweave.runtime import materialise, scratch, spread, table
 from annoweave.schema import RAW
 from annoweave.sources import fasta, raw as raw_source, sinks
 from annoweave.streaming import search
@@ -358,11 +358,17 @@ def cluster_members(spark: SparkSession, d: str) -> DataFrame:
 def clusters_checked(spark: SparkSession, d: str) -> DataFrame:
     """Whether every sequence is in one cluster, equal ones together, and every member matches the longest of its cluster."""
     t = pipeline.Tables.at(spark, d)
-    both = prepare.all_sequences(t.sequences, t.queries).where("sequence != ''").distinct()
-    c = redundancy.cluster(both, identity=0.9, coverage=0.7)
-    m = both.join(c, ["identifier", "side"]).withColumn("sid", F.xxhash64("sequence").cast("string"))
-    texts = m.groupBy("cluster", "sid").agg(F.first("sequence").alias("member"))
-    pairs = texts.where("sid != cluster").join(texts.where("sid = cluster").select("cluster", F.col("member").alias("lead")), "cluster", "left").withColumn("m", alignment("member", "lead"))
+    both = prepare.all_sequences(t.sequences, t.queries).where("sequence != ''").withColumn("sid", F.xxhash64("sequence").cast("string"))
+    c = materialise(redundancy.cluster(both, identity=0.9, coverage=0.7), "clusters")
+    m = materialise(both.select("identifier", "side", "sid").distinct().join(c, ["identifier", "side"]), "members")
+    texts = m.select("cluster", "sid").distinct()
+    joined = materialise(texts.where("sid != cluster"), "joined")
+    # sequences only of what is compared, each once
+    compared = joined.select("sid").union(joined.select("cluster")).distinct()
+    seqs = materialise(both.select("sid", "sequence").join(compared, "sid", "left_semi").groupBy("sid").agg(F.first("sequence").alias("sequence")), "compared")
+    leads = texts.where("sid = cluster").join(seqs, "sid").select("cluster", F.col("sequence").alias("lead"))
+    pairs = joined.join(seqs.withColumnRenamed("sequence", "member"), "sid").join(leads, "cluster", "left")
+    pairs = spread(pairs, "sid").withColumn("m", local_alignment("member", "lead"))
     ok = (F.col("m.identity_sw") >= 0.9) & (F.col("m.alignment_length_sw") * (1 - F.col("m.gaps_percentage_sw")) >= 0.7 * F.length("member"))
     bad = pairs.where(~F.coalesce(ok, F.lit(False))).agg(F.count(F.lit(1)).alias("bad"))
     per = c.groupBy("identifier", "side").agg(F.countDistinct("cluster").alias("n")).agg((F.max("n") == 1).alias("one_cluster_each"))

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _RUN = uuid.uuid4().hex
+#: Whether a job's shuffle files are removed when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,11 +61,16 @@ def materialise(df: DataFrame, label: str = "t") -> DataFrame:
 
     Cuts the lineage: what follows never recomputes ``df``, and a lost executor
     takes nothing with it. The table goes when the application ends, or before
-    with :func:`free`.
+    with :func:`free`; the shuffle files that led to it go once it is written.
     """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

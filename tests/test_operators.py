@@ -1,6 +1,7 @@
 """Operators on small tables: the traps of the semantics, one by one."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from annoweave.config import Summary
 from annoweave.functions import align as A
 from annoweave.operators import annotate, collapse, coverage, embed, exports, knn, leakage, prepare, redundancy, reference, summary, taxonomy
 from annoweave.plans import pipeline, queries
+from annoweave.runtime import CLEANUP, materialise
 from annoweave.sources import fasta, raw as raw_source, sinks
 
 from .conftest import DATA
@@ -292,6 +294,24 @@ def test_native_clusters_with_a_common_motif(spark, monkeypatch, wide, residues,
         assert redundancy._candidates(texts, 0.9, 0.7).distinct().count() < 3 * len(seqs)
 
 
+def test_shuffle_files_go_with_the_job(spark):
+    """A working table leaves none of the shuffle files that led to it."""
+    dirs = [str(x) for x in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+    before = files()
+    made = materialise(spark.range(5000).groupBy((F.col("id") % 7).alias("g")).count())
+    assert not files() - before and made.count() == 7
+    assert spark.conf.get(CLEANUP) == "false"
+
+
+def test_local_alignment_alone(spark):
+    df = spark.createDataFrame([("ACDEFGHIKL", "WACDEFHIKLW"), (None, "AC"), ("MKV", "")], "q string, r string")
+    both = df.select(A.alignment("q", "r").alias("a"), A.local_alignment("q", "r").alias("b")).collect()
+    for x in both:
+        assert all(x.a[c] == x.b[c] for c in ("identity_sw", "gaps_percentage_sw", "alignment_length_sw", "length_query"))
+        assert x.b["identity"] is None
+
+
 def test_packed_numbers():
     columns = [np.array([0, 1, -5, 1 << 62]), np.array([], dtype=np.int64), np.arange(300)]
     for x, y in zip(columns, redundancy._unpacked(redundancy._packed(columns), 3)):
