@@ -312,6 +312,13 @@ def test_local_alignment_alone(spark):
         assert x.b["identity"] is None
 
 
+def test_sequences_alone_need_no_vectors(spark):
+    """The clusters of a masked search take sequences of the query table without shuffling its vectors."""
+    q = pipeline.Tables.at(spark, DATA).queries
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(q).count("min_by(") == 2 and plan(q.select("accession", "sequence")).count("min_by(") == 1
+
+
 def test_packed_numbers():
     columns = [np.array([0, 1, -5, 1 << 62]), np.array([], dtype=np.int64), np.arange(300)]
     for x, y in zip(columns, redundancy._unpacked(redundancy._packed(columns), 3)):
