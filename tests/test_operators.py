@@ -61,6 +61,25 @@ def test_knn_masks_and_empty(spark, vectors):
     assert knn.blocked(q, r, 0).count() == 0 and knn.blocked(q, r.limit(0), 3).count() == 0 and knn.blocked(q.limit(0), r, 3).count() == 0
 
 
+def test_declarative_multiplies_blocks(spark, monkeypatch):
+    """Pairs of vectors are products of blocks, never rows of a join with interpreted array functions."""
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=(150, 64)).astype(np.float32), rng.normal(size=(400, 64)).astype(np.float32)
+    q = spark.createDataFrame([(f"q{i:03}", 1, 0, x.tolist()) for i, x in enumerate(a)], Q)
+    r = spark.createDataFrame([(i, 1, 0, x.tolist()) for i, x in enumerate(b)], R)
+    unit = lambda x: x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    d = np.round(1 - unit(a) @ unit(b).T, 10)
+    want = {(f"q{i:03}", int(j)) for i in range(150) for j in np.lexsort((np.arange(400), d[i]))[:3]}
+    plan = knn.declarative(q, r, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in plan
+    for blocks in ((4096, 8192), (32, 64)):
+        monkeypatch.setattr(knn, "QUERY_BLOCK", blocks[0])
+        monkeypatch.setattr(knn, "REFERENCE_BLOCK", blocks[1])
+        for search in (knn.declarative, knn.blocked):
+            got = search(q, r, 3).collect()
+            assert {(x.accession, x.ref_sequence_id) for x in got} == want and len(got) == 450
+
+
 def test_taxonomy_sides(spark):
     p = spark.createDataFrame([(1, "10"), (1, "20"), (2, None), (3, " 10 "), (4, "30")], "sequence_id long, taxonomy_id string")
     ids = lambda e, i: [x[0] for x in rows(taxonomy.allowed_sequences(p, e, i), "sequence_id")]
