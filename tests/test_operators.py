@@ -80,6 +80,31 @@ def test_declarative_multiplies_blocks(spark, monkeypatch):
             assert {(x.accession, x.ref_sequence_id) for x in got} == want and len(got) == 450
 
 
+def test_search_shuffles_each_side_once(spark, monkeypatch):
+    """Shuffles of a masked search do not grow with the number of blocks."""
+    rng = np.random.default_rng(6)
+    side = lambda n, name: [(name(i), 1, 0, x.tolist()) for i, x in enumerate(rng.normal(size=(n, 64)))]
+    q, r = materialise(spark.createDataFrame(side(300, lambda i: f"q{i}"), Q)), materialise(spark.createDataFrame(side(300, lambda i: i), R))
+    masked = materialise(spark.createDataFrame([(f"q{i}", i) for i in range(300)], "accession string, ref_sequence_id long"))
+    sc = spark.sparkContext._jsc.sc()
+
+    def written() -> int:
+        sc.listenerBus().waitUntilEmpty(30_000)
+        return sc.statusStore().executorSummary("driver").totalShuffleWrite()
+
+    def search() -> tuple[int, list]:
+        before = written()
+        hits = rows(knn.blocked(q, r, 2, masked=masked), "accession", "ref_sequence_id")
+        return written() - before, hits
+
+    few, expected = search()
+    monkeypatch.setattr(knn, "QUERY_BLOCK", 20)
+    monkeypatch.setattr(knn, "REFERENCE_BLOCK", 20)
+    many, hits = search()
+    assert few > 0 and many < 2 * few
+    assert hits == expected and not {(a, i) for a, i in hits if a == f"q{i}"}
+
+
 def test_taxonomy_sides(spark):
     p = spark.createDataFrame([(1, "10"), (1, "20"), (2, None), (3, " 10 "), (4, "30")], "sequence_id long, taxonomy_id string")
     ids = lambda e, i: [x[0] for x in rows(taxonomy.allowed_sequences(p, e, i), "sequence_id")]
