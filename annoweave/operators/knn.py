@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from annoweave.functions import vectors as V
-from annoweave.runtime import width
+from annoweave.runtime import free, materialise, width
 
 QUERY_BLOCK, REFERENCE_BLOCK = 4096, 8192
 SPACE = ["embedding_type_id", "layer_index"]
@@ -174,6 +174,10 @@ def _search(queries: DataFrame, references: DataFrame, k: int, near, threshold:
     Each side is written to the shuffle once, whatever the number of blocks of
     the other: the join is of partitions, which are read again by many tasks. A
     task holds the query blocks of its partition while reference blocks pass.
+
+    A masked search runs at once and in steps, since its mask comes with much
+    that leads to it: both sides and their blocks are working tables, so that a
+    step's shuffle files go before the next begins, and only the hits stay.
     """
     spark = queries.sparkSession
     if k < 1:
@@ -184,25 +188,39 @@ def _search(queries: DataFrame, references: DataFrame, k: int, near, threshold:
         hidden = masked.where("accession is not null and ref_sequence_id is not null").groupBy(F.col("accession").alias("key")).agg(F.collect_set(F.col("ref_sequence_id").cast("long")).alias("hidden"))
         q = q.join(hidden, "key", "left")
     q, r = (x.withColumn("layer", _space()) for x in (q, r))
+    steps = masked is not None
+    if steps:
+        q, r = materialise(q, "queries"), materialise(r, "references")
     where = ["embedding_type_id", "layer", "dim"]
     nq = q.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_BLOCK)).cast("int").alias("nq"))
     nr = r.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / F.lit(REFERENCE_BLOCK)).cast("int").alias("nr"))
     grid = nq.join(nr, where)
+    if steps:
+        grid = materialise(grid, "grid")
     blocks, numbers = [], []
-    for x, key, n in ((q, "accession", "nq"), (r.drop("layer_index"), "sequence_id", "nr")):
-        number = "<f4" if x.schema["v"].dataType.elementType.typeName() == "float" else "<f8"
-        x = x.join(grid, where).withColumn("block", F.pmod(F.xxhash64("key"), F.col(n)).cast("int")).drop("nq", "nr")
+    for side, key, n in ((q, "accession", "nq"), (r, "sequence_id", "nr")):
+        number = "<f4" if side.schema["v"].dataType.elementType.typeName() == "float" else "<f8"
+        # one row per model, layer and dimension of both sides; without the hint all vectors are shuffled for them
+        x = side.join(F.broadcast(grid), where).withColumn("block", F.pmod(F.xxhash64("key"), F.col(n)).cast("int")).drop("nq", "nr")
+        x = x.drop("layer_index") if side is r else x
         schema = f"embedding_type_id int, layer int, dim int, block int, {key} array<{x.schema['key'].dataType.simpleString()}>, {key}_v binary"
         schema += ", layer_index int" * ("layer_index" in x.columns) + ", hidden_row binary, hidden_id binary" * ("hidden" in x.columns)
-        blocks.append(x.groupBy(*where, "block").applyInArrow(_pack(key, number), schema))
+        x = x.groupBy(*where, "block").applyInArrow(_pack(key, number), schema)
+        if steps:
+            x = materialise(x, "blocks")
+            free(side)
+        blocks.append(x)
         numbers.append(number)
-    qb, rb = blocks
     tasks = max(width(spark), spark.sparkContext.defaultParallelism)
-    qb = qb.repartition(tasks, *where, "block")
+    qb = blocks[0].repartition(tasks, *where, "block")
     # few partitions of references, since each leaves k hits of every query to be merged
-    rb = rb.repartition(max(1, -(-4 * spark.sparkContext.defaultParallelism // tasks)), *where, "block").drop("block")
-    hits = rb.join(qb.hint("shuffle_replicate_nl"), where).mapInPandas(_cells(k, near, threshold, tuple(numbers)), _SCHEMA)
-    return _limit(hits, k)
+    rb = blocks[1].repartition(max(1, -(-4 * spark.sparkContext.defaultParallelism // tasks)), *where, "block").drop("block")
+    hits = _limit(rb.join(qb.hint("shuffle_replicate_nl"), where).mapInPandas(_cells(k, near, threshold, tuple(numbers)), _SCHEMA), k)
+    if steps:
+        hits = materialise(hits, "hits")
+        for x in (*blocks, grid):
+            free(x)
+    return hits
 
 
 def blocked(queries: DataFrame, references: DataFrame, k: int = 1, metric: str = "cosine", threshold: float | None = None, masked: DataFrame | None = None) -> DataFrame:

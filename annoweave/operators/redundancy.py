@@ -317,7 +317,9 @@ def _candidates(texts: DataFrame, identity: float, coverage: float) -> DataFrame
     # which seeds count as frequent decides about time alone, so a sample of the texts may tell
     few = texts.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
     often = few.mapInPandas(sampled, "seed long, c long").groupBy("seed").agg(F.sum("c").alias("c")).where(F.col("c") >= max(4, int(FREQUENT * share)))
-    hot = sorted((r["seed"], r["c"] / share) for r in often.orderBy(F.desc("c"), "seed").limit(HOT).collect())
+    counted = materialise(often.orderBy(F.desc("c"), "seed").limit(HOT), "often")  # the sample's shuffle files go before the seeds come
+    hot = sorted((r["seed"], r["c"] / share) for r in counted.collect())
+    free(counted)
     seeds = _Seeds(classes, identity, coverage, hot)
 
     def all_wide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

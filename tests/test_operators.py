@@ -12,7 +12,7 @@ from annoweave.config import Summary
 from annoweave.functions import align as A
 from annoweave.operators import annotate, collapse, coverage, embed, exports, knn, leakage, prepare, redundancy, reference, summary, taxonomy
 from annoweave.plans import pipeline, queries
-from annoweave.runtime import CLEANUP, materialise
+from annoweave.runtime import CLEANUP, materialise, shared_dir
 from annoweave.sources import fasta, raw as raw_source, sinks
 
 from .conftest import DATA
@@ -105,6 +105,35 @@ def test_search_shuffles_each_side_once(spark, monkeypatch):
     assert hits == expected and not {(a, i) for a, i in hits if a == f"q{i}"}
 
 
+def test_masked_search_in_steps(spark, vectors, monkeypatch):
+    """No step of a masked search keeps the files of those before it, nothing but its hits stays, and the mask is made once."""
+    q, r = vectors
+    local = [str(x) for x in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in local for f in Path(d).rglob("shuffle_*.data")}
+    tables = lambda: {f.name for f in Path(shared_dir(spark).removeprefix("file:")).glob("work-*/*")}
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    masked = materialise(spark.createDataFrame([("tie", 200), ("tie", 202), ("q0", 5)], "accession string, ref_sequence_id long"))
+    shuffled, stored, kept = files(), tables(), []
+    steps = knn.materialise
+    monkeypatch.setattr(knn, "materialise", lambda df, label: (kept.append(files() - shuffled), steps(df, label))[1])
+    hits = knn.blocked(q, r, 2, masked=masked.mapInPandas(count, masked.schema))
+    got = rows(hits, "accession", "ref_sequence_id")
+    assert len(kept) > 3 and not any(kept) and not files() - shuffled
+    assert [x.split("-")[0] for x in tables() - stored] == ["hits"] and made.value == 3
+    assert [x[1] for x in got if x[0] == "tie"] == [201, 203]
+
+
+def test_search_shuffles_no_vectors_for_counts(spark, vectors):
+    plan = knn.blocked(*vectors, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2
+
+
 def test_taxonomy_sides(spark):
     p = spark.createDataFrame([(1, "10"), (1, "20"), (2, None), (3, " 10 "), (4, "30")], "sequence_id long, taxonomy_id string")
     ids = lambda e, i: [x[0] for x in rows(taxonomy.allowed_sequences(p, e, i), "sequence_id")]
